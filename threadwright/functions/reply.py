@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import vocab as V
 from .patterns import lookup
-from .text import strip_leading_mention
+from .text import strip, strip_leading_mention
 
 
 def _example(item: Column, index: Column, gap: str) -> Column:
@@ -112,7 +112,7 @@ def decide_handling(
     closest = "Closest historical match (similarity "
     return (
         F.when(
-            F.trim(F.coalesce(draft, F.lit(""))) == "",
+            strip(F.coalesce(draft, F.lit(""))) == "",
             verdict("ESCALATE", "no_draft", "No draft reply was produced."),
         )
         .when(

@@ -11,6 +11,11 @@ from .vocab import GLITCH_MARK, KEYWORD_STOP_WORDS
 from .patterns import WORD
 
 
+def strip(text: Column) -> Column:
+    """Remove leading and trailing white space including line breaks."""
+    return F.btrim(text, F.lit(" \t\n\r\x0b\x0c"))
+
+
 def flatten_lines(text: Column) -> Column:
     return F.translate(text, "\n", " ")
 
@@ -47,30 +52,33 @@ def first_line(text: Column, width: int | None = None) -> Column:
 def first_customer_message(context: Column) -> Column:
     """Text of the first ``CUSTOMER:`` line, or the whole trimmed context without one."""
     lines = F.filter(F.split(context, "\n"), lambda line: line.startswith("CUSTOMER:"))
-    return F.coalesce(F.trim(F.substring(F.get(lines, 0), len("CUSTOMER:") + 1, 2147483647)), F.trim(context))
+    return F.coalesce(strip(F.substring(F.get(lines, 0), len("CUSTOMER:") + 1, 2147483647)), strip(context))
 
 
 def strip_leading_mention(text: Column) -> Column:
-    return F.regexp_replace(F.trim(text), r"^@\S+\s*", "")
+    return F.regexp_replace(strip(text), r"^@\S+\s*", "")
 
 
 def is_filled(column: Column) -> Column:
     """Blank and null both mean "not decided yet"."""
-    return F.trim(F.coalesce(column, F.lit(""))) != ""
+    return strip(F.coalesce(column, F.lit(""))) != ""
 
 
-def terms(text: Column, stop_words: Sequence[str], max_n: int = 2) -> Column:
-    """Unigrams and bigrams of word tokens with at least two characters, stop words removed first."""
+def word_tokens(text: Column, stop_words: Sequence[str]) -> Column:
+    """Lower-cased word tokens of at least two characters without stop words."""
     tokens = F.regexp_extract_all(F.lower(text), F.lit("(" + WORD + "{2,})"), F.lit(1))
-    if stop_words:
-        tokens = F.filter(tokens, lambda t: ~t.isin(*stop_words))
+    return F.filter(tokens, lambda t: ~t.isin(*stop_words)) if stop_words else tokens
+
+
+def ngrams(tokens: Column, max_n: int = 2) -> Column:
+    """Unigrams, and for ``max_n`` 2 also bigrams, of a token array.
+
+    Pass a column rather than an expression: the tokens are used several times.
+    """
     if max_n < 2:
         return tokens
-    following = F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0)))
+    count = F.greatest(F.size(tokens) - 1, F.lit(0))
     pairs = F.zip_with(
-        F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))),
-        following,
-        lambda a, b: F.concat(a, F.lit(" "), b),
+        F.slice(tokens, F.lit(1), count), F.slice(tokens, F.lit(2), count), lambda a, b: F.concat_ws(" ", a, b)
     )
     return F.concat(tokens, pairs)
-
