@@ -62,9 +62,9 @@ def representative_rows(
     total = scored.agg(F.count(F.lit(1)).alias("n")).scalar()
     ranked = ranked.withColumn("position", F.col("position") - 1).withColumn("__n", total)
     n = F.col("__n")
-    spread = [
-        F.least((n * 0.35 + (n * 0.65 - n * 0.35) * i / 3).cast("long"), n - 1) for i in range(4)
-    ]
+    low, high = n * F.lit(0.35), n * F.lit(0.65)
+    spread = [low, low + (high - low) / 3, low + 2 * ((high - low) / 3), high]
+    spread = [F.least(p.cast("long"), n - 1) for p in spread]
     middle = F.lit(False)
     for target in spread:
         middle = middle | (F.col("position") == target)
