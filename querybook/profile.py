@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadwright.operators import profile
+from threadwright.plans import reports
 from threadwright.sources.messages import RAW_COLUMNS
 
 from .oracle import compose, listed, strip
@@ -132,3 +133,30 @@ def authors_in_both_roles(b: Book) -> DataFrame:
 )
 def parent_resolution_rate(b: Book) -> DataFrame:
     return profile.parent_resolution_rate(b.messages).withColumn("rate", F.round("rate", 6))
+
+
+def _profile_parts() -> str:
+    parts = [
+        "SELECT 'rows' AS section, 'rows' AS item, count(*) AS n FROM m",
+        "SELECT 'rows', 'unparsed_times', count(*) FILTER (ts IS NULL AND created_at IS NOT NULL) FROM m",
+        f"SELECT 'rows', 'empty_texts', count(*) FILTER (text IS NULL OR {strip('text')} = '') FROM m",
+        "SELECT 'role', inbound, count(*) FROM m GROUP BY inbound",
+        "SELECT 'authors', 'n_customer_authors', count(DISTINCT author_id) FROM m WHERE is_customer",
+        "SELECT 'authors', 'n_support_authors', count(DISTINCT author_id) FROM m WHERE is_support",
+        "SELECT 'authors', 'n_duplicates', count(*) - count(DISTINCT tweet_id) FROM m",
+        "SELECT 'authors', 'authors_in_both_roles', count(DISTINCT author_id) FROM m WHERE is_support "
+        "AND author_id IN (SELECT author_id FROM m WHERE is_customer)",
+        "SELECT 'parents', 'declared', count(parent_id) FROM m",
+        "SELECT 'parents', 'resolved', count(*) FROM m WHERE parent_id IN (SELECT tweet_id FROM m)",
+        "SELECT 'pointers', 'n_multi', count(*) FROM raw WHERE contains(response_tweet_id, ',')",
+    ]
+    parts += [f"SELECT 'missing', '{c}', count(*) - count({c}) FROM raw" for c in RAW_COLUMNS]
+    parts += [
+        f"SELECT 'populated', '{c}', count({c}) FROM raw" for c in ("response_tweet_id", "in_response_to_tweet_id")
+    ]
+    return " UNION ALL ".join(parts)
+
+
+@query("K5", lambda: compose(_profile_parts()))
+def dataset_profile(b: Book) -> DataFrame:
+    return reports.dataset_profile(b.raw, b.messages)

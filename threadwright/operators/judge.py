@@ -82,11 +82,13 @@ def agreement(scored: DataFrame, pairs: Sequence[tuple[str, str, str]]) -> DataF
     aggregates = [F.count(F.lit(1)).alias("n")]
     for i, (_, human, machine) in enumerate(pairs):
         h, m = F.col(human).cast("double"), F.col(machine).cast("double")
+        # corr() itself fails on a constant series in ANSI mode
         varied = (F.min(h) < F.max(h)) & (F.min(m) < F.max(m))
+        r = F.try_divide(F.covar_pop(h, m), F.stddev_pop(h) * F.stddev_pop(m))
         aggregates += [
             F.avg((h == m).cast("double")).alias(f"e{i}"),
             F.avg(F.abs(h - m)).alias(f"d{i}"),
-            F.when(varied, F.corr(h, m)).alias(f"r{i}"),
+            F.when(varied, r).alias(f"r{i}"),
         ]
     row = scored.agg(*aggregates)
     parts = ", ".join(f"'{name}', e{i}, d{i}, r{i}" for i, (name, _, _) in enumerate(pairs))
