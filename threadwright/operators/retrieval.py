@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from ..functions.text import ngrams, word_tokens
 from ..functions.vocab import INTENT_BOOST, TOP_K
 from ..sources.staging import stage, stage_bucketed
-from .distribution import HOT_ROWS, hot_keys, lookup_join
+from .distribution import HOT_ROWS, MAX_HOT_KEYS, lookup_join
 
 MAX_BROADCAST_POSTINGS = 1_000_000
+MAX_BROADCAST_TERMS = 1_000_000
 ANY_INTENT = ""
 
 
@@ -31,18 +32,18 @@ def english_stop_words() -> list[str]:
 
 @dataclass(frozen=True)
 class TermStatistics:
-    """Vocabulary with inverse document frequencies: (term, df, idf), kept for ``df >= min_df``."""
+    """Vocabulary (term, df, idf) of terms with ``df >= min_df``, its size and very frequent terms."""
 
     vocabulary: DataFrame
+    n_terms: int
     hot_terms: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
 class Index:
-    texts: DataFrame  # text_id, text, copies
     statistics: TermStatistics
     postings: DataFrame  # text_id, term, w (bucketed by text_id)
-    documents: DataFrame  # text_id, doc_id, intent: first documents per (text, intent)
+    documents: DataFrame  # text_id, doc_id, intent: first documents per (text, intent), bucketed alike
     fallback: DataFrame  # pad_key, doc_id, intent: first documents per intent and overall
     stop_words: tuple[str, ...]
     max_n: int
@@ -56,7 +57,7 @@ def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def term_counts(texts: DataFrame, stop_words: Sequence[str], max_n: int = 2) -> DataFrame:
-    """(text_id, term, tf, copies); all terms of a text are counted in the task that reads it."""
+    """(text_id, term, tf, copies); without a shuffle if ``texts`` is partitioned by text_id."""
     tokens = texts.select("text_id", "copies", word_tokens(F.col("text"), stop_words).alias("tokens"))
     exploded = tokens.select("text_id", "copies", F.explode(ngrams(F.col("tokens"), max_n)).alias("term"))
     return exploded.groupBy("text_id", "copies", "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -68,16 +69,40 @@ def inverse_document_frequency(counts: DataFrame, n_docs: int, min_df: int = 2)
     return df.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1.0)) + 1.0)
 
 
-def normalised(counts: DataFrame, statistics: TermStatistics, key: str) -> DataFrame:
-    """(key, term, w): tf * idf with unit length per key; unknown terms are dropped."""
+def term_statistics(counts: DataFrame, n_docs: int, min_df: int = 2, hot_rows: int = HOT_ROWS) -> TermStatistics:
+    vocabulary = stage(inverse_document_frequency(counts, n_docs, min_df), "vocabulary")
+    frequent = vocabulary.filter(F.col("df") >= hot_rows).orderBy(F.desc("df"), "term").limit(MAX_HOT_KEYS)
+    return TermStatistics(vocabulary, vocabulary.count(), tuple(r["term"] for r in frequent.select("term").collect()))
+
+
+def normalised(
+    counts: DataFrame,
+    statistics: TermStatistics,
+    key: str,
+    partitions: int,
+    max_terms: int = MAX_BROADCAST_TERMS,
+) -> DataFrame:
+    """(key, term, w): tf * idf with unit length per key; unknown terms are dropped.
+
+    A vocabulary of checked size travels to the postings, which then stay where they are. A
+    larger one is joined by term (frequent terms by broadcast) and the postings return to their key.
+    """
     idf = statistics.vocabulary.select("term", "idf")
-    weighted = lookup_join(counts.select(key, "term", "tf"), idf, "term", how="inner", hot=statistics.hot_terms)
+    rows = counts.select(key, "term", "tf")
+    if statistics.n_terms <= max_terms:
+        weighted = rows.join(F.broadcast(idf), "term")
+    else:
+        weighted = lookup_join(rows, idf, "term", how="inner", hot=statistics.hot_terms).repartition(partitions, key)
     weighted = weighted.select(key, "term", (F.col("tf") * F.col("idf")).alias("x"))
     # the postings of one key come from one text, so this window is as small as a text
     norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(key)))
     return weighted.select(key, "term", (F.col("x") / norm).alias("w"))
 
 
+def _partitions(df: DataFrame, asked: int | None) -> int:
+    return asked or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def tfidf_postings(
     docs: DataFrame,
     id_col: str,
@@ -85,16 +110,35 @@ def tfidf_postings(
     stop_words: Sequence[str] | None = None,
     max_n: int = 2,
     min_df: int = 2,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """(id, term, w) of every document, copies included."""
+    """(id, term, w) of every document, copies included.
+
+    Only the texts are shuffled (once, by id); their postings are counted, stored and weighted
+    in place.
+    """
     stops = tuple(english_stop_words() if stop_words is None else stop_words)
-    counts = term_counts(
-        docs.select(F.col(id_col).alias("text_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.lit(1).alias("copies")),
-        stops,
-        max_n,
+    parts = _partitions(docs, buckets)
+    texts = docs.select(
+        F.col(id_col).alias("text_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.lit(1).alias("copies")
+    ).repartition(parts, "text_id")
+    counts = stage_bucketed(term_counts(texts, stops, max_n), "term_counts", "text_id", parts)
+    statistics = term_statistics(counts, docs.count(), min_df)
+    return normalised(counts, statistics, "text_id", parts).withColumnRenamed("text_id", id_col)
+
+
+def first_documents(base: DataFrame, keep: int) -> DataFrame:
+    """(text_id, doc_id, intent): the first ``keep`` documents of each (text, intent).
+
+    Every copy of a text scores the same, so these decide any top list. Texts travel as digests.
+    """
+    hashed = base.select("doc_id", "intent", F.md5("text").alias("digest"))
+    order = Window.partitionBy("digest", "intent").orderBy("doc_id")
+    first = hashed.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= keep)
+    grouped = first.groupBy("digest").agg(
+        F.min("doc_id").alias("text_id"), F.collect_list(F.struct("doc_id", "intent")).alias("d")
     )
-    vocabulary = inverse_document_frequency(counts, docs.count(), min_df)
-    return normalised(counts, TermStatistics(vocabulary), "text_id").withColumnRenamed("text_id", id_col)
+    return grouped.select("text_id", F.explode("d").alias("d")).select("text_id", "d.doc_id", "d.intent")
 
 
 def build_index(
@@ -108,30 +152,26 @@ def build_index(
     depth: int = TOP_K,
     buckets: int | None = None,
     hot_rows: int = HOT_ROWS,
+    max_terms: int = MAX_BROADCAST_TERMS,
 ) -> Index:
     """Build a reusable index that answers top-k searches for any ``k <= depth``."""
-    spark = docs.sparkSession
     stops = tuple(english_stop_words() if stop_words is None else stop_words)
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = _partitions(docs, buckets)
     base = docs.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         (F.lit(None).cast("string") if intent_col is None else F.col(intent_col)).alias("intent"),
     )
-    texts = stage(distinct_texts(base, "doc_id", "text"), "texts")
-    counts = stage(term_counts(texts, stops, max_n), "term_counts")
-    n_docs = texts.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
-    vocabulary = stage(inverse_document_frequency(counts, n_docs, min_df), "vocabulary")
-    hot = hot_keys(counts, "term", hot_rows)
-    statistics = TermStatistics(vocabulary, tuple(hot))
-    postings = stage_bucketed(normalised(counts, statistics, "text_id"), "postings", "text_id", buckets)
+    texts = distinct_texts(base, "doc_id", "text").repartition(parts, "text_id")
+    counts = stage_bucketed(term_counts(texts, stops, max_n), "term_counts", "text_id", parts)
+    statistics = term_statistics(counts, base.count(), min_df, hot_rows)
+    postings = stage_bucketed(
+        normalised(counts, statistics, "text_id", parts, max_terms), "postings", "text_id", parts
+    )
 
-    # every copy of a text scores the same: the first depth + 1 per intent decide any top list
-    keep = depth + 1
-    grouped = Window.partitionBy("text", "intent").orderBy("doc_id")
-    first = base.withColumn("rn", F.row_number().over(grouped)).filter(F.col("rn") <= keep).drop("rn")
-    documents = first.join(texts.select("text", "text_id"), "text").drop("text")
-    documents = stage_bucketed(documents, "documents", "text_id", buckets)
+    keep = depth + 1  # one more, because a query may leave its own document out
+    documents = first_documents(base, keep).repartition(parts, "text_id")
+    documents = stage_bucketed(documents, "documents", "text_id", parts)
 
     ids = base.select("doc_id", "intent")
     per_intent = Window.partitionBy("intent").orderBy("doc_id")
@@ -139,13 +179,15 @@ def build_index(
     by_intent = by_intent.filter(F.col("rn") <= keep).select(F.col("intent").alias("pad_key"), "doc_id", "intent")
     overall = ids.orderBy("doc_id").limit(keep).select(F.lit(ANY_INTENT).alias("pad_key"), "doc_id", "intent")
     fallback = stage(by_intent.unionByName(overall), "fallback")
-    return Index(texts, statistics, postings, documents, fallback, stops, max_n, depth)
+    return Index(statistics, postings, documents, fallback, stops, max_n, depth)
 
 
 def query_postings(queries: DataFrame, index: Index) -> DataFrame:
     """(q, term, w) of distinct query texts, weighted with the index vocabulary."""
-    counts = term_counts(queries.select(F.col("q").alias("text_id"), "text", F.lit(1).alias("copies")), index.stop_words, index.max_n)
-    return normalised(counts.withColumnRenamed("text_id", "q"), index.statistics, "q")
+    parts = _partitions(queries, None)
+    texts = queries.select(F.col("q").alias("text_id"), "text", F.lit(1).alias("copies")).repartition(parts, "text_id")
+    counts = term_counts(texts, index.stop_words, index.max_n).withColumnRenamed("text_id", "q")
+    return normalised(counts, index.statistics, "q", parts)
 
 
 def _search_block(weights: DataFrame, units: DataFrame, index: Index, boost: float, keep: int) -> DataFrame:

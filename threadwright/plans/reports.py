@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import classify_reply, issue_tags
-from ..functions.text import keywords
-from ..functions.vocab import CANNED_FRAGMENT, REPLY_CLASSES
+from ..functions.text import clean_text, strip
+from ..functions.vocab import CANNED_FRAGMENT, KEYWORD_STOP_WORDS, REPLY_CLASSES
 from ..operators import brands, metrics, profile, sampling
 from ..operators.threads import Threads, thread_stats
 
@@ -24,7 +25,7 @@ def dataset_profile(raw: DataFrame, messages: DataFrame) -> DataFrame:
         messages.agg(
             F.count(F.lit(1)).alias("rows"),
             F.count_if(F.col("ts").isNull() & F.col("created_at").isNotNull()).alias("unparsed_times"),
-            F.count_if(F.col("text").isNull() | (F.trim("text") == "")).alias("empty_texts"),
+            F.count_if(F.col("text").isNull() | (strip(F.col("text")) == "")).alias("empty_texts"),
         )
     )
     authors = profile.unpivot_counts(profile.author_counts(messages))
@@ -69,10 +70,15 @@ def brand_report(threads: Threads, top: int = 7, per_brand: int = 1) -> BrandRep
     )
 
 
-def keyword_frequency(messages: DataFrame, top_n: int = 40) -> DataFrame:
-    """Most frequent keywords of customer messages, ties by word."""
-    words = messages.filter("is_customer").select(F.explode(keywords(F.coalesce("text", F.lit("")))).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(top_n)
+def keyword_frequency(
+    messages: DataFrame, top_n: int = 40, stop_words: Sequence[str] = KEYWORD_STOP_WORDS
+) -> DataFrame:
+    """Most frequent keywords of customer messages, ties by word; counted before the shuffle."""
+    words = messages.filter("is_customer").select(
+        F.explode(F.split(clean_text(F.coalesce("text", F.lit(""))), r"\s+")).alias("word")
+    )
+    kept = words.filter((F.length("word") > 2) & ~F.col("word").isin(*stop_words))
+    return kept.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(top_n)
 
 
 def thread_sample_stats(rows: DataFrame) -> DataFrame:

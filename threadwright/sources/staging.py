@@ -37,16 +37,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def stage_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
-    """Write ``df`` hash-bucketed by ``key`` so that later work on ``key`` needs no shuffle."""
+    """Write ``df`` hash-bucketed by ``key`` so that later work on ``key`` needs no shuffle.
+
+    ``df`` should already be hash-partitioned by ``key`` into ``buckets`` parts; otherwise every
+    task writes a piece of every bucket.
+    """
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
-    (
-        df.repartition(buckets, key)
-        .write.format("parquet")
-        .bucketBy(buckets, key)
-        .option("path", new_path(spark, name))
-        .saveAsTable(table)
-    )
+    writer = df.write.format("parquet").bucketBy(buckets, key).option("path", new_path(spark, name))
+    writer.saveAsTable(table)
     return spark.table(table)
 
 
