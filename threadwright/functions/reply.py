@@ -37,10 +37,12 @@ def evidence_summary(evidence: Column, k: int = 3) -> Column:
     )
 
 
-def draft_prompt(message: Column, intent: Column, evidence: Column) -> Column:
+def draft_prompt(
+    message: Column, intent: Column, evidence: Column, instructions: str = V.DRAFT_INSTRUCTIONS
+) -> Column:
     examples = F.transform(evidence, lambda item, i: F.concat(F.lit("\n"), _example(item, i, "  ")))
     head = F.array(
-        F.lit(V.DRAFT_INSTRUCTIONS),
+        F.lit(instructions),
         F.lit(""),
         F.concat(F.lit("NEW CUSTOMER MESSAGE: "), message),
         F.concat(F.lit("PREDICTED INTENT: "), intent),
@@ -51,9 +53,16 @@ def draft_prompt(message: Column, intent: Column, evidence: Column) -> Column:
     return F.array_join(F.concat(head, examples, tail), "\n")
 
 
-def judge_prompt(message: Column, intent: Column, summary: Column, draft: Column, k: int = 3) -> Column:
+def judge_prompt(
+    message: Column,
+    intent: Column,
+    summary: Column,
+    draft: Column,
+    k: int = 3,
+    instructions: str = V.JUDGE_INSTRUCTIONS,
+) -> Column:
     return F.concat(
-        F.lit(V.JUDGE_INSTRUCTIONS + "\nCUSTOMER MESSAGE: "),
+        F.lit(instructions + "\nCUSTOMER MESSAGE: "),
         message,
         F.lit("\nPREDICTED INTENT: "),
         intent,

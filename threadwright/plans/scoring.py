@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.reply import decide_handling, draft_prompt, draft_reply, plain_reason
 from ..functions.rules import response_behavior, weak_label
-from ..functions.vocab import INTENT_BOOST, TOP_K
+from ..functions.vocab import INTENT_BOOST, MODE_TEMPLATE, TOP_K
 from ..operators.classifier import predict
 from ..operators.retrieval import Index, evidence, retrieve
 
@@ -52,20 +52,25 @@ def score_messages(
     boost: float = INTENT_BOOST,
     own_doc_col: str | None = None,
     provider: Callable[[pd.Series], pd.Series] | None = None,
+    provider_name: str = "provider",
 ) -> DataFrame:
-    """(message_id, message, ...) with intent, confidence, evidence, prompt and draft reply."""
+    """(message_id, message, ...) with intent, confidence, evidence, prompt and draft reply.
+
+    ``mode`` tells whether the draft is the template's or an external provider's.
+    """
     labelled = classify(messages)
     hits = retrieve(
         labelled, index, k, "message_id", "message", "predicted_intent", own_doc_col=own_doc_col, boost=boost
     )
     cases = evidence(hits, corpus).withColumnRenamed("query_id", "message_id")
     joined = labelled.join(cases, "message_id", "left")
+    known = F.coalesce("evidence", F.array().cast(cases.schema["evidence"].dataType))
     scored = joined.withColumn(
-        "prompt", draft_prompt(F.col("message"), F.col("predicted_intent"), F.coalesce("evidence", F.array().cast(cases.schema["evidence"].dataType)))
+        "prompt", draft_prompt(F.col("message"), F.col("predicted_intent"), known)
     ).withColumn("draft_reply", draft_reply(F.col("evidence")))
     if provider is not None:
         scored = provider_replies(scored, provider)
-    return scored.withColumn("mode", F.lit("template" if provider is None else "provider"))
+    return scored.withColumn("mode", F.lit(MODE_TEMPLATE if provider is None else f"real:{provider_name}"))
 
 
 def route_messages(scored: DataFrame) -> DataFrame:
