@@ -81,7 +81,7 @@ def result(df):
     return sorted((r.query_id, r["rank"], r.doc_id, round(r.similarity, 6)) for r in df.collect())
 
 
-@pytest.mark.parametrize("options", [{}, {"max_terms": 0}, {"max_terms": 0, "hot_rows": 5}], ids=["broadcast", "by-term", "hot-terms"])
+@pytest.mark.parametrize("options", [{}, {"max_terms": 0}, {"max_terms": 0, "hot_rows": 5}, {"prune_above": 0}], ids=["broadcast", "by-term", "hot-terms", "pruned"])
 def test_boosted_search_equals_brute_force(spark, corpus, options):
     df, docs, intents = corpus
     index = retrieval.build_index(df, "doc_id", "text", "intent", stop_words=STOPS, **options)
@@ -95,16 +95,23 @@ def index(corpus):
     return retrieval.build_index(corpus[0], "doc_id", "text", "intent", stop_words=STOPS)
 
 
-def test_blocks_of_queries_give_the_same(spark, corpus, index):
+@pytest.fixture(scope="module")
+def pruned_index(corpus):
+    return retrieval.build_index(corpus[0], "doc_id", "text", "intent", stop_words=STOPS, prune_above=0)
+
+
+@pytest.mark.parametrize("prune", [False, True])
+def test_blocks_of_queries_give_the_same(spark, corpus, index, pruned_index, prune):
     _, docs, intents = corpus
-    got = result(retrieval.retrieve(ask(spark), index, 5, intent_col="intent", max_broadcast=3))
+    got = result(retrieval.retrieve(ask(spark), pruned_index if prune else index, 5, intent_col="intent", max_broadcast=3))
     assert got == brute_rank(docs, intents, QUERIES, ASKED, 5)
 
 
-def test_own_document_is_left_out(spark, corpus, index):
+@pytest.mark.parametrize("prune", [False, True])
+def test_own_document_is_left_out(spark, corpus, index, pruned_index, prune):
     _, docs, intents = corpus
     own = {1: 60, 2: 61, 3: 5, 4: 0, 5: 0, 6: 7}
-    got = result(retrieval.retrieve(ask(spark, own), index, 5, intent_col="intent", own_doc_col="own"))
+    got = result(retrieval.retrieve(ask(spark, own), pruned_index if prune else index, 5, intent_col="intent", own_doc_col="own"))
     assert got == brute_rank(docs, intents, QUERIES, ASKED, 5, own=own)
 
 
@@ -151,3 +158,24 @@ def test_evidence_is_ordered(spark, corpus, index):
     for row in rows:
         assert [e["rank"] for e in row.evidence] == [1, 2, 3, 4]
         assert [e.similarity_score for e in row.evidence] == sorted((e.similarity_score for e in row.evidence), reverse=True)
+
+
+def test_pruned_search_of_many_texts_equals_brute_force(spark):
+    """Rare words decide, one word is in every text: pruning must drop work but no result."""
+    rng = random.Random(11)
+    rare = [f"rare{i}" for i in range(40)]
+    docs = {i: " ".join(["update", *rng.choices(WORDS, k=3), *rng.choices(rare, k=2)]) for i in range(400)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    plain = retrieval.build_index(df, "doc_id", "text", stop_words=STOPS)
+    index = retrieval.build_index(df, "doc_id", "text", stop_words=STOPS, prune_above=0)
+    queries = {q: " ".join(["update", *rng.choices(WORDS, k=2), *rng.choices(rare, k=2)]) for q in range(25)}
+    queries[99] = "update"
+    asked = spark.createDataFrame(list(queries.items()), "query_id bigint, text string")
+    want = brute_rank(docs, dict.fromkeys(docs), queries, dict.fromkeys(queries), 5)
+    assert plain.champions is None and index.champions is not None
+    for each in (plain, index):
+        assert result(retrieval.retrieve(asked, each, 5)) == want
+    weights = retrieval.query_postings(asked.select(F.col("query_id").alias("q"), "text"), index)
+    plan = retrieval.search_plan(weights, index, 0.0, 5)
+    dropped = plan.filter("NOT essential").select("term").distinct().collect()
+    assert "update" in {r.term for r in dropped}

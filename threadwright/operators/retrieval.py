@@ -4,6 +4,11 @@ The index stores each *distinct* text once (copies only count), its L2-normalise
 bucketed by text, and for every (text, intent) the first few documents. Searching broadcasts the
 postings of a size-checked block of distinct queries to the index, so scores are summed where
 the text's postings already are, and only ``k`` candidates per task and query are shuffled.
+
+On large indexes a search is pruned without changing its result: a few best postings per term
+give each query a lower bound for its k-th score; frequent terms that cannot lift a text over
+that bound by themselves then yield no candidates, so common words do not pair every query
+with every text.
 """
 
 from __future__ import annotations
@@ -22,6 +27,9 @@ from .distribution import HOT_ROWS, MAX_HOT_KEYS, lookup_join
 
 MAX_BROADCAST_POSTINGS = 1_000_000
 MAX_BROADCAST_TERMS = 1_000_000
+PRUNE_POSTINGS = 100_000_000
+CHAMPIONS = 32
+ROUNDING = 2e-9  # scores are ranked on nine decimals
 ANY_INTENT = ""
 
 
@@ -44,6 +52,7 @@ class Index:
     statistics: TermStatistics
     postings: DataFrame  # text_id, term, w (bucketed by text_id)
     documents: DataFrame  # text_id, doc_id, intent: first documents per (text, intent), bucketed alike
+    champions: DataFrame | None  # term, df, text_id, w: heaviest postings per term, large indexes only
     fallback: DataFrame  # pad_key, doc_id, intent: first documents per intent and overall
     stop_words: tuple[str, ...]
     max_n: int
@@ -153,8 +162,12 @@ def build_index(
     buckets: int | None = None,
     hot_rows: int = HOT_ROWS,
     max_terms: int = MAX_BROADCAST_TERMS,
+    prune_above: int = PRUNE_POSTINGS,
 ) -> Index:
-    """Build a reusable index that answers top-k searches for any ``k <= depth``."""
+    """Build a reusable index that answers top-k searches for any ``k <= depth``.
+
+    Searches of an index with more than ``prune_above`` postings are pruned.
+    """
     stops = tuple(english_stop_words() if stop_words is None else stop_words)
     parts = _partitions(docs, buckets)
     base = docs.select(
@@ -169,6 +182,9 @@ def build_index(
         normalised(counts, statistics, "text_id", parts, max_terms), "postings", "text_id", parts
     )
 
+    large = postings.count() > prune_above
+    champions = stage(heaviest_postings(postings, statistics), "champions") if large else None
+
     keep = depth + 1  # one more, because a query may leave its own document out
     documents = first_documents(base, keep).repartition(parts, "text_id")
     documents = stage_bucketed(documents, "documents", "text_id", parts)
@@ -179,7 +195,7 @@ def build_index(
     by_intent = by_intent.filter(F.col("rn") <= keep).select(F.col("intent").alias("pad_key"), "doc_id", "intent")
     overall = ids.orderBy("doc_id").limit(keep).select(F.lit(ANY_INTENT).alias("pad_key"), "doc_id", "intent")
     fallback = stage(by_intent.unionByName(overall), "fallback")
-    return Index(statistics, postings, documents, fallback, stops, max_n, depth)
+    return Index(statistics, postings, documents, champions, fallback, stops, max_n, depth)
 
 
 def query_postings(queries: DataFrame, index: Index) -> DataFrame:
@@ -190,15 +206,76 @@ def query_postings(queries: DataFrame, index: Index) -> DataFrame:
     return normalised(counts, index.statistics, "q", parts)
 
 
-def _search_block(weights: DataFrame, units: DataFrame, index: Index, boost: float, keep: int) -> DataFrame:
-    """Best ``keep`` (unit, document) pairs for one block of distinct queries."""
+def heaviest_postings(postings: DataFrame, statistics: TermStatistics, per_term: int = CHAMPIONS) -> DataFrame:
+    """(term, df, text_id, w): at most ``per_term`` postings of each term, limited before the shuffle."""
+    by_weight = Window.partitionBy("term").orderBy(F.desc("w"), "text_id")
+    top = postings.withColumn("rn", F.row_number().over(by_weight)).filter(F.col("rn") <= per_term).drop("rn")
+    return top.join(statistics.vocabulary.select("term", "df"), "term")
+
+
+def search_plan(weights: DataFrame, index: Index, margin: float, keep: int) -> DataFrame:
+    """(q, term, wq, essential, min_w, theta, rest): which postings can still matter per query.
+
+    The ``keep``-th best sum over the champion lists is at most the ``keep``-th best score;
+    ``theta`` is that bound less ``margin``. The most frequent terms whose largest contributions add
+    up to ``rest`` < ``theta`` cannot lift a text to the bound by themselves and are not essential. A
+    posting lighter than ``min_w`` belongs to a text that stays below the bound even if all its
+    other terms contribute their most.
+    """
+    seeds = index.champions.join(F.broadcast(weights.select("q", "term", F.col("w").alias("wq"))), "term")
+    partial = seeds.groupBy("q", "text_id").agg(F.sum(F.col("w") * F.col("wq")).alias("s"))
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "text_id"))
+    bound = partial.withColumn("rn", place).filter(F.col("rn") <= keep).groupBy("q").agg(
+        F.min(F.when(F.col("rn") == keep, F.col("s"))).alias("bound")
+    )
+    terms = seeds.groupBy("q", "term", "wq", "df").agg((F.max("w") * F.col("wq")).alias("most"))
+    # a query's terms come from one text, so these windows are small
+    of_query = Window.partitionBy("q")
+    frequent_first = of_query.orderBy(F.desc("df"), "term").rowsBetween(Window.unboundedPreceding, 0)
+    theta = F.coalesce("bound", F.lit(0.0)) - margin - ROUNDING
+    return (
+        terms.join(bound, "q", "left")
+        .withColumn("theta", theta)
+        .withColumn("essential", F.sum("most").over(frequent_first) >= F.col("theta"))
+        .withColumn("others", F.sum("most").over(of_query) - F.col("most"))
+        .withColumn("rest", F.sum(F.when(F.col("essential"), 0.0).otherwise(F.col("most"))).over(of_query))
+        .withColumn("min_w", (F.col("theta") - F.col("others")) / F.col("wq"))
+        .select("q", "term", "wq", "essential", "min_w", "theta", "rest")
+    )
+
+
+def _all_scores(weights: DataFrame, index: Index) -> DataFrame:
+    """(q, text_id, s) of every text that shares a term, summed where its postings lie."""
     wanted = F.broadcast(weights.select("q", "term", F.col("w").alias("wq")))
-    scores = (
-        index.postings.join(wanted, "term")
-        .groupBy("q", "text_id")
-        .agg(F.sum(F.col("w") * F.col("wq")).alias("s"))
-        .select("q", "text_id", F.round("s", 9).alias("similarity"))
+    return index.postings.join(wanted, "term").groupBy("q", "text_id").agg(F.sum(F.col("w") * F.col("wq")).alias("s"))
+
+
+def _pruned_scores(weights: DataFrame, index: Index, margin: float, keep: int) -> DataFrame:
+    """(q, text_id, s) of every text that can be among a query's ``keep`` best.
+
+    Essential terms are summed in one pass; what cannot reach the bound is dropped there, and the
+    frequent terms are looked up for the survivors only.
+    """
+    plan = stage(search_plan(weights, index, margin, keep), "search_plan")
+    essential = F.broadcast(plan.filter("essential").select("q", "term", "wq", "min_w"))
+    limits = F.broadcast(plan.select("q", "theta", "rest").distinct())
+    first = index.postings.join(essential, "term").filter(F.col("w") >= F.col("min_w"))
+    first = first.groupBy("q", "text_id").agg(F.sum(F.col("w") * F.col("wq")).alias("s"))
+    survivors = stage(first.join(limits, "q").filter(F.col("s") + F.col("rest") >= F.col("theta")), "survivors")
+    frequent = plan.filter("NOT essential").select("q", "term", "wq")
+    asked = survivors.filter("rest > 0").select("q", "text_id").join(F.broadcast(frequent), "q")
+    known = index.postings.join(F.broadcast(frequent.select("term").distinct()), "term", "left_semi")
+    more = asked.join(known, ["text_id", "term"])
+    parts = survivors.select("q", "text_id", "s").unionByName(
+        more.select("q", "text_id", (F.col("w") * F.col("wq")).alias("s"))
     )
+    return parts.groupBy("q", "text_id").agg(F.sum("s").alias("s"))
+
+
+def _search_block(weights: DataFrame, units: DataFrame, index: Index, boost: float, keep: int) -> DataFrame:
+    """Best ``keep`` (unit, document) pairs for one block of distinct queries."""
+    scores = _pruned_scores(weights, index, boost, keep) if index.champions is not None else _all_scores(weights, index)
+    scores = scores.select("q", "text_id", F.round("s", 9).alias("similarity"))
     found = scores.join(index.documents, "text_id").join(F.broadcast(units), "q")
     return _best(found, boost, keep)
 
@@ -236,6 +313,7 @@ def retrieve(
     if k > index.depth:
         raise ValueError(f"index was built for k <= {index.depth}")
     keep = k + 1 if own_doc_col else k
+    boost = boost if intent_col else 0.0
     asked = queries.select(
         F.col(query_id).alias("query_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
