@@ -159,4 +159,4 @@ def _profile_parts() -> str:
 
 @query("K5", lambda: compose(_profile_parts()))
 def dataset_profile(b: Book) -> DataFrame:
-    return reports.dataset_profile(b.raw, b.messages)
+    return reports.dataset_profile(b.raw)

@@ -34,13 +34,12 @@ SAMPLES = {
 
 
 def both(b: Book) -> tuple[DataFrame, DataFrame]:
-    first = sampling.sample_threads(b.rows, b.stats, BRAND, N, 42)
-    return first, sampling.sample_threads(b.rows, b.stats, BRAND, N, 123)
+    return reports.paired_samples(b.threads, BRAND, N)
 
 
 @query("H1", lambda: compose("SELECT tweet_id, root FROM r1", SAMPLES))
 def sample_threads(b: Book) -> DataFrame:
-    return both(b)[0].select("tweet_id", "root")
+    return sampling.sample_threads(b.rows, b.stats, BRAND, N, 42).select("tweet_id", "root")
 
 
 @query("H2, G2", lambda: compose("SELECT count(*) AS n_overlap FROM d1 JOIN d2 USING (root)", SAMPLES))

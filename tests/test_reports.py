@@ -167,6 +167,18 @@ def test_staging_uses_the_sessions_folder(spark):
     assert not staging.path_exists(spark, path)
 
 
+def test_scope_discards_what_was_staged_inside(spark):
+    outside = staging.stage(spark.range(2), "outer")
+    with staging.staged_scope():
+        inside = staging.stage(spark.range(2), "inner")
+        table = staging.stage_bucketed(spark.range(2), "inner_table", "id", 2)
+        places = [staging._LOCATIONS[df] for df in (inside, table)]
+        assert table.count() == inside.count() == 2
+    assert not any(staging.path_exists(spark, path) for path, _ in places)
+    assert not spark.catalog.tableExists(places[1][1])
+    assert outside.count() == 2
+
+
 def test_parsed_times(spark):
     df = spark.createDataFrame([("Tue Oct 31 22:10:47 +0000 2017",), ("Tue Oct 31 22:10:47 +0200 2017",), ("x",), (None,)], "c string")
     got = [r.s for r in df.select(F.unix_seconds(source.parse_created_at(F.col("c"))).alias("s")).collect()]

@@ -14,26 +14,35 @@ from .distribution import lookup_join
 from .threads import time_key
 
 
-def first_reply_after(rows: DataFrame, hot_roots: Sequence[int] = ()) -> DataFrame:
+def first_reply_after(
+    rows: DataFrame, hot_roots: Sequence[int] = (), openings: DataFrame | None = None
+) -> DataFrame:
     """First support message strictly after the thread's first customer message.
 
-    Without one (or without a usable time) it is the thread's first support message. Both
-    passes are aggregates; the support rows meet their thread's customer time by a lookup that
-    broadcasts the few threads with very many rows.
+    Without one (or without a usable time) it is the thread's first support message. Both passes
+    are aggregates; the support rows meet their thread's customer time by a lookup that broadcasts
+    the few threads with very many rows. ``openings`` (root, first_ts, ...) restricts the threads;
+    its other columns are carried along.
     """
-    opening = (
-        rows.filter("is_customer")
-        .groupBy("root")
-        .agg(F.min_by("ts", time_key()).alias("first_ts"))
-    )
+    if openings is None:
+        openings = rows.filter("is_customer").groupBy("root").agg(F.min_by("ts", time_key()).alias("first_ts"))
+    carried = [c for c in openings.columns if c not in ("root", "first_ts")]
     support = rows.filter("is_support").select("root", "ts", "tweet_id", "text")
-    answered = lookup_join(support, opening, "root", how="inner", hot=hot_roots)
+    if carried:
+        openings = openings.select("root", "first_ts", F.struct(*carried).alias("o"))
+    answered = lookup_join(support, openings, "root", "inner", hot_roots)
     reply = F.struct("tweet_id", "ts", "text")
     later = F.when(F.col("ts") > F.col("first_ts"), time_key())
-    return (
-        answered.groupBy("root")
-        .agg(F.coalesce(F.min_by(reply, later), F.min_by(reply, time_key())).alias("r"))
-        .select("root", F.col("r.tweet_id").alias("reply_id"), "r.ts", F.col("r.text").alias("support_text"))
+    picked = answered.groupBy("root").agg(
+        F.coalesce(F.min_by(reply, later), F.min_by(reply, time_key())).alias("r"),
+        *([F.first("o").alias("o")] if carried else []),
+    )
+    return picked.select(
+        "root",
+        F.col("r.tweet_id").alias("reply_id"),
+        F.col("r.ts").alias("reply_ts"),
+        F.col("r.text").alias("support_text"),
+        *[F.col(f"o.{c}").alias(c) for c in carried],
     )
 
 
@@ -45,12 +54,12 @@ def build_corpus(
 ) -> DataFrame:
     """One row per qualifying thread: first request, the reply to it, its type, optional intent.
 
-    The qualifying test is part of the per-thread aggregate, so messages are not joined back
-    to a thread list.
+    One aggregate finds the qualifying threads and their request; only their support messages are
+    then looked at, and carry the request along, so nothing is joined back.
     """
-    request = F.struct("tweet_id", "text")
+    request = F.struct("tweet_id", "ts", "text")
     support_key = F.when(F.col("is_support") & F.col("author_id").isNotNull(), time_key())
-    threads = (
+    openings = (
         rows.groupBy("root")
         .agg(
             F.min_by("author_id", support_key).alias("brand"),
@@ -58,13 +67,19 @@ def build_corpus(
             F.min_by(request, F.when(F.col("is_customer"), time_key())).alias("q"),
         )
         .filter((F.col("brand") == brand) & F.col("q").isNotNull())
+        .select(
+            "root",
+            F.col("q.ts").alias("first_ts"),
+            F.col("q.tweet_id").alias("tweet_id"),
+            F.col("q.text").alias("text"),
+            "thread_root_tweet_id",
+        )
     )
-    replies = first_reply_after(rows, hot_roots).select("root", "support_text")
-    corpus = threads.join(replies, "root").select(
-        F.col("q.tweet_id").alias("tweet_id"),
+    corpus = first_reply_after(rows, hot_roots, openings).select(
+        "tweet_id",
         "root",
         "thread_root_tweet_id",
-        flatten_lines(F.coalesce("q.text", F.lit(""))).alias("customer_text"),
+        flatten_lines(F.coalesce("text", F.lit(""))).alias("customer_text"),
         flatten_lines(F.coalesce("support_text", F.lit(""))).alias("support_text"),
         response_type(classify_reply(F.coalesce("support_text", F.lit("")))).alias("response_type"),
     )

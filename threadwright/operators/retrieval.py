@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ngrams, word_tokens
 from ..functions.vocab import INTENT_BOOST, TOP_K
-from ..sources.staging import stage, stage_bucketed
+from ..sources.staging import discard, stage, stage_bucketed
 from .distribution import HOT_ROWS, MAX_HOT_KEYS, lookup_join
 
 MAX_BROADCAST_POSTINGS = 1_000_000
@@ -182,6 +182,7 @@ def build_index(
         normalised(counts, statistics, "text_id", parts, max_terms), "postings", "text_id", parts
     )
 
+    discard(counts)
     large = postings.count() > prune_above
     champions = stage(heaviest_postings(postings, statistics), "champions") if large else None
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vocab import JUMP_ROUND_CAP
-from ..sources.staging import drop_path, new_path, stage
+from ..sources.staging import drop_path, new_path, stage, staged_scope, track
 from .distribution import HOT_ROWS, hot_keys, lookup_join
 
 
@@ -93,26 +93,31 @@ def thread_roots(messages: DataFrame, max_rounds: int = JUMP_ROUND_CAP, hot_rows
         if previous:
             drop_path(spark, f"{previous}/done=false")
         previous = path
-        written = spark.read.schema(jumped.schema).parquet(path)
+        written = track(spark.read.schema(jumped.schema).parquet(path), path)
         finished.append(written.filter("done"))
         active = written.filter("NOT done")
         remaining = active.count()
     if remaining:
         raise ThreadingError(f"{remaining} messages reached no root within {max_rounds} rounds")
 
-    roots = resolved.filter(F.col("parent") == F.col("tweet_id")).select("tweet_id", F.col("tweet_id").alias("root"))
-    replies = None
+    # a dangling row is its own root, so the flag needs no join
+    found = resolved.filter(F.col("parent") == F.col("tweet_id")).select(
+        "tweet_id", F.col("tweet_id").alias("root"), "dangling"
+    )
     for part in finished:
-        piece = part.select("tweet_id", F.col("ptr").alias("root"))
-        replies = piece if replies is None else replies.unionByName(piece)
-    all_roots = roots if replies is None else roots.unionByName(replies)
-    return all_roots.join(resolved.select("tweet_id", "dangling"), "tweet_id")
+        found = found.unionByName(part.select("tweet_id", F.col("ptr").alias("root"), F.lit(False).alias("dangling")))
+    return found
 
 
 def build_threads(messages: DataFrame, max_rounds: int = JUMP_ROUND_CAP, hot_rows: int = HOT_ROWS) -> Threads:
     """Attach ``root`` and ``dangling`` to every message and store the table once."""
-    roots = thread_roots(messages, max_rounds, hot_rows)
-    rows = stage(messages.join(roots, "tweet_id"), "threads")
+    spark = messages.sparkSession
+    path = new_path(spark, "threads")
+    with staged_scope():
+        threaded = messages.join(thread_roots(messages, max_rounds, hot_rows), "tweet_id")
+        schema = threaded.schema
+        threaded.write.parquet(path)
+    rows = spark.read.schema(schema).parquet(path)
     return Threads(rows, tuple(hot_keys(rows, "root", hot_rows)))
 
 

@@ -10,6 +10,7 @@ from ..functions.vocab import HANDLINGS, INTENT_LABELS, JUDGE_DIMENSIONS
 from ..operators import judge, metrics
 from ..operators.classifier import drop_unclear, majority_label
 from ..operators.retrieval import Index
+from ..sources.staging import stage
 from .scoring import Classify, route_messages, rule_classifier, score_messages
 
 
@@ -61,7 +62,10 @@ def golden_predictions(
 
 
 def evaluation_summary(predictions: DataFrame) -> DataFrame:
-    """(part, system, metric, value) rows for system and constant baselines."""
+    """(part, system, metric, value) rows for system and constant baselines.
+
+    Pass a stored table: every metric is an aggregate of its own.
+    """
     with_escalate = metrics.constant_baseline(predictions, "ESCALATE", "always_escalate")
     parts = []
     for system, column in (("system", "predicted_intent"), ("majority", "majority_intent_baseline")):
@@ -85,7 +89,11 @@ def _long(row: DataFrame, part: str, system: str) -> DataFrame:
 
 
 def evaluation_report(predictions: DataFrame, n_failures: int = 10) -> DataFrame:
-    """One nested row for the JSON sink; every array is bounded by a vocabulary or ``n_failures``."""
+    """One nested row for the JSON sink; every array is bounded by a vocabulary or ``n_failures``.
+
+    The predictions feed several aggregates, so they are stored once first.
+    """
+    predictions = stage(predictions, "predictions")
 
     def rows(df: DataFrame, name: str, *order: str) -> DataFrame:
         item = F.struct(*[F.col(c) for c in (*order, *[c for c in df.columns if c not in order])])

@@ -13,37 +13,43 @@ from ..functions.text import clean_text, strip
 from ..functions.vocab import CANNED_FRAGMENT, KEYWORD_STOP_WORDS, REPLY_CLASSES
 from ..operators import brands, metrics, profile, sampling
 from ..operators.threads import Threads, thread_stats
-
-
-def dataset_profile(raw: DataFrame, messages: DataFrame) -> DataFrame:
-    """(section, item, n) rows: one scan each for columns, roles, authors and pointers."""
+from ..sources.messages import has_many_children, parse_created_at, typed_messages
+from ..sources.staging import stage
+
+
+def dataset_profile(raw: DataFrame) -> DataFrame:
+    """(section, item, n) rows.
+
+    All row-level figures come from one pass over the raw table; roles, authors and parents need
+    one pre-combined aggregate each.
+    """
+    pointers = ("response_tweet_id", "in_response_to_tweet_id")
+    figures = {
+        ("rows", "rows"): F.count(F.lit(1)),
+        ("rows", "unparsed_times"): F.count_if(
+            parse_created_at(F.col("created_at")).isNull() & F.col("created_at").isNotNull()
+        ),
+        ("rows", "empty_texts"): F.count_if(F.col("text").isNull() | (strip(F.col("text")) == "")),
+        ("pointers", "n_multi"): F.count_if(has_many_children(F.col("response_tweet_id"))),
+        **{("missing", c): F.count_if(F.col(c).isNull()) for c in raw.columns},
+        **{("populated", c): F.count(c) for c in pointers},
+    }
+    row = raw.agg(*[figure.alias(f"f{i}") for i, figure in enumerate(figures.values())])
+    parts = ", ".join(f"'{section}', '{item}', f{i}" for i, (section, item) in enumerate(figures))
+    table = row.selectExpr(f"stack({len(figures)}, {parts}) AS (section, item, n)")
 
     def section(name: str, df: DataFrame, item: str, n: str) -> DataFrame:
-        return df.select(F.lit(name).alias("section"), F.col(item).cast("string").alias("item"), F.col(n).cast("long").alias("n"))
-
-    counts = profile.unpivot_counts(
-        messages.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col("ts").isNull() & F.col("created_at").isNotNull()).alias("unparsed_times"),
-            F.count_if(F.col("text").isNull() | (strip(F.col("text")) == "")).alias("empty_texts"),
-        )
-    )
+        return df.select(F.lit(name).alias("section"), F.col(item).alias("item"), F.col(n).alias("n"))
+
+    messages = typed_messages(raw)
     authors = profile.unpivot_counts(profile.author_counts(messages))
-    both = profile.authors_in_both_roles(messages).agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("authors_in_both_roles").alias("metric"), "n"
-    )
-    parents = profile.parent_resolution_rate(messages).select("declared", "resolved")
+    both = profile.authors_in_both_roles(messages).agg(F.count(F.lit(1)).alias("n"))
+    parents = profile.unpivot_counts(profile.parent_resolution_rate(messages).select("declared", "resolved"))
     return (
-        section("rows", counts, "metric", "n")
-        .unionByName(section("missing", profile.null_counts(raw), "column", "n_null"))
-        .unionByName(section("role", profile.value_counts(raw, "inbound"), "value", "n"))
+        table.unionByName(section("role", profile.value_counts(raw, "inbound"), "value", "n"))
         .unionByName(section("authors", authors, "metric", "n"))
-        .unionByName(section("authors", both, "metric", "n"))
-        .unionByName(section("parents", profile.unpivot_counts(parents), "metric", "n"))
-        .unionByName(
-            section("populated", profile.pointer_coverage(raw, "response_tweet_id", "in_response_to_tweet_id"), "pointer", "populated")
-        )
-        .unionByName(section("pointers", profile.unpivot_counts(profile.many_children(raw)), "metric", "n"))
+        .unionByName(section("authors", both.withColumn("metric", F.lit("authors_in_both_roles")), "metric", "n"))
+        .unionByName(section("parents", parents, "metric", "n"))
     )
 
 
@@ -152,10 +158,21 @@ def compare_samples(first: DataFrame, second: DataFrame) -> DataFrame:
     return tagged.groupBy("section", "item").pivot("sample", ["sample1", "sample2"]).agg(F.sum("value"))
 
 
+def paired_samples(
+    threads: Threads, brand: str, n: int = 400, seeds: tuple[int, int] = (42, 123)
+) -> tuple[DataFrame, DataFrame]:
+    """The messages of two independent samples, read from the threads table in one pass and stored."""
+    stats = thread_stats(threads.rows)
+    first, second = (
+        sampling.sample_roots(stats, brand, n, seed).withColumn("sample", F.lit(i)) for i, seed in enumerate(seeds)
+    )
+    rows = stage(threads.rows.join(first.unionByName(second), "root"), "samples")
+    return rows.filter("sample = 0").drop("sample"), rows.filter("sample = 1").drop("sample")
+
+
 def replication_report(threads: Threads, brand: str, n: int = 400, seeds: tuple[int, int] = (42, 123)) -> DataFrame:
     """Two independent samples of the brand's threads compared, with their overlap."""
-    stats = thread_stats(threads.rows)
-    first, second = (sampling.sample_threads(threads.rows, stats, brand, n, seed) for seed in seeds)
+    first, second = paired_samples(threads, brand, n, seeds)
     common = sample_overlap(first, second).selectExpr(
         "'overlap' AS section",
         "'threads' AS item",

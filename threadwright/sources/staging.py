@@ -8,10 +8,17 @@ a lost executor never loses an intermediate result. The folder is the session's
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCATIONS: WeakKeyDictionary[DataFrame, tuple[str, str | None]] = WeakKeyDictionary()
+_SCOPES = threading.local()
+
 
 def staging_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
@@ -33,7 +40,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return track(spark.read.schema(df.schema).parquet(path), path)
 
 
 def stage_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
@@ -43,10 +50,38 @@ def stage_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFram
     task writes a piece of every bucket.
     """
     spark = df.sparkSession
-    table = f"{name}_{uuid.uuid4().hex}"
-    writer = df.write.format("parquet").bucketBy(buckets, key).option("path", new_path(spark, name))
-    writer.saveAsTable(table)
-    return spark.table(table)
+    table, path = f"{name}_{uuid.uuid4().hex}", new_path(spark, name)
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    return track(spark.table(table), path, table)
+
+
+def track(df: DataFrame, path: str, table: str | None = None) -> DataFrame:
+    """Note where a staged table lies, so that it can be discarded."""
+    _LOCATIONS[df] = (path, table)
+    for scope in getattr(_SCOPES, "open", [])[-1:]:
+        scope.append(df)
+    return df
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more."""
+    path, table = _LOCATIONS.pop(df)
+    if table:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+    drop_path(df.sparkSession, path)
+
+
+@contextmanager
+def staged_scope() -> Iterator[None]:
+    """Discard on exit whatever this thread staged inside, for example per micro-batch."""
+    scopes = _SCOPES.__dict__.setdefault("open", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for df in scopes.pop():
+            if df in _LOCATIONS:
+                discard(df)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -9,6 +9,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators.retrieval import Index
 from ..plans.scoring import Classify, route_messages, rule_classifier, score_messages
+from ..sources.staging import staged_scope
 
 MESSAGE_SCHEMA = StructType([StructField("message_id", LongType()), StructField("message", StringType())])
 
@@ -32,12 +33,15 @@ def route_stream(
     """Run the batch plan on each micro-batch against a static index.
 
     Every micro-batch overwrites its own ``batch_id`` folder, so a batch that is replayed after a
-    failure leaves the same output.
+    failure leaves the same output, and discards its intermediate tables.
     """
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        routed = route_messages(score_messages(batch, index, corpus, classify))
-        routed.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        batch.persist()
+        with staged_scope():
+            routed = route_messages(score_messages(batch, index, corpus, classify))
+            routed.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        batch.unpersist()
 
     return (
         feed.writeStream.foreachBatch(route)
