@@ -335,17 +335,18 @@ def retrieve(
         )
         best = part if best is None else best.unionByName(part)
     if pad:
-        keys = F.array_distinct(F.array(F.coalesce("query_intent", F.lit(ANY_INTENT)), F.lit(ANY_INTENT)))
-        pads = (
-            units.select("unit", "query_intent", F.explode(keys).alias("pad_key"))
-            .join(F.broadcast(index.fallback), "pad_key")
-            .withColumn("similarity", F.lit(0.0))
-        )
         columns = ["unit", "query_intent", "doc_id", "intent", "similarity"]
-        merged = best.select(*columns).unionByName(pads.select(*columns))
-        merged = merged.groupBy("unit", "query_intent", "doc_id", "intent").agg(
-            F.max("similarity").alias("similarity")
-        )
+        zero = F.lit(0.0).alias("similarity")
+        # the overall list has depth + 1 rows; the per-intent lists are joined by their size
+        overall = index.fallback.filter(F.col("pad_key") == ANY_INTENT)
+        listed = overall.agg(F.collect_list(F.struct("doc_id", "intent")).alias("d")).scalar()
+        everyone = units.select("unit", "query_intent", F.explode(listed).alias("d"))
+        pads = everyone.select("unit", "query_intent", "d.doc_id", "d.intent", zero)
+        alike = units.filter("query_intent IS NOT NULL").withColumn("pad_key", F.col("query_intent"))
+        same = index.fallback.filter(F.col("pad_key") != ANY_INTENT).select("pad_key", "doc_id", "intent")
+        pads = pads.unionByName(alike.join(same, "pad_key").select("unit", "query_intent", "doc_id", "intent", zero))
+        merged = best.select(*columns).unionByName(pads)
+        merged = merged.groupBy("unit", "query_intent", "doc_id", "intent").agg(F.max("similarity").alias("similarity"))
         best = _best(merged, boost, keep)
 
     # a copy-heavy query fans out only here, to k rows per asking row

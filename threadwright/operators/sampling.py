@@ -119,7 +119,7 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str, seed: int = 42)
     """Adds ``split`` (train / validation / test), stratified 70/15/15 by label."""
     plan = split_plan(df, label_col).withColumnRenamed("label", label_col)
     ranked = hash_rank(df, [label_col], seed, id_col, "__rank")
-    joined = ranked.join(F.broadcast(plan.select(label_col, "n_train", "n_validation")), label_col)
+    joined = ranked.join(plan.select(label_col, "n_train", "n_validation"), label_col)
     split = (
         F.when(F.col("__rank") <= F.col("n_train"), "train")
         .when(F.col("__rank") <= F.col("n_train") + F.col("n_validation"), "validation")

@@ -63,7 +63,7 @@ def thread_roots(messages: DataFrame, max_rounds: int = JUMP_ROUND_CAP, hot_rows
     log2(depth) + 1 rounds run. Only the two id columns are ever shuffled.
     """
     spark = messages.sparkSession
-    links = messages.select("tweet_id", "parent_id")
+    links = stage(messages.select("tweet_id", "parent_id"), "links")
     resolved = stage(resolve_parents(links, tuple(hot_keys(links, "parent_id", hot_rows))), "parents")
 
     active = resolved.filter(F.col("parent") != F.col("tweet_id")).select(
