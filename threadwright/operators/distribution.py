@@ -41,7 +41,8 @@ def exact_rank(
 
     ``bucket`` must be non-null and non-decreasing along ``order`` (a hash prefix, an hour, ...).
     Rows are ranked inside (group, bucket); the bucket sizes, not the rows, are summed along the
-    group to get each bucket's offset. Ranking and counting share one shuffle.
+    group to get each bucket's offset. Ranking and counting share one shuffle. Group columns must
+    not be null (the offsets are joined on them), and a group should have few distinct buckets.
     """
     keys = [*within, "__bucket"]
     tagged = df.withColumn("__bucket", bucket)
