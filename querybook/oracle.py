@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import glob
-import os
 import re
-import zipfile
-from functools import lru_cache
 
 from threadwright.functions import vocab as V
 from threadwright.sources.fixtures import CUSTOMER_PHRASES, SUPPORT_PHRASES
@@ -99,16 +95,6 @@ def matched_count(text: str) -> str:
     return " + ".join(f"CAST({matches(f'lower({text})', p)} AS INT)" for _, p, _, _ in V.PRIORITY_RULES)
 
 
-@lru_cache(maxsize=1)
-def stop_words() -> tuple[str, ...]:
-    """Spark's English list, read from the library's own archive so that no session is needed."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as jar:
-        return tuple(jar.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split())
-
-
 FLAT = "replace(coalesce({0}, ''), chr(10), ' ')"
 TIME = "ts ASC NULLS LAST, tweet_id"
 
@@ -125,7 +111,7 @@ def tfidf(prefix: str, docs: str, min_df: int = 2, queries: str | None = None) -
     """CTEs for normalised postings of ``docs(id, text)`` and, optionally, ``queries(id, text)``."""
 
     def terms(source: str) -> str:
-        tokens = f"[x for x in regexp_extract_all(lower(text), '{WORD}{{2,}}') if x NOT IN ({listed(stop_words())})]"
+        tokens = f"[x for x in regexp_extract_all(lower(text), '{WORD}{{2,}}') if x NOT IN ({listed(V.ENGLISH_STOP_WORDS)})]"
         return (
             f"SELECT id, unnest(list_concat(tok, [tok[i] || ' ' || tok[i + 1] for i in range(1, len(tok))])) AS term "
             f"FROM (SELECT id, {tokens} AS tok FROM {source})"

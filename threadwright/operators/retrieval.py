@@ -16,12 +16,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ngrams, word_tokens
-from ..functions.vocab import INTENT_BOOST, TOP_K
+from ..functions.vocab import ENGLISH_STOP_WORDS, INTENT_BOOST, TOP_K
 from ..sources.staging import discard, stage, stage_bucketed
 from .distribution import HOT_ROWS, MAX_HOT_KEYS, lookup_join
 
@@ -34,8 +33,8 @@ ANY_INTENT = ""
 
 
 def english_stop_words() -> list[str]:
-    """The English list that ships with Spark; pass another list where parity needs it."""
-    return StopWordsRemover.loadDefaultStopWords("english")
+    """Spark's English list; pass another list where parity needs it."""
+    return list(ENGLISH_STOP_WORDS)
 
 
 @dataclass(frozen=True)
