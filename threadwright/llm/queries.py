@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import discriminant, language, supervision
+from . import discriminant, language, packing, supervision
 from .common import crc_mod, staged, table
 
 LLM_QUERIES = {}
 LLM_SQL = {}
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def registered(fn):
     LLM_QUERIES[fn.__name__] = fn
     return fn
@@ -24,6 +30,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *supervision.BASE, "base_failed", "kept", "quality_probability")
 
 
+@registered
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(staged(packing.tokenized_pieces(docs, vocabulary()), "pieces"))
+
+
 @registered
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
