@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import discriminant, language, packing, supervision
+from . import discriminant, language, mixing, packing, supervision
 from .common import crc_mod, staged, table
 
 LLM_QUERIES = {}
@@ -36,6 +36,70 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(staged(packing.tokenized_pieces(docs, vocabulary()), "pieces"))
 
 
+#: Target weights of the mixture; nodes that are not listed weigh 1.
+MIX_LEVELS = ("domain", "lang", "source")
+MIX_WEIGHTS = {("domain0",): 5, ("domain1",): 3, ("domain2",): 2, ("en",): 5, ("de",): 3, ("fr",): 2}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.5, 4, 11
+DOMAIN = "coalesce(concat('domain', cast(try_cast(regexp_extract(source, '[0-9]+', 0) as int) % 3 as string)), 'other')"
+
+
+@registered
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per chosen document and epoch."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", F.expr(DOMAIN).alias("domain"), mixing.word_count("text").alias("n_tokens")
+    )
+    slim = staged(docs, "documents-to-mix")
+    mixed = mixing.mix_to_weights(slim, "n_tokens", MIX_LEVELS, MIX_WEIGHTS, None, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+    return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+
+
+def mixing_sql(docs: str, share: float, epochs: int) -> str:
+    """The chosen (doc_id, epoch) of ``docs(doc_id, domain, lang, source, n_tokens)`` in DuckDB's dialect."""
+    names = [f"l{i}" for i in range(len(MIX_LEVELS))]
+    keys = ", ".join(names)
+    levels = ", ".join(f"coalesce({c}, '') AS {n}" for c, n in zip(MIX_LEVELS, names, strict=True))
+    ctes = [
+        f"slim AS (SELECT doc_id, {levels}, n_tokens FROM ({docs}))",
+        f"given AS (SELECT CAST(trunc(coalesce(sum(n_tokens), 0) * {share}) AS HUGEINT) AS b FROM slim)",
+        f"t0 AS (SELECT {keys}, CAST(sum(n_tokens) AS HUGEINT) AS tokens, CAST(sum(n_tokens) AS HUGEINT) * {epochs} AS cap, "
+        f"(SELECT b FROM given) AS budget FROM slim GROUP BY {keys})",
+    ]
+    for depth in range(1, len(names) + 1):
+        own, parent, name = ", ".join(names[:depth]), ", ".join(names[: depth - 1]) or "'root'", names[depth - 1]
+        known = " ".join(f"WHEN {name} = '{path[0]}' THEN {w}" for path, w in MIX_WEIGHTS.items())
+        ctes += [
+            f"n{depth} AS (SELECT {own}, sum(cap)::HUGEINT AS cap, any_value(budget) AS given, (CASE {known} ELSE 1 END)::HUGEINT AS w "
+            f"FROM t{depth - 1} GROUP BY {own})",
+            f"s{depth} AS (SELECT *, sum(cap) OVER up AS cap_sum, sum(w) OVER (PARTITION BY {parent}) - sum(w) OVER up AS above FROM n{depth} "
+            f"WINDOW up AS (PARTITION BY {parent} ORDER BY cap::DOUBLE / w::DOUBLE, {name} ROWS UNBOUNDED PRECEDING))",
+            f"f{depth} AS (SELECT *, cap_sum::HUGEINT * w + cap * above::HUGEINT <= given * w AS filled FROM s{depth})",
+            f"u{depth} AS (SELECT *, coalesce(sum(cap) FILTER (filled) OVER (PARTITION BY {parent}), 0)::HUGEINT AS used, "
+            f"coalesce(sum(w) FILTER (NOT filled) OVER (PARTITION BY {parent}), 0)::HUGEINT AS w_open FROM f{depth})",
+            f"t{depth} AS (SELECT {', '.join('t.' + n for n in names)}, t.tokens, t.cap, CASE WHEN u.filled THEN u.cap "
+            f"WHEN u.w_open > 0 THEN ((u.given - u.used) * u.w) // u.w_open ELSE 0 END AS budget "
+            f"FROM t{depth - 1} t JOIN u{depth} u USING ({own}))",
+        ]
+    ctes += [
+        f"plan AS (SELECT {keys}, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS whole, tokens, budget FROM t{len(names)})",
+        f"ep AS (SELECT doc_id, n_tokens, {keys}, whole, budget - whole * tokens AS rest, unnest(range(0, (whole + 1)::BIGINT)) AS epoch "
+        f"FROM slim JOIN plan USING ({keys}))",
+        f"pos AS (SELECT *, sum(n_tokens) OVER (PARTITION BY {keys}, epoch ORDER BY md5('{MIX_SEED}:' || epoch || ':' || doc_id), doc_id) AS reach FROM ep)",
+        "chosen AS (SELECT doc_id, epoch::INT AS epoch FROM pos WHERE epoch < whole OR (rest > 0 AND reach <= rest))",
+    ]
+    return "WITH " + ", ".join(ctes) + " SELECT doc_id, epoch FROM chosen"
+
+
+DOCS_TO_MIX = (
+    "SELECT doc_id, lang, source, coalesce('domain' || (TRY_CAST(regexp_extract(source, '[0-9]+') AS INT) % 3)::VARCHAR, 'other') AS domain, "
+    r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens FROM documents"
+)
+LLM_SQL["op6_source_mixing"] = lambda: (
+    f"SELECT c.doc_id, d.domain, d.lang, d.source, d.n_tokens, c.epoch FROM ({mixing_sql(DOCS_TO_MIX, MIX_SHARE, MIX_EPOCHS)}) c "
+    f"JOIN ({DOCS_TO_MIX}) d USING (doc_id)"
+)
+
+
 @registered
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
