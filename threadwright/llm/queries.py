@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import discriminant, html, language, mixing, packing, supervision
+from . import discriminant, embeddings, html, language, mixing, packing, supervision
 from .common import crc_mod, staged, table
 
 LLM_QUERIES = {}
@@ -23,6 +23,11 @@ def registered(fn):
     return fn
 
 
+@registered
+def op1_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @registered
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_main_text(table(spark, sf_dir, "pages"), columns=["page_id", "url"])
