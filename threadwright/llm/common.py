@@ -7,6 +7,7 @@ chunk of its own.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.staging import new_path
+from ..sources.staging import discard, new_path, track
 
 CHUNK_BYTES = 2 << 20
 _SPACE = np.zeros(256, dtype=bool)
@@ -30,7 +31,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back; cuts the lineage."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return track(spark.read.schema(df.schema).parquet(path), path)
+
+
+def release(*tables: DataFrame, spark: SparkSession | None = None) -> None:
+    """Delete stored tables that nothing reads any more, and let Spark drop finished shuffles.
+
+    Spark removes a shuffle's files once the driver has collected the plan that made it, which on a
+    quiet driver may be long after; a driver-side collection between phases keeps disk use flat.
+    """
+    for df in tables:
+        spark = df.sparkSession
+        discard(df)
+    gc.collect()
+    if spark is not None:
+        spark._jvm.System.gc()
 
 
 def partitions(df: DataFrame) -> int:
@@ -145,3 +160,9 @@ def row_sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Number of true flags between consecutive offsets."""
     total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
     return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def recurring(occurrences: DataFrame, key: str, doc: str) -> DataFrame:
+    """Keys that occur in more than one document, with the ``first`` one (map-side combined)."""
+    seen = occurrences.groupBy(key).agg(F.min(doc).alias("first"), F.max(doc).alias("last"))
+    return seen.filter("first < last").select(key, "first")

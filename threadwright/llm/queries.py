@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import discriminant, embeddings, html, language, mixing, packing, supervision
+from . import discriminant, embeddings, html, language, mixing, packing, substrings, supervision
 from .common import crc_mod, staged, table
 
 LLM_QUERIES = {}
@@ -33,6 +33,12 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_main_text(table(spark, sf_dir, "pages"), columns=["page_id", "url"])
 
 
+@registered
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeated_passages(docs, columns=["doc_id"])
+
+
 @registered
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
