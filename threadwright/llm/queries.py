@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import discriminant, embeddings, html, language, mixing, packing, substrings, supervision
+from . import discriminant, embeddings, html, jaccard, language, mixing, packing, substrings, supervision
 from .common import crc_mod, staged, table
 
 LLM_QUERIES = {}
@@ -125,6 +125,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discriminant.score_quality(rows, model)
 
 
+@registered
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
