@@ -5,19 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import discriminant, embeddings, html, jaccard, language, mixing, packing, substrings, supervision
 from .common import crc_mod, staged, table
+from .targets import DOMAIN, MIX_EPOCHS, MIX_LEVELS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, vocabulary
 
 LLM_QUERIES = {}
 LLM_SQL = {}
 
 
-def vocabulary() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 def registered(fn):
     LLM_QUERIES[fn.__name__] = fn
     return fn
@@ -52,13 +49,6 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(staged(packing.tokenized_pieces(docs, vocabulary()), "pieces"))
 
 
-#: Target weights of the mixture; nodes that are not listed weigh 1.
-MIX_LEVELS = ("domain", "lang", "source")
-MIX_WEIGHTS = {("domain0",): 5, ("domain1",): 3, ("domain2",): 2, ("en",): 5, ("de",): 3, ("fr",): 2}
-MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.5, 4, 11
-DOMAIN = "coalesce(concat('domain', cast(try_cast(regexp_extract(source, '[0-9]+', 0) as int) % 3 as string)), 'other')"
-
-
 @registered
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per chosen document and epoch."""
@@ -136,3 +126,6 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.withColumn("held_out", crc_mod("doc_id", 4) == 2)
     model = language.fit_language_model(docs.filter(~F.col("held_out")))
     return language.identify_language(docs.drop("lang"), model, columns=["doc_id", "held_out"])
+
+
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
