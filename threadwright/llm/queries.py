@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import discriminant, embeddings, html, jaccard, language, mixing, packing, substrings, supervision
+from . import discriminant, embeddings, html, jaccard, language, mixing, packing, substrings, suffixes, supervision
 from .common import crc_mod, staged, table
 from .targets import DOMAIN, MIX_EPOCHS, MIX_LEVELS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, vocabulary
 
@@ -128,4 +128,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_language(docs.drop("lang"), model, columns=["doc_id", "held_out"])
 
 
+@registered
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.remove_repeated_bytes(docs, columns=["doc_id"])
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
