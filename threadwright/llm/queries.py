@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import discriminant, embeddings, html, jaccard, language, mixing, packing, substrings, suffixes, supervision
+from . import discriminant, embeddings, html, jaccard, language, mixing, oracles, packing, substrings, suffixes, supervision
 from .common import crc_mod, staged, table
 from .targets import DOMAIN, MIX_EPOCHS, MIX_LEVELS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, vocabulary
 
@@ -134,4 +134,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeated_bytes(docs, columns=["doc_id"])
 
 
+LLM_SQL["op1_embedding_near_duplicates"] = lambda: oracles.NEAR_VECTORS
+LLM_SQL["op3_substring_dedup"] = lambda: oracles.REPEATED_PASSAGES
+LLM_SQL["op8_jaccard_join"] = lambda: oracles.JACCARD_GROUPS
+LLM_SQL["op10_suffix_dedup"] = lambda: oracles.REPEATED_BYTES
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
