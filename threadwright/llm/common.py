@@ -2,7 +2,7 @@
 
 Whole batches of texts are handled as one byte buffer with offsets, so that words, windows and
 counts are array operations. Text chunks are bounded in bytes, not in rows: a very long text is a
-chunk of its own.
+chunk of its own. Column names that begin with two underscores are reserved for the operators.
 """
 
 from __future__ import annotations
