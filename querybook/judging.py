@@ -149,9 +149,9 @@ def representative_rows(b: Book) -> DataFrame:
     return judge.representative_rows(b.scored).select("tweet_id", "overall", "position")
 
 
-@query("F5", lambda: compose("SELECT tweet_id, overall FROM scored ORDER BY overall, tweet_id LIMIT 20"))
+@query("F5", lambda: compose("SELECT tweet_id, overall FROM scored ORDER BY overall, tweet_id"))
 def lowest_scored_rows(b: Book) -> DataFrame:
-    return b.scored.select("tweet_id", "overall").orderBy("overall", "tweet_id").limit(20)
+    return b.scored.select("tweet_id", "overall").orderBy("overall", "tweet_id")
 
 
 @query(

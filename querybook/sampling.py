@@ -98,10 +98,32 @@ def stratified_order_sample(b: Book) -> DataFrame:
     return sampling.stratified_share(orders, ["o_orderpriority"], "o_orderkey")
 
 
-@query("H6, A8")
+DIMENSIONS = ["predicted_intent", "predicted_response_behavior", "predicted_handling"]
+COVERAGE = {
+    "tagged": f"SELECT tweet_id, {', '.join(DIMENSIONS)}, md5('8080:' || tweet_id) AS h FROM scored",
+    "firsts": " UNION ALL ".join(f"SELECT min(h) AS h FROM tagged GROUP BY {d}" for d in DIMENSIONS),
+    "cover": "SELECT h FROM firsts GROUP BY h ORDER BY count(*) DESC, h LIMIT 30",
+    "others": f"SELECT *, concat_ws(' | ', {', '.join(DIMENSIONS)}) AS label FROM tagged WHERE h NOT IN (SELECT h FROM cover)",
+    "strata": "SELECT label, count(*) AS n, (SELECT 30 - count(*) FROM cover) AS room FROM others GROUP BY label",
+    "exact": "SELECT *, n * room / sum(n) OVER () AS share FROM strata",
+    "quota": (
+        "SELECT label, floor(share) + CASE WHEN row_number() OVER (ORDER BY round(share - floor(share), 9) DESC, label) "
+        "<= room - sum(floor(share)) OVER () THEN 1 ELSE 0 END AS take FROM exact"
+    ),
+    "ranked": "SELECT *, row_number() OVER (PARTITION BY label ORDER BY h, tweet_id) AS k FROM others JOIN quota USING (label)",
+}
+
+
+@query(
+    "H6, A8",
+    lambda: compose(
+        f"SELECT tweet_id, {', '.join(DIMENSIONS)} FROM tagged WHERE h IN (SELECT h FROM cover) "
+        f"UNION ALL SELECT tweet_id, {', '.join(DIMENSIONS)} FROM ranked WHERE k <= take",
+        COVERAGE,
+    ),
+)
 def coverage_sample(b: Book) -> DataFrame:
-    dims = ["predicted_intent", "predicted_response_behavior", "predicted_handling"]
-    return sampling.coverage_sample(b.scored, dims, "tweet_id", 30).select("tweet_id", *dims)
+    return sampling.coverage_sample(b.scored, DIMENSIONS, "tweet_id", 30).select("tweet_id", *DIMENSIONS)
 
 
 def split_ctes(source: str) -> dict[str, str]:

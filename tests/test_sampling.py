@@ -59,11 +59,17 @@ def test_coverage_sample_of_fewer_rows_than_asked(spark):
     assert sampling.coverage_sample(df, ["a"], "tweet_id", 30).count() == 4
 
 
-def test_coverage_plan_is_proportional():
-    combos = [(("x",), 80), (("y",), 20)]
-    plan = sampling.coverage_plan(combos, 10, {("x",): "0", ("y",): "1"})
-    # one row each for coverage, then round(8 * 79/98) and round(8 * 19/98)
-    assert plan == {("x",): 7, ("y",): 3}
+def test_coverage_sample_fills_in_proportion(spark):
+    rows = [(i, "x" if i < 80 else "y") for i in range(100)]
+    sample = sampling.coverage_sample(spark.createDataFrame(rows, "tweet_id bigint, a string"), ["a"], "tweet_id", 10)
+    # one row each for coverage, then 8 * 79/98 and 8 * 19/98
+    assert Counter(r.a for r in sample.collect()) == {"x": 7, "y": 3}
+
+
+def test_coverage_sample_smaller_than_its_values(spark):
+    rows = [(i, f"v{i}", "same") for i in range(20)]
+    sample = sampling.coverage_sample(spark.createDataFrame(rows, "tweet_id bigint, a string, b string"), ["a", "b"], "tweet_id", 5)
+    assert len({r.tweet_id for r in sample.collect()}) == 5
 
 
 def test_bucketed_pick_tops_up(spark):

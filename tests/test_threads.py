@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadwright.operators import context, corpus, threads
+from threadwright.sources.staging import new_path
 
 
 def roots_of(df, **options):
@@ -42,15 +43,20 @@ def links(spark, pairs):
     return spark.createDataFrame(pairs, "tweet_id bigint, parent_id bigint")
 
 
-def test_deep_chain_takes_few_rounds(spark):
+def test_deep_chain_takes_few_rounds(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(threads, "new_path", lambda s, name: rounds.append(name) or new_path(s, name))
     df = links(spark, [(i, i - 1 if i else None) for i in range(300)])
-    assert set(roots_of(df, max_rounds=10).values()) == {0}
+    assert set(roots_of(df).values()) == {0} and len(rounds) <= 10
 
 
-def test_cycle_is_reported(spark):
-    df = links(spark, [(1, 2), (2, 1), (3, None), (4, 3)])
-    with pytest.raises(threads.ThreadingError):
-        threads.thread_roots(df, max_rounds=4)
+def test_cycle_leaves_other_threads_alone(spark):
+    cycle = [(1, 2), (2, 1), (5, 1), (6, 5), (9, 9)]
+    chain = [(i, i - 1 if i > 100 else None) for i in range(100, 140)]
+    found = {r.tweet_id: (r.root, r.dangling) for r in threads.thread_roots(links(spark, [*cycle, (3, None), (4, 3), *chain])).collect()}
+    assert all(found[i] == (i, True) for i in (1, 2, 5, 6))
+    assert found[9] == (9, False) and found[3] == found[4] == (3, False)
+    assert all(found[i] == (100, False) for i in range(100, 140))
 
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 5])

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import size_bucket
 from ..functions.vocab import TRAINING_FRACTION
-from .distribution import hash_rank, seeded_hash, values_frame
+from ..sources.staging import stage
+from .distribution import hash_rank, seeded_hash
 from .threads import qualifying_threads, rows_of_threads
 
 
@@ -128,64 +129,29 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str, seed: int = 42)
     return joined.withColumn("split", split).drop("__rank", "n_train", "n_validation")
 
 
-MAX_COMBINATIONS = 10_000
-
-
-def coverage_plan(combos: list[tuple[tuple, int]], size: int, order: dict[tuple, str]) -> dict[tuple, int]:
-    """Rows to take per combination: cover every value of every dimension, then fill in proportion."""
-    left = dict(combos)
-    wanted = {(i, v) for combo in left for i, v in enumerate(combo)}
-    taken: dict[tuple, int] = dict.fromkeys(left, 0)
-    covered: set = set()
-    while covered != wanted and sum(taken.values()) < size:
-        open_combos = [c for c in left if left[c] > 0]
-        best = min(open_combos, key=lambda c: (-len(set(enumerate(c)) - covered), order[c]))
-        covered |= set(enumerate(best))
-        taken[best] += 1
-        left[best] -= 1
-
-    need = size - sum(taken.values())
-    pool = {c: n for c, n in sorted(left.items()) if n > 0}
-    if need > 0 and pool:
-        whole = sum(pool.values())
-        share = {c: max(1, round(n / whole * need)) for c, n in pool.items()}
-        while sum(share.values()) > need and any(s > 1 for s in share.values()):
-            share[max((c for c in share if share[c] > 1), key=lambda c: share[c])] -= 1
-        while sum(share.values()) < need and any(share[c] < pool[c] for c in pool):
-            share[max((c for c in pool if share[c] < pool[c]), key=lambda c: pool[c] - share[c])] += 1
-        for combo, n in share.items():
-            room = size - sum(taken.values())
-            taken[combo] += min(n, pool[combo], room)
-    return {c: n for c, n in taken.items() if n > 0}
-
-
 def coverage_sample(df: DataFrame, dimensions: list[str], id_col: str, size: int = 30, seed: int = 8080) -> DataFrame:
     """``size`` rows that show every value of every dimension, in shuffled order.
 
-    The choice depends only on the value combinations, so Spark counts those, the (vocabulary
-    bounded) counts are planned on the driver, and the rows are taken by hash rank.
+    The first row (by seeded hash) of each value is taken; rows that stand for several values come
+    first if there are more than ``size``. What room is left goes to the joint strata of the other
+    rows by largest remainder, and within a stratum to the first rows by hash. Everything but the
+    number of covering rows (``size`` at most) stays in Spark.
     """
-    key = F.min(seeded_hash(seed, F.col(id_col))).alias("first")
-    grouped = df.groupBy(*dimensions).agg(F.count(F.lit(1)).alias("n"), key)
-    counts = grouped.limit(MAX_COMBINATIONS + 1).collect()
-    if len(counts) > MAX_COMBINATIONS:
-        raise ValueError("dimensions must be closed vocabularies")
-    combos = [(tuple(r[d] for d in dimensions), r["n"]) for r in counts]
-    order = {tuple(r[d] for d in dimensions): r["first"] for r in counts}
-    plan = coverage_plan(combos, size, order)
-    if not plan:
-        return df.limit(0)
-    schema = ", ".join(f"{d} string" for d in dimensions) + ", take bigint"
-    quota = values_frame(df.sparkSession, [(*combo, n) for combo, n in plan.items()], schema)
-    ranked = df.withColumn("__hash", seeded_hash(seed, F.col(id_col)))
-    by_hash = Window.partitionBy(*dimensions).orderBy("__hash", id_col)
-    picked = ranked.withColumn("__rank", F.row_number().over(by_hash)).filter(F.col("__rank") <= size)
-    return (
-        picked.join(F.broadcast(quota), dimensions)
-        .filter("__rank <= take")
-        .orderBy("__hash")
-        .drop("__rank", "take", "__hash")
-    )
+    tagged = df.withColumn("__draw", seeded_hash(seed, F.col(id_col)))
+    values = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value")) for d in dimensions])
+    seen = tagged.select("__draw", F.explode(values).alias("v"))
+    firsts = seen.groupBy("v.dimension", "v.value").agg(F.min("__draw").alias("__draw"))
+    firsts = firsts.groupBy("__draw").agg(F.count(F.lit(1)).alias("__values")).orderBy(F.desc("__values"), "__draw").limit(size)
+    cover = stage(firsts.select("__draw"), "coverage")
+    room = size - cover.count()
+
+    label = F.concat_ws(" | ", *[F.coalesce(F.col(d).cast("string"), F.lit("")) for d in dimensions])
+    rest = tagged.join(cover, "__draw", "left_anti").withColumn("label", label)
+    strata = rest.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    quota = _largest_remainder(strata, "n", F.lit(room), "__take").select("label", "__take")
+    filled = hash_rank(rest, ["label"], seed, id_col, "__rank").join(quota, "label").filter("__rank <= __take")
+    picked = tagged.join(cover, "__draw", "left_semi").unionByName(filled.select(tagged.columns))
+    return picked.orderBy("__draw").drop("__draw")
 
 
 def simple_sample(df: DataFrame, id_col: str, n: int, seed: int = 0) -> DataFrame:

@@ -7,15 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vocab import JUMP_ROUND_CAP
 from ..sources.staging import drop_path, new_path, stage, staged_scope, track
 from .distribution import HOT_ROWS, hot_keys, lookup_join
 
 
-class ThreadingError(RuntimeError):
-    """Reply pointers form a cycle or a chain deeper than the round cap can reach."""
-
-
 @dataclass(frozen=True)
 class Threads:
     """Messages with their thread root, plus the roots that hold a great many rows."""
@@ -55,9 +50,13 @@ def dangling_parents(messages: DataFrame) -> DataFrame:
     return messages.filter(F.col("parent_id").isNotNull()).join(ids, "parent_id", "left_anti")
 
 
-def thread_roots(messages: DataFrame, max_rounds: int = JUMP_ROUND_CAP, hot_rows: int = HOT_ROWS) -> DataFrame:
+def thread_roots(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(tweet_id, root, dangling) for every row by pointer doubling.
 
+    A row whose parents lead into a cycle has no root: it becomes its own and is flagged dangling;
+    all other threads are not touched by it. As long as a row with a root is unfinished, some row
+    finishes in every round, so a round that finishes none ends the loop.
+
     Each round joins only the unfinished rows with the current pointers of all replies and writes
     the outcome, so a round's cost shrinks as rows reach their root and at most about
     log2(depth) + 1 rounds run. Only the two id columns are ever shuffled.
@@ -72,9 +71,9 @@ def thread_roots(messages: DataFrame, max_rounds: int = JUMP_ROUND_CAP, hot_rows
     finished: list[DataFrame] = []
     previous = None
     remaining = active.count()
-    for _ in range(max_rounds):
-        if remaining == 0:
-            break
+    before = -1
+    while remaining not in (0, before):
+        before = remaining
         pointers = active
         for part in finished:
             pointers = pointers.unionByName(part)
@@ -97,24 +96,22 @@ def thread_roots(messages: DataFrame, max_rounds: int = JUMP_ROUND_CAP, hot_rows
         finished.append(written.filter("done"))
         active = written.filter("NOT done")
         remaining = active.count()
-    if remaining:
-        raise ThreadingError(f"{remaining} messages reached no root within {max_rounds} rounds")
-
     # a dangling row is its own root, so the flag needs no join
     found = resolved.filter(F.col("parent") == F.col("tweet_id")).select(
         "tweet_id", F.col("tweet_id").alias("root"), "dangling"
     )
     for part in finished:
         found = found.unionByName(part.select("tweet_id", F.col("ptr").alias("root"), F.lit(False).alias("dangling")))
-    return found
+    cyclic = active.select("tweet_id", F.col("tweet_id").alias("root"), F.lit(True).alias("dangling"))
+    return found.unionByName(cyclic)
 
 
-def build_threads(messages: DataFrame, max_rounds: int = JUMP_ROUND_CAP, hot_rows: int = HOT_ROWS) -> Threads:
+def build_threads(messages: DataFrame, hot_rows: int = HOT_ROWS) -> Threads:
     """Attach ``root`` and ``dangling`` to every message and store the table once."""
     spark = messages.sparkSession
     path = new_path(spark, "threads")
     with staged_scope():
-        threaded = messages.join(thread_roots(messages, max_rounds, hot_rows), "tweet_id")
+        threaded = messages.join(thread_roots(messages, hot_rows), "tweet_id")
         schema = threaded.schema
         threaded.write.parquet(path)
     rows = spark.read.schema(schema).parquet(path)
