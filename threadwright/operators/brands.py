@@ -96,26 +96,27 @@ def brand_threads(rows: DataFrame) -> DataFrame:
 def handle_signal(rows: DataFrame, brands: list[str] | None = None) -> DataFrame:
     """Share of customer messages in a brand's threads that open with its @handle.
 
-    Customer rows are first reduced to counts per (thread, leading handle), so a huge thread
-    meets its brands as a handful of rows.
+    Customer rows are first reduced to counts per (thread, leading token). A token is matched with
+    the accounts it opens with once, by its prefixes, so tokens never meet accounts they do not name.
     """
     pairs = brand_threads(rows)
     if brands is not None:
         pairs = pairs.filter(F.col("brand").isin(brands))
     opening = F.lower(strip(F.coalesce("text", F.lit(""))))
-    # the brand is unknown here, so keep only the leading @token and compare prefixes later
     token = F.regexp_extract(opening, r"^(@\S*)", 1)
-    customers = (
-        rows.filter("is_customer").groupBy("root", token.alias("token")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    handle = F.concat(F.lit("@"), F.lower("brand"))
+    customers = rows.filter("is_customer").groupBy("root", token.alias("token")).agg(F.count(F.lit(1)).alias("n"))
+    totals = pairs.join(customers.groupBy("root").agg(F.sum("n").alias("n")), "root").groupBy("brand").agg(F.sum("n").alias("n_customer"))
+
+    handles = pairs.select("brand").distinct().withColumn("prefix", F.concat(F.lit("@"), F.lower("brand")))
+    longest = handles.agg(F.coalesce(F.max(F.length("prefix")), F.lit(1))).first()[0]
+    tokens = customers.filter("token <> ''").select("token").distinct()
+    lengths = F.sequence(F.lit(1), F.least(F.length("token"), F.lit(longest)))
+    prefixes = tokens.withColumn("length", F.explode(lengths)).withColumn("prefix", F.expr("substring(token, 1, length)"))
+    named = prefixes.join(handles, "prefix").select("token", "brand")
+    opened = customers.join(named, "token").join(pairs, ["root", "brand"]).groupBy("brand").agg(F.sum("n").alias("n_handle"))
     return (
-        customers.join(pairs, "root")
-        .groupBy("brand")
-        .agg(
-            F.sum("n").alias("n_customer"),
-            F.sum(F.when(F.startswith("token", handle), F.col("n")).otherwise(0)).alias("n_handle"),
-        )
+        totals.join(opened, "brand", "left")
+        .withColumn("n_handle", F.coalesce("n_handle", F.lit(0).cast("long")))
         .withColumn("handle_pct", F.try_divide(F.col("n_handle") * 100.0, "n_customer"))
     )
 
