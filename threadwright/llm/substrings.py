@@ -101,9 +101,10 @@ def confirmed_passages(texts: DataFrame, window: int = WINDOW, gram: int = GRAM)
             yield occurrences(batch, words.row[at], window_anchors(words.hashes(), at, window, gram))
 
     anchors = staged(texts.mapInArrow(anchor_rows, "key long, doc long"), "anchors")
-    shared = anchors.join(recurring(anchors, "key", "doc"), "key").groupBy("doc").agg(F.collect_list("key").alias("anchors"))
-    shared = staged(shared, "shared-anchors")
-    release(anchors)
+    firsts = staged(recurring(anchors, "key", "doc"), "recurring-anchors")
+    release(spark=texts.sparkSession)
+    shared = staged(anchors.join(firsts, "key").groupBy("doc").agg(F.collect_list("key").alias("anchors")), "shared-anchors")
+    release(anchors, firsts)
 
     def window_rows(batches):
         for batch in text_chunks(batches, "text"):
@@ -116,46 +117,85 @@ def confirmed_passages(texts: DataFrame, window: int = WINDOW, gram: int = GRAM)
     candidates = texts.join(shared.hint("shuffle_hash"), "doc")
     windows = staged(candidates.mapInArrow(window_rows, "key long, doc long"), "windows")
     release(shared)
-    found = windows.join(recurring(windows, "key", "doc"), "key").filter("doc > first")
+    firsts = staged(recurring(windows, "key", "doc"), "recurring-windows")
+    release(spark=texts.sparkSession)
+    found = windows.join(firsts, "key").filter("doc > first")
     passages = staged(found.groupBy("doc").agg(F.collect_list(F.struct("key", "first")).alias("passages")), "passages")
-    release(windows)
+    release(windows, firsts)
     return passages
 
 
 def located(batch: pa.RecordBatch, words: Words, window: int) -> np.ndarray:
     """Words covered by an occurrence of a passage with a smaller first document.
 
-    The shard's passages become one automaton over word numbers; all documents are streamed.
+    The shard's passages are cut into tiles of half a window; every window of a passage holds a
+    whole tile. The tiles become one automaton over word numbers, all documents are streamed through
+    it, and around each tile found the windows are compared word by word with the passage.
     """
     covered = np.zeros(len(words), dtype=bool)
-    of_row, keys = listed(batch.column("passages"), "key")
+    of_row, keys = listed(batch.column("__passages"), "key")
     if not len(keys):
         return covered
-    firsts = listed(batch.column("passages"), "first")[1]
+    firsts = listed(batch.column("__passages"), "first")[1]
     keys, where = np.unique(keys, return_index=True)
-    firsts = firsts[where]
     hashes = words.hashes()
     at = words.windows(window)
     own = window_hashes(hashes, at, window).view(np.int64)
     slot = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
     hit = np.flatnonzero(keys[slot] == own)
-    slots, source = np.unique(slot[hit], return_index=True)
-    numbers = np.unique(hashes, return_inverse=True)[1].tolist()
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for k, start in zip(slots.tolist(), at[hit[source]].tolist(), strict=True):
-        automaton.add_word(tuple(numbers[start : start + window]), int(firsts[k]))
+    slots, source = np.unique(slot[hit], return_index=True)  # each confirmed window once
+    label = np.full(len(words) + 1, np.iinfo(np.int64).max)
+    label[at[hit[source]]] = firsts[where][slots]
+    starts = np.sort(at[hit[source]])
+    fresh = np.ones(len(starts), dtype=bool)
+    fresh[1:] = starts[1:] != starts[:-1] + 1
+    begin = starts[fresh]
+    end = starts[np.append(np.flatnonzero(fresh)[1:], len(starts)) - 1] + window
+    numbers = np.unique(hashes, return_inverse=True)[1]
+    listing = numbers.tolist()
+    tile = (window + 1) // 2
+    places: list[list[int]] = []
+    known: dict[tuple[int, ...], int] = {}
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+        for t in range(a, b - tile + 1, tile):
+            phrase = tuple(listing[t : t + tile])
+            number = known.setdefault(phrase, len(places))
+            if number == len(places):
+                places.append([])
+                automaton.add_word(phrase, number)
+            places[number].append(t)
     automaton.make_automaton()
-    docs = batch.column("doc").to_pylist()
-    change = np.zeros(len(words) + 1, np.int64)
-    for row, doc in enumerate(docs):
+    ends: list[int] = []
+    found: list[int] = []
+    for row in range(batch.num_rows):
         a, b = int(words.first[row]), int(words.first[row + 1])
-        if doc is None or b - a < window:
-            continue
-        ends = [end for end, first in automaton.iter(tuple(numbers[a:b])) if first < doc]
-        if ends:
-            ends = np.asarray(ends, np.int64) + a
-            np.add.at(change, ends - window + 1, 1)
-            np.add.at(change, ends + 1, -1)
+        if b - a >= window:
+            for e, number in automaton.iter(tuple(listing[a:b])):
+                ends.append(a + e)
+                found.append(number)
+    counts = np.fromiter(map(len, places), np.int64, len(places))
+    flat = np.fromiter((t for p in places for t in p), np.int64, int(counts.sum()))
+    number = np.asarray(found, np.int64)
+    repeat = counts[number]
+    offset = np.arange(int(repeat.sum())) - np.repeat(np.cumsum(repeat) - repeat, repeat)
+    there = flat[np.repeat((np.cumsum(counts) - counts)[number], repeat) + offset]
+    here = np.repeat(np.asarray(ends, np.int64) - tile + 1, repeat)
+    docs = np.array([-1 if d is None else d for d in batch.column("__doc").to_pylist()], np.int64)
+    change = np.zeros(len(words) + 1, np.int64)
+    room = words.first[1:][words.row] - np.arange(len(words))
+    for back in range(window - tile + 1):
+        start, like = here - back, there - back
+        inside = (start >= 0) & (like >= 0)
+        start, like = start[inside], like[inside]
+        fine = (room[start] >= window) & (label[like] < docs[words.row[start]])
+        start, like = start[fine], like[fine]
+        for i in range(window):
+            same = numbers[start + i] == numbers[like + i]
+            start, like = start[same], like[same]
+        start = np.unique(start)
+        change[start] += 1
+        change[start + window] -= 1
     return np.cumsum(change[:-1]) > 0
 
 
@@ -198,5 +238,6 @@ def remove_repeated_passages(
             out += [pa.array(words.counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    rows = docs.select(*dict.fromkeys([*kept, text_col]), F.col(id_col).cast("long").alias("doc"))
-    return rows.join(passages.hint("shuffle_hash"), "doc", "left").mapInArrow(cut, schema)
+    rows = docs.select(*dict.fromkeys([*kept, text_col]), F.col(id_col).cast("long").alias("__doc"))
+    known = passages.select(F.col("doc").alias("__doc"), F.col("passages").alias("__passages"))
+    return rows.join(known.hint("shuffle_hash"), "__doc", "left").mapInArrow(cut, schema)
