@@ -8,6 +8,7 @@ chunk of its own. Column names that begin with two underscores are reserved for
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,9 +44,11 @@ def release(*tables: DataFrame, spark: SparkSession | None = None) -> None:
     for df in tables:
         spark = df.sparkSession
         discard(df)
-    gc.collect()
-    if spark is not None:
-        spark._jvm.System.gc()
+    for _ in range(2):  # the first round frees the driver's handles, the second what they held
+        gc.collect()
+        if spark is not None:
+            spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def partitions(df: DataFrame) -> int:
@@ -70,6 +73,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHU
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+        pa.default_memory_pool().release_unused()  # Arrow keeps freed memory; workers share a node
 
 
 def utf8(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -1,8 +1,9 @@
 """N-gram Jaccard join: documents that share most of their word n-grams, by signature trees.
 
 Documents with equal sets are one. In one global order of all tokens (very frequent ones last,
-else by hash) two sets that reach the threshold share a token among their first few; so blocks of
-documents with a common leading token hold every link. Inside a block a signature tree names the
+else by hash) two sets that reach the threshold share several tokens among their first ones; so blocks of
+documents with a common leading token hold every link, and documents with too few leading tokens
+that anyone else has can be left out. Inside a block a signature tree names the
 pairs that may link, and those are compared exactly. This is done twice:
 
 1. on two random leading tokens per document, with the sets at hand, so that dense groups (near
@@ -34,6 +35,7 @@ from .signatures import LEAF, bitmap, block_pairs, small_block_pairs, width_of
 from .substrings import distinct_pairs
 
 PART = 512  # documents of a block part
+EXTRA = 20  # one leading token more for this many tokens: links then share that many more
 HOT_SHARE = 0.001  # share of all documents from which a token counts as very frequent
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
@@ -72,7 +74,7 @@ def set_rows(texts: DataFrame, size: int, percent: int, hot: np.ndarray) -> Data
                 slot = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
                 order = np.lexsort((key, hot[slot] == key, row))
                 key = key[order]
-            leading = np.where(n > 0, n + (-percent * n) // 100 + 1, 0)
+            leading = np.minimum(n, n + (-percent * n) // 100 + 1 + n // EXTRA)
             place = np.arange(len(key)) - np.repeat(first[:-1], n)
             lead = key[place < np.repeat(leading, n)].view(np.int64)
             lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(leading)]).astype(np.int32), pa.array(lead))
@@ -161,13 +163,19 @@ def linked_sets(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
     rows = staged(set_rows(texts, size, percent, hot), "sets")
     prints = staged(rows.select("doc", "n", "f", "g"), "fingerprints")
     distinct = prints.filter("n > 0").groupBy("f", "g", "n").agg(F.min("doc").alias("doc")).select("doc")
-    posts = rows.join(distinct.hint("shuffle_hash"), "doc", "left_semi").select("doc", F.explode("leading").alias("key"))
+    posts = rows.join(distinct.hint("shuffle_hash"), "doc", "left_semi").select("doc", "n", F.explode("leading").alias("key"))
     posts = staged(posts, "posts")
     release(rows)
     seen = posts.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("count"))
-    seen = seen.filter("first < last").select("key", F.ceil(F.col("count") / PART).cast("int").alias("parts"))
-    shared = staged(posts.join(seen, "key"), "shared-posts")
-    release(posts)
+    seen = staged(seen.filter("first < last").select("key", F.ceil(F.col("count") / PART).cast("int").alias("parts")), "shared-keys")
+    release(spark=texts.sparkSession)
+    found = staged(posts.join(seen, "key"), "found-posts")
+    release(posts, seen)
+    # two linked sets share 1 + (size of the smaller) / EXTRA leading tokens at least
+    enough = F.count(F.lit(1)) >= 1 + F.expr(f"(max(n) * {percent}) div {100 * EXTRA}")
+    involved = staged(found.groupBy("doc").agg(enough.alias("enough")).filter("enough").select("doc"), "involved")
+    shared = staged(found.join(involved.hint("shuffle_hash"), "doc", "left_semi").select("doc", "key", "parts"), "shared-posts")
+    release(found)
 
     def set_table(batches):
         for batch in text_chunks(batches, "text"):
@@ -183,7 +191,6 @@ def linked_sets(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
                 names=["doc", "n", "bits", "tokens", "lead"],
             )
 
-    involved = shared.select("doc").distinct()
     schema = "doc long, n long, bits binary, tokens binary, lead array<long>"
     sets = staged(texts.join(involved.hint("shuffle_hash"), "doc", "left_semi").mapInArrow(set_table, schema), "token-sets")
     release(spark=texts.sparkSession)
