@@ -14,7 +14,9 @@ from .oracle import compose, glitch, matches, q, reply_class, topic
 from .registry import query
 from .tables import BRAND, Book
 
-N = 30
+#: The library's defaults, but for the pool that a disjoint sample avoids (1000): it would hold every
+#: thread of the small tables.
+N, POOL, DISJOINT = 400, 200, 200
 
 
 def drawn(seed: int, n: int = N, source: str = "qual") -> str:
@@ -23,9 +25,9 @@ def drawn(seed: int, n: int = N, source: str = "qual") -> str:
 
 SAMPLES = {
     "qual": f"SELECT * FROM st WHERE brand = '{BRAND}' AND n_customer > 0 AND n_support > 0",
-    "pool": drawn(2024),
+    "pool": drawn(2024, POOL),
     "rest": "SELECT root FROM qual WHERE root NOT IN (SELECT root FROM pool)",
-    "chosen": drawn(4242, 40, "rest"),
+    "chosen": drawn(4242, DISJOINT, "rest"),
     "d1": drawn(42),
     "d2": drawn(123),
     "r1": "SELECT t.* FROM t JOIN d1 USING (root)",
@@ -49,13 +51,13 @@ def replication_overlap(b: Book) -> DataFrame:
 
 @query("H3, C5", lambda: compose("SELECT root FROM chosen", SAMPLES))
 def disjoint_sample(b: Book) -> DataFrame:
-    return sampling.disjoint_sample_roots(b.stats, BRAND, 40, 4242, N, 2024)
+    return sampling.disjoint_sample_roots(b.stats, BRAND, DISJOINT, 4242, POOL, 2024)
 
 
 @query("Q6", lambda: compose("SELECT count(*) AS n_overlap FROM chosen JOIN pool USING (root)", SAMPLES))
 def sample_disjointness_gate(b: Book) -> DataFrame:
-    chosen = sampling.disjoint_sample_roots(b.stats, BRAND, 40, 4242, N, 2024)
-    return quality.overlap(chosen, sampling.sample_roots(b.stats, BRAND, N, 2024), "root")
+    chosen = sampling.disjoint_sample_roots(b.stats, BRAND, DISJOINT, 4242, POOL, 2024)
+    return quality.overlap(chosen, sampling.sample_roots(b.stats, BRAND, POOL, 2024), "root")
 
 
 STRATA = {
@@ -224,7 +226,7 @@ def observed_reply_classes(b: Book) -> DataFrame:
 
 @query("G4", lambda: compose("SELECT root FROM rest", SAMPLES))
 def candidates_outside_pool(b: Book) -> DataFrame:
-    pool = sampling.sample_roots(b.stats, BRAND, N, 2024)
+    pool = sampling.sample_roots(b.stats, BRAND, POOL, 2024)
     return threads.qualifying_threads(b.stats, BRAND).select("root").exceptAll(pool)
 
 
