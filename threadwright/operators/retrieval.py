@@ -1,14 +1,13 @@
 """TF-IDF retrieval of similar past requests as joins over term postings.
 
 The index stores each *distinct* text once (copies only count), its L2-normalised postings
-bucketed by text, and for every (text, intent) the first few documents. Searching broadcasts the
-postings of a size-checked block of distinct queries to the index, so scores are summed where
-the text's postings already are, and only ``k`` candidates per task and query are shuffled.
-
-On large indexes a search is pruned without changing its result: a few best postings per term
-give each query a lower bound for its k-th score; frequent terms that cannot lift a text over
-that bound by themselves then yield no candidates, so common words do not pair every query
-with every text.
+bucketed by text, and for every (text, intent) the first few documents. A search joins the postings
+of all distinct queries with the index by term, in one pass however many queries there are;
+which side travels is left to size-based planning, and frequent terms to adaptive skew splitting.
+
+A search is pruned without changing its result: a few best postings per term give each query a
+lower bound for its k-th score; frequent terms that cannot lift a text over that bound by
+themselves then yield no candidates, so common words do not pair every query with every text.
 """
 
 from __future__ import annotations
@@ -22,11 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.text import ngrams, word_tokens
 from ..functions.vocab import ENGLISH_STOP_WORDS, INTENT_BOOST, TOP_K
 from ..sources.staging import discard, stage, stage_bucketed
-from .distribution import HOT_ROWS, MAX_HOT_KEYS, lookup_join
 
-MAX_BROADCAST_POSTINGS = 1_000_000
-MAX_BROADCAST_TERMS = 1_000_000
-PRUNE_POSTINGS = 100_000_000
 CHAMPIONS = 32
 ROUNDING = 2e-9  # scores are ranked on nine decimals
 ANY_INTENT = ""
@@ -39,11 +34,9 @@ def english_stop_words() -> list[str]:
 
 @dataclass(frozen=True)
 class TermStatistics:
-    """Vocabulary (term, df, idf) of terms with ``df >= min_df``, its size and very frequent terms."""
+    """Vocabulary (term, df, idf) of terms with ``df >= min_df``."""
 
     vocabulary: DataFrame
-    n_terms: int
-    hot_terms: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -51,7 +44,7 @@ class Index:
     statistics: TermStatistics
     postings: DataFrame  # text_id, term, w (bucketed by text_id)
     documents: DataFrame  # text_id, doc_id, intent: first documents per (text, intent), bucketed alike
-    champions: DataFrame | None  # term, df, text_id, w: heaviest postings per term, large indexes only
+    champions: DataFrame  # term, df, text_id, w: heaviest postings per term
     fallback: DataFrame  # pad_key, doc_id, intent: first documents per intent and overall
     stop_words: tuple[str, ...]
     max_n: int
@@ -77,31 +70,18 @@ def inverse_document_frequency(counts: DataFrame, n_docs: int, min_df: int = 2)
     return df.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1.0)) + 1.0)
 
 
-def term_statistics(counts: DataFrame, n_docs: int, min_df: int = 2, hot_rows: int = HOT_ROWS) -> TermStatistics:
-    vocabulary = stage(inverse_document_frequency(counts, n_docs, min_df), "vocabulary")
-    frequent = vocabulary.filter(F.col("df") >= hot_rows).orderBy(F.desc("df"), "term").limit(MAX_HOT_KEYS)
-    return TermStatistics(vocabulary, vocabulary.count(), tuple(r["term"] for r in frequent.select("term").collect()))
+def term_statistics(counts: DataFrame, n_docs: int, min_df: int = 2) -> TermStatistics:
+    return TermStatistics(stage(inverse_document_frequency(counts, n_docs, min_df), "vocabulary"))
 
 
-def normalised(
-    counts: DataFrame,
-    statistics: TermStatistics,
-    key: str,
-    partitions: int,
-    max_terms: int = MAX_BROADCAST_TERMS,
-) -> DataFrame:
+def normalised(counts: DataFrame, statistics: TermStatistics, key: str) -> DataFrame:
     """(key, term, w): tf * idf with unit length per key; unknown terms are dropped.
 
-    A vocabulary of checked size travels to the postings, which then stay where they are. A
-    larger one is joined by term (frequent terms by broadcast) and the postings return to their key.
+    Postings of a small vocabulary stay where they are; otherwise they meet it by term and return
+    to their key for the norm.
     """
     idf = statistics.vocabulary.select("term", "idf")
-    rows = counts.select(key, "term", "tf")
-    if statistics.n_terms <= max_terms:
-        weighted = rows.join(F.broadcast(idf), "term")
-    else:
-        weighted = lookup_join(rows, idf, "term", how="inner", hot=statistics.hot_terms).repartition(partitions, key)
-    weighted = weighted.select(key, "term", (F.col("tf") * F.col("idf")).alias("x"))
+    weighted = counts.select(key, "term", "tf").join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("x"))
     # the postings of one key come from one text, so this window is as small as a text
     norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(key)))
     return weighted.select(key, "term", (F.col("x") / norm).alias("w"))
@@ -132,7 +112,7 @@ def tfidf_postings(
     ).repartition(parts, "text_id")
     counts = stage_bucketed(term_counts(texts, stops, max_n), "term_counts", "text_id", parts)
     statistics = term_statistics(counts, docs.count(), min_df)
-    return normalised(counts, statistics, "text_id", parts).withColumnRenamed("text_id", id_col)
+    return normalised(counts, statistics, "text_id").withColumnRenamed("text_id", id_col)
 
 
 def first_documents(base: DataFrame, keep: int) -> DataFrame:
@@ -159,14 +139,8 @@ def build_index(
     min_df: int = 2,
     depth: int = TOP_K,
     buckets: int | None = None,
-    hot_rows: int = HOT_ROWS,
-    max_terms: int = MAX_BROADCAST_TERMS,
-    prune_above: int = PRUNE_POSTINGS,
 ) -> Index:
-    """Build a reusable index that answers top-k searches for any ``k <= depth``.
-
-    Searches of an index with more than ``prune_above`` postings are pruned.
-    """
+    """Build a reusable index that answers top-k searches for any ``k <= depth``."""
     stops = tuple(english_stop_words() if stop_words is None else stop_words)
     parts = _partitions(docs, buckets)
     base = docs.select(
@@ -176,14 +150,11 @@ def build_index(
     )
     texts = distinct_texts(base, "doc_id", "text").repartition(parts, "text_id")
     counts = stage_bucketed(term_counts(texts, stops, max_n), "term_counts", "text_id", parts)
-    statistics = term_statistics(counts, base.count(), min_df, hot_rows)
-    postings = stage_bucketed(
-        normalised(counts, statistics, "text_id", parts, max_terms), "postings", "text_id", parts
-    )
+    statistics = term_statistics(counts, base.count(), min_df)
+    postings = stage_bucketed(normalised(counts, statistics, "text_id"), "postings", "text_id", parts)
 
     discard(counts)
-    large = postings.count() > prune_above
-    champions = stage(heaviest_postings(postings, statistics), "champions") if large else None
+    champions = stage(heaviest_postings(postings, statistics), "champions")
 
     keep = depth + 1  # one more, because a query may leave its own document out
     documents = first_documents(base, keep).repartition(parts, "text_id")
@@ -203,7 +174,7 @@ def query_postings(queries: DataFrame, index: Index) -> DataFrame:
     parts = _partitions(queries, None)
     texts = queries.select(F.col("q").alias("text_id"), "text", F.lit(1).alias("copies")).repartition(parts, "text_id")
     counts = term_counts(texts, index.stop_words, index.max_n).withColumnRenamed("text_id", "q")
-    return normalised(counts, index.statistics, "q", parts)
+    return normalised(counts, index.statistics, "q")
 
 
 def heaviest_postings(postings: DataFrame, statistics: TermStatistics, per_term: int = CHAMPIONS) -> DataFrame:
@@ -222,7 +193,7 @@ def search_plan(weights: DataFrame, index: Index, margin: float, keep: int) -> D
     posting lighter than ``min_w`` belongs to a text that stays below the bound even if all its
     other terms contribute their most.
     """
-    seeds = index.champions.join(F.broadcast(weights.select("q", "term", F.col("w").alias("wq"))), "term")
+    seeds = index.champions.join(weights.select("q", "term", F.col("w").alias("wq")), "term")
     partial = seeds.groupBy("q", "text_id").agg(F.sum(F.col("w") * F.col("wq")).alias("s"))
     place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "text_id"))
     bound = partial.withColumn("rn", place).filter(F.col("rn") <= keep).groupBy("q").agg(
@@ -244,27 +215,21 @@ def search_plan(weights: DataFrame, index: Index, margin: float, keep: int) -> D
     )
 
 
-def _all_scores(weights: DataFrame, index: Index) -> DataFrame:
-    """(q, text_id, s) of every text that shares a term, summed where its postings lie."""
-    wanted = F.broadcast(weights.select("q", "term", F.col("w").alias("wq")))
-    return index.postings.join(wanted, "term").groupBy("q", "text_id").agg(F.sum(F.col("w") * F.col("wq")).alias("s"))
-
-
-def _pruned_scores(weights: DataFrame, index: Index, margin: float, keep: int) -> DataFrame:
+def _scores(weights: DataFrame, index: Index, margin: float, keep: int) -> DataFrame:
     """(q, text_id, s) of every text that can be among a query's ``keep`` best.
 
     Essential terms are summed in one pass; what cannot reach the bound is dropped there, and the
     frequent terms are looked up for the survivors only.
     """
     plan = stage(search_plan(weights, index, margin, keep), "search_plan")
-    essential = F.broadcast(plan.filter("essential").select("q", "term", "wq", "min_w"))
-    limits = F.broadcast(plan.select("q", "theta", "rest").distinct())
+    essential = plan.filter("essential").select("q", "term", "wq", "min_w")
+    limits = plan.select("q", "theta", "rest").distinct()
     first = index.postings.join(essential, "term").filter(F.col("w") >= F.col("min_w"))
     first = first.groupBy("q", "text_id").agg(F.sum(F.col("w") * F.col("wq")).alias("s"))
     survivors = stage(first.join(limits, "q").filter(F.col("s") + F.col("rest") >= F.col("theta")), "survivors")
     frequent = plan.filter("NOT essential").select("q", "term", "wq")
-    asked = survivors.filter("rest > 0").select("q", "text_id").join(F.broadcast(frequent), "q")
-    known = index.postings.join(F.broadcast(frequent.select("term").distinct()), "term", "left_semi")
+    asked = survivors.filter("rest > 0").select("q", "text_id").join(frequent, "q")
+    known = index.postings.join(frequent.select("term").distinct(), "term", "left_semi")
     more = asked.join(known, ["text_id", "term"])
     parts = survivors.select("q", "text_id", "s").unionByName(
         more.select("q", "text_id", (F.col("w") * F.col("wq")).alias("s"))
@@ -272,11 +237,10 @@ def _pruned_scores(weights: DataFrame, index: Index, margin: float, keep: int) -
     return parts.groupBy("q", "text_id").agg(F.sum("s").alias("s"))
 
 
-def _search_block(weights: DataFrame, units: DataFrame, index: Index, boost: float, keep: int) -> DataFrame:
-    """Best ``keep`` (unit, document) pairs for one block of distinct queries."""
-    scores = _pruned_scores(weights, index, boost, keep) if index.champions is not None else _all_scores(weights, index)
-    scores = scores.select("q", "text_id", F.round("s", 9).alias("similarity"))
-    found = scores.join(index.documents, "text_id").join(F.broadcast(units), "q")
+def _search(weights: DataFrame, units: DataFrame, index: Index, boost: float, keep: int) -> DataFrame:
+    """Best ``keep`` (unit, document) pairs."""
+    scores = _scores(weights, index, boost, keep).select("q", "text_id", F.round("s", 9).alias("similarity"))
+    found = scores.join(index.documents, "text_id").join(units.select("unit", "q", "query_intent"), "q")
     return _best(found, boost, keep)
 
 
@@ -299,7 +263,6 @@ def retrieve(
     own_doc_col: str | None = None,
     boost: float = INTENT_BOOST,
     pad: bool = True,
-    max_broadcast: int = MAX_BROADCAST_POSTINGS,
 ) -> DataFrame:
     """(query_id, rank, doc_id, intent, similarity): exactly ``k`` best documents per query.
 
@@ -307,8 +270,7 @@ def retrieve(
     documents without any common term (similarity 0) so that ``k`` rows come back. ``own_doc_col``
     names the document a query itself came from; it is then left out of that query's results.
 
-    Equal queries are searched once. Distinct queries are cut into blocks of at most about
-    ``max_broadcast`` postings; each block is one pass over the index.
+    Equal queries are searched once, and all distinct ones together.
     """
     if k > index.depth:
         raise ValueError(f"index was built for k <= {index.depth}")
@@ -323,16 +285,7 @@ def retrieve(
     asked = asked.withColumn("unit", F.concat_ws("|", "q", F.coalesce("query_intent", F.lit(ANY_INTENT))))
     units = stage(asked.select("unit", "q", "query_intent", "text").distinct(), "query_units")
     weights = stage(query_postings(units.select("q", "text").distinct(), index), "query_postings")
-    size = max(weights.count(), units.count())
-
-    blocks = -(-size // max_broadcast) or 1
-    best = None
-    for i in range(blocks):
-        mine = F.lit(True) if blocks == 1 else F.pmod(F.xxhash64("q"), F.lit(blocks)) == i
-        part = _search_block(
-            weights.filter(mine), units.filter(mine).select("unit", "q", "query_intent"), index, boost, keep
-        )
-        best = part if best is None else best.unionByName(part)
+    best = _search(weights, units, index, boost, keep)
     if pad:
         columns = ["unit", "query_intent", "doc_id", "intent", "similarity"]
         zero = F.lit(0.0).alias("similarity")
