@@ -17,6 +17,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCATIONS: WeakKeyDictionary[DataFrame, tuple[str, str | None]] = WeakKeyDictionary()
+_TABLES: set[str] = set()  # catalog names of bucketed tables that still exist
 _SCOPES = threading.local()
 
 
@@ -52,6 +53,7 @@ def stage_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFram
     spark = df.sparkSession
     table, path = f"{name}_{uuid.uuid4().hex}", new_path(spark, name)
     df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    _TABLES.add(table)
     return track(spark.table(table), path, table)
 
 
@@ -67,10 +69,15 @@ def discard(df: DataFrame) -> None:
     """Delete a staged table that nothing reads any more."""
     path, table = _LOCATIONS.pop(df)
     if table:
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+        drop_table(df.sparkSession, table)
     drop_path(df.sparkSession, path)
 
 
+def drop_table(spark: SparkSession, table: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    _TABLES.discard(table)
+
+
 @contextmanager
 def staged_scope() -> Iterator[None]:
     """Discard on exit whatever this thread staged inside, for example per micro-batch."""
@@ -96,4 +103,6 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 def release_staging(spark: SparkSession) -> None:
     """Delete everything this application staged; call it when no result is read any more."""
+    for table in list(_TABLES):
+        drop_table(spark, table)
     drop_path(spark, staging_root(spark))
