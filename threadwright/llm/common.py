@@ -154,10 +154,27 @@ class Words:
 def window_hashes(words: np.ndarray, at: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     """Hash of the ``size`` words from each position in ``at``."""
     factors = mix(np.arange(1 + seed * 101, size + 1 + seed * 101, dtype=np.uint64) * _BASE) | np.uint64(1)
-    out = np.zeros(len(at), np.uint64)
+    if 4 * len(at) < len(words):
+        out = np.zeros(len(at), np.uint64)
+        for i in range(size):
+            out += words[at + i] * factors[i]
+        return mix(out)
+    n = max(len(words) - size + 1, 0)
+    out = np.zeros(n, np.uint64)
     for i in range(size):
-        out += words[at + i] * factors[i]
-    return mix(out)
+        out += words[i : i + n] * factors[i]
+    return mix(out)[at]
+
+
+def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
+    """``pick`` (minimum or maximum) over every run of ``width`` values."""
+    out, have = values, 1
+    while 2 * have <= width:
+        out = pick(out[: len(out) - have], out[have:])
+        have *= 2
+    if have < width:
+        out = pick(out[: len(out) - (width - have)], out[width - have :])
+    return out
 
 
 def row_sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
