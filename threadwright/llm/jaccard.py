@@ -6,7 +6,7 @@ documents with a common leading token hold every link, and documents with too fe
 that anyone else has can be left out. Inside a block a signature tree names the
 pairs that may link, and those are compared exactly. This is done twice:
 
-1. on two random leading tokens per document, with the sets at hand, so that dense groups (near
+1. on a few random leading tokens per document, with the sets at hand, so that dense groups (near
    copies of one text) grow together with about one comparison per document, not one per pair;
 2. on all leading tokens, with bitmaps only and just between documents that are not connected yet;
    candidates are then compared exactly. This makes the result complete.
@@ -35,6 +35,7 @@ from .signatures import LEAF, bitmap, block_pairs, small_block_pairs, width_of
 from .substrings import distinct_pairs
 
 PART = 512  # documents of a block part
+LEADS = 3  # random leading tokens of the first pass
 EXTRA = 20  # one leading token more for this many tokens: links then share that many more
 HOT_SHARE = 0.001  # share of all documents from which a token counts as very frequent
 _SALT = np.uint64(0xD6E8FEB86659FD93)
@@ -156,8 +157,8 @@ def _reaches(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 
-def linked_sets(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Fingerprints of all documents, and links that connect the distinct sets as the threshold does."""
+def grouped_sets(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all documents, and (``doc``, ``component``) of the distinct sets that may have links."""
     documents = texts.count()
     hot = frequent_tokens(texts, size, documents)
     rows = staged(set_rows(texts, size, percent, hot), "sets")
@@ -184,7 +185,7 @@ def linked_sets(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
             n = np.diff(first)
             widths = width_of(n).tolist()
             tokens = [key[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
-            lead = [np.sort(mix(t ^ _SALT))[:2].view(np.int64).tolist() for t in tokens]
+            lead = [np.sort(mix(t ^ _SALT))[:LEADS].view(np.int64).tolist() for t in tokens]
             bits = [bitmap(t, w).tobytes() for t, w in zip(tokens, widths, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), pa.array(n), pa.array(bits, pa.binary()), pa.array([t.tobytes() for t in tokens], pa.binary()), pa.array(lead, pa.list_(pa.int64()))],
@@ -195,7 +196,7 @@ def linked_sets(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
     sets = staged(texts.join(involved.hint("shuffle_hash"), "doc", "left_semi").mapInArrow(set_table, schema), "token-sets")
     release(spark=texts.sparkSession)
 
-    # first pass: two leading tokens, exact comparison in the block, one link per union
+    # first pass: a few random leading tokens, exact comparison in the block, one link per union
     leads = sets.select("doc", F.explode("lead").alias("key"))
     often = leads.groupBy("key").agg(F.count(F.lit(1)).alias("count")).filter("count > 1")
     dealt = leads.join(often, "key").select("doc", "key", F.pmod(F.xxhash64("doc", "key"), F.ceil(F.col("count") / PART)).alias("part"))
@@ -241,12 +242,15 @@ def linked_sets(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
             doc, of = table.column("doc").to_numpy(), table.column("group").to_numpy()
             for left, right in _candidates(table, ["key", "p", "q"], percent):
                 apart = of[left] != of[right]
-                left, right = doc[left[apart]], doc[right[apart]]
-                if len(left):
-                    yield pa.RecordBatch.from_pydict({"a": np.minimum(left, right), "b": np.maximum(left, right)})
+                left, right = left[apart], right[apart]
+                low = doc[left] < doc[right]
+                a, b = np.where(low, left, right), np.where(low, right, left)
+                if len(a):
+                    yield pa.RecordBatch.from_pydict({"a": doc[a], "b": doc[b], "of_a": of[a], "of_b": of[b]})
 
     sorted_rest = remaining.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "doc")
-    pairs = staged(sorted_rest.mapInArrow(name_pairs, "a long, b long").distinct(), "candidate-pairs")
+    schema = "a long, b long, of_a long, of_b long"
+    pairs = staged(sorted_rest.mapInArrow(name_pairs, schema).distinct(), "candidate-pairs")
     release(spark=texts.sparkSession)
     tokens = sets.select("doc", "tokens")
     both = pairs.join(tokens.select(F.col("doc").alias("a"), F.col("tokens").alias("x")), "a").join(
@@ -259,17 +263,20 @@ def linked_sets(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
                 _reaches(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
                 for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)
             ]
-            yield batch.select(["a", "b"]).filter(pa.array(fine, pa.bool_()))
+            yield batch.select(["of_a", "of_b"]).filter(pa.array(fine, pa.bool_()))
 
-    rest = both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
-    return prints, staged(group.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(rest), "set-links")
+    # what the second pass links are groups, so its links are few however large the groups are
+    rest = both.select("of_a", "of_b", "x", "y").mapInArrow(compare, "of_a long, of_b long").distinct()
+    outer = components(rest, "of_a", "of_b").select(F.col("id").alias("group"), F.col("component").alias("whole"))
+    final = labels.join(outer, "group", "left").select("doc", F.coalesce("whole", "group").alias("component")).distinct()
+    return prints, staged(final, "set-groups")
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
     """``id_col``, ``n_shingles`` and ``component_id`` of every document."""
     texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    prints, links = linked_sets(texts, size, percent)
-    group = components(links, "a", "b").withColumnRenamed("id", "rep")
+    prints, groups = grouped_sets(texts, size, percent)
+    group = groups.withColumnRenamed("doc", "rep")
     classes = prints.filter("n > 0").groupBy("f", "g", "n").agg(F.min("doc").alias("rep")).join(group, "rep", "left")
     classes = classes.select("f", "g", "n", F.coalesce("component", "rep").alias("component_id"))
     known = prints.filter("n > 0").join(classes, ["f", "g", "n"]).select("doc", "n", "component_id")
