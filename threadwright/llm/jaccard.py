@@ -32,10 +32,11 @@ from pyspark.sql import functions as F
 from .common import Words, mix, release, staged, text_chunks, utf8, window_hashes
 from .components import Forest, components
 from .signatures import LEAF, bitmap, block_pairs, small_block_pairs, width_of
-from .substrings import distinct_pairs
+from .substrings import distinct_pairs, listed
 
 PART = 512  # documents of a block part
-LEADS = 3  # random leading tokens of the first pass
+LEADS = 2  # random leading tokens of the first pass
+FIRSTS = 8  # of a document's keys that travel with it, so that a pair is named once and not in every common block
 EXTRA = 20  # one leading token more for this many tokens: links then share that many more
 HOT_SHARE = 0.001  # share of all documents from which a token counts as very frequent
 _SALT = np.uint64(0xD6E8FEB86659FD93)
@@ -231,18 +232,28 @@ def grouped_sets(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame,
     labels = staged(labels, "labels")
     named = shared.join(labels.select("doc", "group"), "doc")
     mixed = named.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("key")
-    named = shared.join(mixed.hint("shuffle_hash"), "key", "left_semi")
+    named = staged(shared.join(mixed.hint("shuffle_hash"), "key", "left_semi"), "open-posts")
+    firsts = named.groupBy("doc").agg(F.slice(F.array_sort(F.collect_list("key")), 1, FIRSTS).alias("firsts"))
+    known = staged(labels.join(firsts, "doc"), "open-labels")
+    release(spark=texts.sparkSession)
     part = F.pmod(F.xxhash64("doc", "key"), F.col("parts")).cast("int")
     named = named.withColumn("own", part).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     named = named.select("doc", "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
-    remaining = named.hint("shuffle_hash").join(labels, "doc")
+    remaining = named.hint("shuffle_hash").join(known, "doc")
 
     def name_pairs(batches):
         for table in _blocks(batches, ["key", "p", "q"]):
-            doc, of = table.column("doc").to_numpy(), table.column("group").to_numpy()
+            doc, of, key = (table.column(c).to_numpy() for c in ("doc", "group", "key"))
+            firsts = np.full((len(doc), FIRSTS), np.iinfo(np.int64).max)
+            row, value = listed(table.column("firsts").combine_chunks())
+            firsts[row, np.arange(len(row)) - np.searchsorted(row, row)] = value
             for left, right in _candidates(table, ["key", "p", "q"], percent):
                 apart = of[left] != of[right]
                 left, right = left[apart], right[apart]
+                # a smaller common key names the pair in its own block
+                a, b = firsts[left][:, :, None], firsts[right][:, None, :]
+                once = ~((a == b) & (a < key[left][:, None, None])).any(axis=(1, 2))
+                left, right = left[once], right[once]
                 low = doc[left] < doc[right]
                 a, b = np.where(low, left, right), np.where(low, right, left)
                 if len(a):

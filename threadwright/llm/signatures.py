@@ -1,6 +1,6 @@
 """Signature trees: which pairs of sets may overlap enough, by OR-combined token bitmaps.
 
-A set of ``n`` tokens has a bitmap of the next power of two of ``4 n`` bits. Every bit that one bitmap
+A set of ``n`` tokens has a bitmap of the next power of two of ``2 n`` bits. Every bit that one bitmap
 has and the other lacks stands for a token the other set does not hold, which bounds the overlap of
 two sets from above. A node keeps the OR of its sets' bitmaps, their range of sizes and their least
 number of bits, which bounds the overlap of any two sets below two nodes; a dual traversal descends
@@ -18,7 +18,7 @@ LEAF = 16
 
 def width_of(n: np.ndarray | int) -> np.ndarray:
     """Bits of the bitmap of a set of ``n`` tokens: a power of two, 64 at least."""
-    return np.maximum(64, 1 << np.ceil(np.log2(4 * np.maximum(n, 1))).astype(np.int64))
+    return np.maximum(64, 1 << np.ceil(np.log2(2 * np.maximum(n, 1))).astype(np.int64))
 
 
 def bitmap(tokens: np.ndarray, width: int) -> np.ndarray:
