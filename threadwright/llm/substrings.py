@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, recurring, release, row_sums, staged, text_chunks, utf8, window_hashes
+from .common import Words, recurring, release, row_sums, sliding, staged, text_chunks, utf8, window_hashes
 
 WINDOW = 13
 GRAM = 5
@@ -43,10 +43,7 @@ def window_anchors(hashes: np.ndarray, at: np.ndarray, window: int, gram: int) -
     if not len(at):
         return np.zeros(0, np.uint64)
     grams = window_hashes(hashes, np.arange(len(hashes) - gram + 1), gram, seed=1)
-    best = grams[at]
-    for i in range(1, window - gram + 1):
-        np.minimum(best, grams[at + i], out=best)
-    return best
+    return sliding(grams, window - gram + 1, np.minimum)[at]
 
 
 def distinct_pairs(row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,19 +178,23 @@ def located(batch: pa.RecordBatch, words: Words, window: int) -> np.ndarray:
     offset = np.arange(int(repeat.sum())) - np.repeat(np.cumsum(repeat) - repeat, repeat)
     there = flat[np.repeat((np.cumsum(counts) - counts)[number], repeat) + offset]
     here = np.repeat(np.asarray(ends, np.int64) - tile + 1, repeat)
+    # how many words agree on either side of the tile, as far as a window reaches
+    last, reach = len(words) - 1, window - tile
+    left, right = np.zeros(len(here), np.int64), np.zeros(len(here), np.int64)
+    for step in range(1, reach + 1):
+        both = (here >= step) & (there >= step)
+        left += (left == step - 1) & both & (numbers[here - step * both] == numbers[there - step * both])
+        on = tile + step - 1
+        both = (here + on <= last) & (there + on <= last)
+        right += (right == step - 1) & both & (numbers[np.minimum(here + on, last)] == numbers[np.minimum(there + on, last)])
     docs = np.array([-1 if d is None else d for d in batch.column("__doc").to_pylist()], np.int64)
-    change = np.zeros(len(words) + 1, np.int64)
     room = words.first[1:][words.row] - np.arange(len(words))
-    for back in range(window - tile + 1):
-        start, like = here - back, there - back
-        inside = (start >= 0) & (like >= 0)
-        start, like = start[inside], like[inside]
+    change = np.zeros(len(words) + 1, np.int64)
+    for back in range(reach + 1):
+        whole = np.flatnonzero((left >= back) & (right >= reach - back))
+        start, like = here[whole] - back, there[whole] - back
         fine = (room[start] >= window) & (label[like] < docs[words.row[start]])
-        start, like = start[fine], like[fine]
-        for i in range(window):
-            same = numbers[start + i] == numbers[like + i]
-            start, like = start[same], like[same]
-        start = np.unique(start)
+        start = np.unique(start[fine])
         change[start] += 1
         change[start + window] -= 1
     return np.cumsum(change[:-1]) > 0
@@ -222,20 +223,31 @@ def remove_repeated_passages(
     def cut(batches):
         for batch in text_chunks(batches, text_col):
             column = batch.column(text_col)
-            words = Words(*utf8(column))
-            covered = located(batch, words, window)
-            removed = row_sums(covered, words.first)
-            body = words.data.tobytes()
-            starts, ends, stay = words.starts.tolist(), words.ends.tolist(), ~covered
-            texts, digests = column.to_pylist() if text_col in kept else None, []
-            for row in range(batch.num_rows):
-                a, b = words.first[row], words.first[row + 1]
-                left = b" ".join([body[starts[i] : ends[i]] for i in (a + np.flatnonzero(stay[a:b])).tolist()])
-                digests.append(hashlib.sha256(left).hexdigest())
-                if texts is not None and removed[row]:
-                    texts[row] = left.decode()
+            data, offsets = utf8(column)
+            texts = column.to_pylist() if text_col in kept else None
+            shared = np.flatnonzero(batch.column("__passages").is_valid())
+            n_words, removed, digests = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64), [""] * batch.num_rows
+            alone = np.ones(batch.num_rows, dtype=bool)
+            alone[shared] = False
+            for row in np.flatnonzero(alone).tolist():  # bytes.split() parts words exactly as the contract does
+                own = data[offsets[row] : offsets[row + 1]].tobytes().split()
+                n_words[row] = len(own)
+                digests[row] = hashlib.sha256(b" ".join(own)).hexdigest()
+            if len(shared):
+                some = batch.take(pa.array(shared))
+                words = Words(*utf8(some.column(text_col)))
+                covered = located(some, words, window)
+                n_words[shared], removed[shared] = words.counts, row_sums(covered, words.first)
+                body = words.data.tobytes()
+                starts, ends, stay = words.starts.tolist(), words.ends.tolist(), ~covered
+                for k, row in enumerate(shared.tolist()):
+                    a, b = words.first[k], words.first[k + 1]
+                    left = b" ".join([body[starts[i] : ends[i]] for i in (a + np.flatnonzero(stay[a:b])).tolist()])
+                    digests[row] = hashlib.sha256(left).hexdigest()
+                    if texts is not None and removed[row]:
+                        texts[row] = left.decode()
             out = [pa.array(texts, column.type) if c == text_col else batch.column(c) for c in kept]
-            out += [pa.array(words.counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
+            out += [pa.array(n_words), pa.array(removed), pa.array(digests, pa.string())]
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
     rows = docs.select(*dict.fromkeys([*kept, text_col]), F.col(id_col).cast("long").alias("__doc"))
