@@ -110,14 +110,18 @@ def fit_language_model(
     """Learn from at most ``docs_per_language`` rows of each language, chosen by a hash of the id.
 
     Languages are a closed vocabulary, so the chosen ids are a bounded list and the model is a few
-    vectors. The choice ranks ids only (a group limit cuts it before the shuffle); texts are
-    fetched for the chosen rows.
+    vectors. The choice ranks ids only, after a filter by hash that leaves a few times the rows
+    wanted; texts are fetched for the chosen rows.
     """
     named = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     order = Window.partitionBy("__l").orderBy("__h", "__i")
+    ids = named.select(F.col(lang_col).alias("__l"), F.col(id_col).alias("__i")).withColumn("__h", F.xxhash64(F.lit(seed), "__i"))
+    # a few times the rows wanted pass by their hash, so a language of any size sends few to its window
+    sizes = ids.groupBy("__l").agg(F.count(F.lit(1)).alias("__size"))
+    luck = F.pmod(F.xxhash64("__h"), F.lit(1 << 31)) / F.lit(float(1 << 31))
     chosen = (
-        named.select(F.col(lang_col).alias("__l"), F.col(id_col).alias("__i"))
-        .withColumn("__h", F.xxhash64(F.lit(seed), "__i"))
+        ids.join(F.broadcast(sizes), "__l")
+        .filter(luck * F.col("__size") < 4.0 * docs_per_language)
         .withColumn("__n", F.row_number().over(order))
         .filter(F.col("__n") <= docs_per_language)
         .select("__l", "__i")
