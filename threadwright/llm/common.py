@@ -7,6 +7,7 @@ chunk of its own. Column names that begin with two underscores are reserved for
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
 from collections.abc import Iterator
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import discard, new_path, track
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -73,7 +74,15 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHU
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
-        pa.default_memory_pool().release_unused()  # Arrow keeps freed memory; workers share a node
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are reused, and share a node with others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
 
 
 def utf8(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
