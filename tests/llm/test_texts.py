@@ -64,6 +64,28 @@ def test_host_consensus_and_defined_results(spark):
     assert html.extract_main_text(df.limit(0)).count() == 0
 
 
+LEAD, BODY = "lead words " * 30, "body words " * 70
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        (f"<body><article><h1>T</h1><div class=lead>{LEAD}</div><div class=text>{BODY}</div></article><div>x</div></body>", f"T {LEAD}{BODY}"),
+        (f"<body><article><h1>T</h1><div class=text>{BODY}</div></article><div>x</div></body>", f"T {BODY}"),
+        (f"<body><div class=post><h1>T</h1><div><div class=text>{BODY}</div></div></div><div>x</div></body>", f"T {BODY}"),
+        (f"<body><div class=post><div class=a>{LEAD}</div><div class=b>{BODY}</div></div><div>x</div></body>", f"{LEAD}{BODY}"),
+        (f"<body><article><section class=a>{BODY}</section><section class=b>{BODY}</section></article></body>", f"{BODY}{BODY}"),
+        (f"<body><div><article class=a>{BODY}</article><article class=b>{LEAD}</article></div><div class=box>x</div></body>", f"{BODY}{LEAD}"),
+        (f"<h1>T</h1><p>{BODY}</p><div>x</div>", f"T {BODY}x"),
+        (f"<p>{LEAD}</p><div>{BODY}</div>", f"{LEAD}{BODY}"),
+    ],
+)
+def test_split_articles_stay_whole(spark, page, want):
+    df = spark.createDataFrame([(i, "http://h.example.org/", page) for i in range(3)], "page_id long, url string, html string")
+    assert {r.text for r in html.extract_main_text(df).collect()} == {want.strip()}
+    assert html.Page(page).main_text(None) == want.strip()
+
+
 def test_all_pages_of_the_table(spark):
     """The articles of the given pages, read by a plain pattern."""
     import html as entities

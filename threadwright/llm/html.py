@@ -1,8 +1,10 @@
 """Main text of web pages by consensus of the pages of a host.
 
 Every page scores its containers (text of paragraphs counts for the container around them, less
-for those further up; link text counts against it) and votes for the generalised tag-class paths
-of the best ones. Votes are summed per host and path in Spark, with map-side combining, so a
+for those further up; link text counts against it). From each of the best ones it climbs to the
+article or main around it, or else as long as more text outside of links, or the title before it,
+comes in; text outside any container belongs to a root container with the empty path. It votes for
+the generalised tag-class paths found so. Votes are summed per host and path in Spark, with map-side combining, so a
 host with a third of all pages is only a few sums per task. Each page is then read again with
 its host's winning path; a page without that path falls back on its own best container.
 
@@ -48,8 +50,10 @@ FURNITURE = re.compile(
     r"login|search|copyright|site-?header|page-?header|topbar|skip-?link)(?:$|[-_ 0-9])"
 )
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar"}
+NEARLY = 0.95  # share of an ancestor's text that need not be climbed for
 FADE = 0.4  # share of a paragraph's score that goes one container further up
 FAVOURED = {"article": 1.5, "main": 1.4}
+HEADINGS, PLAIN = {"h1": 1, "h2": 2}, 3
 VOTES = 3
 
 
@@ -58,10 +62,10 @@ class Page(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # tag, furniture, container number or -1
-        self.paths: list[str] = []
-        self.parents: list[int] = []
-        self.blocks: list[tuple[int, str, int]] = []  # container, text, characters of link text
+        self.stack: list[tuple[str, bool, int]] = []  # tag, furniture, container number or -1 for none
+        self.paths: list[str] = [""]  # the root holds what is in no container
+        self.parents: list[int] = [-1]
+        self.blocks: list[tuple[int, str, int, int]] = []  # container, text, characters of link text, level of heading
         self.steps: list[str] = []
         self.text: list[str] = []
         self.hidden = self.links = self.linked = 0
@@ -70,12 +74,13 @@ class Page(HTMLParser):
         self.flush()
 
     def container(self) -> int:
-        return next((number for _, _, number in reversed(self.stack) if number >= 0), -1)
+        return next((number for _, _, number in reversed(self.stack) if number >= 0), 0)
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.blocks.append((self.container(), text, self.linked))
+            level = next((HEADINGS[tag] for tag, _, _ in self.stack if tag in HEADINGS), PLAIN)
+            self.blocks.append((self.container(), text, self.linked, level))
         self.text, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs) -> None:
@@ -111,7 +116,7 @@ class Page(HTMLParser):
             step = tag + "".join("." + re.sub(r"\d+", "#", c) for c in sorted(classes))
             parent = self.container()
             number = len(self.paths)
-            self.paths.append((self.paths[parent] + "/" if parent >= 0 else "") + step)
+            self.paths.append((self.paths[parent] + "/" if parent else "") + step)
             self.parents.append(parent)
         self.stack.append((tag, furniture, number))
 
@@ -143,40 +148,90 @@ class Page(HTMLParser):
             if self.links:
                 self.linked += len(data.strip())
 
+    def kind(self, container: int) -> str:
+        return self.paths[container].rsplit("/", 1)[-1].split(".")[0]
+
     def scores(self) -> dict[int, float]:
         """Score of every container: text not in links, passed up with loss."""
         out: dict[int, float] = defaultdict(float)
-        for number, text, linked in self.blocks:
-            worth, at = max(len(text) - 2 * linked, 0) + 1.0, number
+        for at, text, linked, _ in self.blocks:
+            worth = max(len(text) - 2 * linked, 0) + 1.0
             while at >= 0:
                 out[at] += worth
                 worth *= FADE
                 at = self.parents[at]
-        return {i: s * FAVOURED.get(self.paths[i].rsplit("/", 1)[-1].split(".")[0], 1.0) for i, s in out.items()}
+        return {i: s * FAVOURED.get(self.kind(i), 1.0) for i, s in out.items()}
+
+    def sums(self) -> tuple[list[int], list[int]]:
+        """For each container, its text outside of links and its first block."""
+        amounts, firsts = [0] * len(self.paths), [len(self.blocks)] * len(self.paths)
+        for k, (at, text, linked, _) in enumerate(self.blocks):
+            amounts[at] += max(len(text) - 2 * linked, 0)
+            firsts[at] = min(firsts[at], k)
+        for at in range(len(self.paths) - 1, 0, -1):  # parents come before their children
+            parent = self.parents[at]
+            amounts[parent] += amounts[at]
+            firsts[parent] = min(firsts[parent], firsts[at])
+        return amounts, firsts
+
+    def whole(self, best: int, amounts: list[int], firsts: list[int]) -> int:
+        """The container to take for one of the best: the whole article that it is part of."""
+        chain = [best]
+        while self.parents[chain[-1]] >= 0:
+            chain.append(self.parents[chain[-1]])
+        marked = [k for k, at in enumerate(chain) if self.kind(at) in FAVOURED]
+        at, above = chain[marked[-1] if marked else 0], chain[marked[-1] + 1 if marked else 1 :]
+        if marked:  # articles of another kind beside this one
+            level = min(self.levels(at), default=PLAIN)
+            more = [i for i, p in enumerate(self.parents) if p == above[0] and self.kind(i) in FAVOURED and self.paths[i] != self.paths[at]]
+            if sum(amounts[i] for i in more) > (1 - NEARLY) * amounts[above[0]]:
+                return above[0]
+            if level < PLAIN:
+                return at
+        for outer in above:
+            more = not marked and amounts[at] < NEARLY * amounts[outer]
+            before = self.blocks[firsts[outer] : firsts[at]]
+            title = min((level for _, text, linked, level in before if len(text) > 2 * linked), default=PLAIN)
+            if more or title < min(self.levels(at), default=PLAIN):
+                at = outer
+        return at
+
+    def levels(self, container: int) -> list[int]:
+        inside = self.inside({container})
+        return [level for at, _, _, level in self.blocks if inside[at]]
 
     def votes(self) -> list[tuple[str, float]]:
         scores = self.scores()
         best = sorted(scores, key=lambda i: (-scores[i], i))[:VOTES]
         total = sum(scores[i] for i in best)
-        return [(self.paths[i], scores[i] / total) for i in best]
+        sums = self.sums()
+        out: dict[str, float] = defaultdict(float)
+        for i in best:
+            out[self.paths[self.whole(i, *sums)]] += scores[i] / total
+        return sorted(out.items(), key=lambda vote: (-vote[1], vote[0]))
+
+    def inside(self, chosen: set[int]) -> list[bool]:
+        out: list[bool] = []
+        for number, parent in enumerate(self.parents):  # parents come before their children
+            out.append(number in chosen or (parent >= 0 and out[parent]))
+        return out
 
     def under(self, chosen: set[int]) -> str:
         """Blocks inside the chosen containers, in page order."""
-        inside = []
-        for parent in self.parents:  # parents come before their children
-            number = len(inside)
-            inside.append(number in chosen or (parent >= 0 and inside[parent]))
-        return " ".join(text for number, text, _ in self.blocks if number >= 0 and inside[number])
+        inside = self.inside(chosen)
+        return " ".join(text for at, text, _, _ in self.blocks if inside[at])
 
     def main_text(self, path: str | None) -> str:
         found = {i for i, p in enumerate(self.paths) if p == path}
+        if path == "" and all(at for at, *_ in self.blocks):
+            found = set()  # nothing stands outside the containers of this page
         text = self.under(found) if found else ""
         if text:
             return text
         scores = self.scores()
         if not scores:
-            return " ".join(text for _, text, _ in self.blocks)
-        return self.under({min(scores, key=lambda i: (-scores[i], i))})
+            return ""
+        return self.under({self.whole(min(scores, key=lambda i: (-scores[i], i)), *self.sums())})
 
 
 def host_of(url_col: str):
