@@ -86,6 +86,34 @@ def test_split_articles_stay_whole(spark, page, want):
     assert html.Page(page).main_text(None) == want.strip()
 
 
+SIDE = "<div class=sidebar><p>side</p></div><section id=comments><p>a comment</p></section>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='layout has-sidebar'><article>{BODY}</article>{SIDE}</div>",
+        f"<div class=no-comments><main>{BODY}</main></div>{SIDE}",
+        f"<div id=search-results-article><div class=text>{BODY}</div>{SIDE}</div>",
+        f"<div class=content-with-sidebar><div class=text>{BODY}</div>{SIDE}</div>",
+        f"<main>{''.join(f'<div class=elementor-widget-text-editor>{BODY[i : i + 77]}</div>' for i in range(0, 770, 77))}</main>{SIDE}",
+        f"<div class=widget><article>{BODY}</article></div><div class=related><article>card</article></div>{SIDE}",
+        f"<ul class=post-share><li>{BODY}</li></ul>{SIDE}",
+    ],
+)
+def test_a_name_alone_hides_no_article(spark, page):
+    page = f"<html><body>{page}</body></html>"
+    assert html.Page(page).main_text(html.Page(page).votes()[0][0]) == html.Page(page).main_text(None) == BODY.strip()
+
+
+def test_marks_around_the_path_of_the_host():
+    page = html.Page(f"<body><div class=has-sidebar><div class=text>short</div>{SIDE}</div><div class=box>{BODY}</div></body>")
+    assert page.main_text("body/div.has-sidebar/div.text") == "short"
+    assert page.main_text("body/div.has-sidebar") == "short"
+    assert html.Page("<div>one<span class=ad>two</span>three</div>").main_text("div") == "onethree"
+    assert html.Page(f"<div>{BODY}</div><div id=comments>no</div>").main_text("div") == BODY.strip()
+
+
 def test_all_pages_of_the_table(spark):
     """The articles of the given pages, read by a plain pattern."""
     import html as entities

@@ -4,7 +4,9 @@ Every page scores its containers (text of paragraphs counts for the container ar
 for those further up; link text counts against it). From each of the best ones it climbs to the
 article or main around it, or else as long as more text outside of links, or the title before it,
 comes in; text outside any container belongs to a root container with the empty path. It votes for
-the generalised tag-class paths found so. Votes are summed per host and path in Spark, with map-side combining, so a
+the generalised tag-class paths found so. A class or id that sounds like page furniture only marks
+its element: the mark does not count on a page where elements of that name hold most of the text
+outside of links or one of its main articles, nor around the winning container. Votes are summed per host and path in Spark, with map-side combining, so a
 host with a third of all pages is only a few sums per task. Each page is then read again with
 its host's winning path; a page without that path falls back on its own best container.
 
@@ -43,14 +45,18 @@ ENDS_P = {
     "address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3",
     "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul",
 }
-FURNITURE = re.compile(
-    r"(?:^|[-_ ])(?:ads?|adverts?|advertisements?|adsense|sponsor(?:ed)?|promo(?:tions?)?|banners?|side-?bars?|comments?|replies|disqus|"
+_FURNITURE = (
+    r"(?:ads?|adverts?|advertisements?|adsense|sponsor(?:ed)?|promo(?:tions?)?|banners?|side-?bars?|comments?|replies|disqus|"
     r"cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?|newsletters?|subscribe|subscription|signup|share|sharing|social|"
     r"related|recommended|breadcrumbs?|menus?|nav(?:bar|igation)?|footers?|mastheads?|toolbars?|widgets?|pagination|pager|"
-    r"login|search|copyright|site-?header|page-?header|topbar|skip-?link)(?:$|[-_ 0-9])"
+    r"login|search|copyright|site-?header|page-?header|topbar|skip-?link)"
 )
+FURNITURE = re.compile(rf"(?:^|[-_ ]){_FURNITURE}(?:$|[-_ 0-9])")
+WORDS = re.compile(rf"{_FURNITURE}(?:[-_ #]+{_FURNITURE})*[-_ #]*")
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar"}
 NEARLY = 0.95  # share of an ancestor's text that need not be climbed for
+MOST = 0.5  # share of a page's text that no name alone can hide
+PLAIN_MOST = 0.75  # the same for names of nothing but furniture words, like "comments"
 FADE = 0.4  # share of a paragraph's score that goes one container further up
 FAVOURED = {"article": 1.5, "main": 1.4}
 HEADINGS, PLAIN = {"h1": 1, "h2": 2}, 3
@@ -62,31 +68,91 @@ class Page(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # tag, furniture, container number or -1 for none
+        self.stack: list[tuple[str, bool, int, int]] = []  # tag, hidden, container number or -1 for none, mark or -1
         self.paths: list[str] = [""]  # the root holds what is in no container
         self.parents: list[int] = [-1]
-        self.blocks: list[tuple[int, str, int, int]] = []  # container, text, characters of link text, level of heading
+        self.marks: list[tuple[int, frozenset[str]]] = []  # elements named like furniture: the mark around, the names
+        self.around: list[int] = [-1]  # innermost mark at each container
+        self.pieces: list[tuple[int, list[list], int]] = []  # container, [mark, data, characters of link text], level of heading
         self.steps: list[str] = []
-        self.text: list[str] = []
-        self.hidden = self.links = self.linked = 0
+        self.text: list[list] = []
+        self.mark = -1
+        self.hidden = self.links = 0
         self.feed(html)
         self.close()
         self.flush()
+        self.own = self.counted()
+        self.counts = self.spread(self.own)
+        self.blocks = self.read(self.counts)  # container, text, characters of link text, level of heading
 
     def container(self) -> int:
-        return next((number for _, _, number in reversed(self.stack) if number >= 0), 0)
+        return next((number for _, _, number, _ in reversed(self.stack) if number >= 0), 0)
 
     def flush(self) -> None:
-        text = " ".join("".join(self.text).split())
-        if text:
-            level = next((HEADINGS[tag] for tag, _, _ in self.stack if tag in HEADINGS), PLAIN)
-            self.blocks.append((self.container(), text, self.linked, level))
-        self.text, self.linked = [], 0
+        if any(not data.isspace() for _, data, _ in self.text):
+            level = next((HEADINGS[tag] for tag, *_ in self.stack if tag in HEADINGS), PLAIN)
+            self.pieces.append((self.container(), self.text, level))
+        self.text = []
+
+    def read(self, counts: list[bool]) -> list[tuple[int, str, int, int]]:
+        """Blocks of the pieces whose mark does not count; the last entry is for no mark."""
+        out = []
+        for at, pieces, level in self.pieces:
+            text = " ".join("".join([data for mark, data, _ in pieces if not counts[mark]]).split())
+            if text:
+                out.append((at, text, sum(linked for mark, _, linked in pieces if not counts[mark]), level))
+        return out
+
+    def counted(self) -> list[bool]:
+        """Whether each mark makes its element furniture on this page."""
+        if not self.marks:
+            return []
+        names: list[frozenset[str]] = []  # of the mark and those around it
+        for outer, own in self.marks:
+            names.append(own | names[outer] if outer >= 0 else own)
+        articles = [i for i in range(len(self.paths)) if self.kind(i) in FAVOURED]
+        within = self.inside(set(articles))
+        sums, by_name = [0, 0], (defaultdict(int), defaultdict(int))  # outside and inside of articles
+        amounts, clear = [0] * len(self.paths), False
+        for at, pieces, _ in self.pieces:
+            for mark, data, linked in pieces:
+                worth = max(len(" ".join(data.split())) - 2 * linked, 0)
+                sums[within[at]] += worth
+                amounts[at] += worth
+                clear |= mark < 0 and within[at] and worth > 0
+                for name in names[mark] if mark >= 0 else ():
+                    by_name[within[at]][name] += worth
+        lifted = set()
+        for name in by_name[0].keys() | by_name[1].keys():
+            inside, outside = by_name[1][name], by_name[0][name]
+            if WORDS.fullmatch(name) and clear:  # beside a clear article, what is called a comment is one
+                if inside > PLAIN_MOST * sums[1]:
+                    lifted.add(name)
+            elif inside + outside > (PLAIN_MOST if WORDS.fullmatch(name) else MOST) * sum(sums):
+                lifted.add(name)
+        for at in range(len(self.paths) - 1, 0, -1):
+            amounts[self.parents[at]] += amounts[at]
+        largest = max((amounts[i] for i in articles), default=0)
+        for i in articles:
+            if self.around[i] >= 0 and 0 < largest <= 2 * amounts[i]:
+                lifted |= names[self.around[i]]
+        own = [mine.isdisjoint(lifted) for _, mine in self.marks]
+        counts = self.spread(own)
+        if all(counts[mark] for _, pieces, _ in self.pieces for mark, data, _ in pieces if not data.isspace()):
+            own = [False] * len(own)  # there is nothing else on the page
+        return own
+
+    def spread(self, own: list[bool]) -> list[bool]:
+        """The same with what lies inside; the last entry is for no mark."""
+        out: list[bool] = []
+        for (outer, _), mine in zip(self.marks, own, strict=True):  # outer marks come first
+            out.append(mine or (outer >= 0 and out[outer]))
+        return [*out, False]
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag in VOID:
             if tag in ("br", "hr"):
-                self.text.append(" ")
+                self.add(" ", 0)
             return
         closes = SELF_CLOSING.get(tag, set()) | ({"p"} if tag in ENDS_P else set())
         for depth in range(len(self.stack) - 1, -1, -1):
@@ -100,25 +166,34 @@ class Page(HTMLParser):
             self.flush()
         names = {k: (v or "").lower() for k, v in attrs}
         classes = names.get("class", "").split()
-        inside = any(name in ("article", "main") for name, _, _ in self.stack)
+        inside = any(name in ("article", "main") for name, *_ in self.stack)
         furniture = (
             tag in DROPPED
             or (tag == "header" and not inside)
             or names.get("role") in ROLES
             or "hidden" in names
             or names.get("aria-hidden") == "true"
-            or (tag not in ("html", "body", "article", "main") and any(FURNITURE.search(c) for c in [*classes, names.get("id", "")]))
         )
+        named = ()
+        if not furniture and not self.hidden and tag not in ("html", "body", "article", "main"):
+            named = [re.sub(r"\d+", "#", c) for c in [*classes, names.get("id", "")] if FURNITURE.search(c)]
         self.hidden += furniture
         self.links += tag == "a"
-        number = -1
+        number = mark = -1
+        if named:
+            mark = len(self.marks)
+            self.marks.append((self.mark, frozenset(named)))
+            self.mark = mark
         if tag in CONTAINERS and not self.hidden:
             step = tag + "".join("." + re.sub(r"\d+", "#", c) for c in sorted(classes))
+            if named and FURNITURE.search(names.get("id") or ""):
+                step += "#" + re.sub(r"\d+", "#", names["id"])
             parent = self.container()
             number = len(self.paths)
             self.paths.append((self.paths[parent] + "/" if parent else "") + step)
             self.parents.append(parent)
-        self.stack.append((tag, furniture, number))
+            self.around.append(self.mark)
+        self.stack.append((tag, furniture, number, mark))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)
@@ -126,11 +201,14 @@ class Page(HTMLParser):
             self.pop_to(len(self.stack) - 1)
 
     def pop_to(self, depth: int) -> None:
-        if any(tag not in INLINE for tag, _, _ in self.stack[depth:]):
+        if any(tag not in INLINE for tag, *_ in self.stack[depth:]):
             self.flush()
-        for tag, furniture, _ in self.stack[depth:]:
+        for tag, furniture, _, _ in self.stack[depth:]:
             self.hidden -= furniture
             self.links -= tag == "a"
+        first = next((mark for *_, mark in self.stack[depth:] if mark >= 0), -1)
+        if first >= 0:
+            self.mark = self.marks[first][0]
         del self.stack[depth:]
 
     def handle_endtag(self, tag: str) -> None:
@@ -144,9 +222,14 @@ class Page(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if not self.hidden:
-            self.text.append(data)
-            if self.links:
-                self.linked += len(data.strip())
+            self.add(data, len(data.strip()) if self.links else 0)
+
+    def add(self, data: str, linked: int) -> None:
+        if self.text and self.text[-1][0] == self.mark:
+            self.text[-1][1] += data
+            self.text[-1][2] += linked
+        else:
+            self.text.append([self.mark, data, linked])
 
     def kind(self, container: int) -> str:
         return self.paths[container].rsplit("/", 1)[-1].split(".")[0]
@@ -217,17 +300,25 @@ class Page(HTMLParser):
         return out
 
     def under(self, chosen: set[int]) -> str:
-        """Blocks inside the chosen containers, in page order."""
-        inside = self.inside(chosen)
-        return " ".join(text for at, text, _, _ in self.blocks if inside[at])
+        """Blocks inside the chosen containers, in page order; marks around those do not count."""
+        inside, opened = self.inside(chosen), set()
+        for mark in {self.around[i] for i in chosen}:
+            while mark >= 0:
+                opened.add(mark)
+                mark = self.marks[mark][0]
+        blocks = self.blocks
+        if any(self.own[mark] for mark in opened):
+            blocks = self.read(self.spread([own and mark not in opened for mark, own in enumerate(self.own)]))
+        return " ".join(text for at, text, _, _ in blocks if inside[at])
 
     def main_text(self, path: str | None) -> str:
         found = {i for i, p in enumerate(self.paths) if p == path}
         if path == "" and all(at for at, *_ in self.blocks):
             found = set()  # nothing stands outside the containers of this page
-        text = self.under(found) if found else ""
-        if text:
-            return text
+        for some in ({i for i in found if not self.counts[self.around[i]]}, found):
+            text = self.under(some)
+            if text:
+                return text
         scores = self.scores()
         if not scores:
             return ""
