@@ -223,6 +223,21 @@ def test_language_edge_cases(spark):
     assert language.identify_language(df.limit(0), model).count() == 0
 
 
+def test_short_texts_of_known_languages_stay(spark):
+    docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/documents.parquet")
+    model = language.fit_language_model(docs, docs_per_language=60)
+    rng = random.Random(1)
+    cuts = ["Avec.", "A.\nAll rights reserved.", "it " * 40, "Is " * 12]
+    for r in docs.collect():
+        words = r.text.split()
+        for k in (1, 2, 3, 8, 30):
+            at = rng.randrange(max(1, len(words) - k + 1))
+            cuts.append(" ".join(words[at : at + k]))
+    asked = [(i, t) for i, t in enumerate(cuts) if any(c.isalpha() for c in t)] + [(-1, "漢字仮名交じり文" * 9), (-2, "тихо летит над рекой серый гусь и зовёт других птиц за собой домой " * 2)]
+    got = language.identify_language(spark.createDataFrame(asked, "doc_id long, text string"), model)
+    assert {r.doc_id for r in got.filter("rejected").collect()} == {-1, -2}
+
+
 # --- mixing -------------------------------------------------------------------------------
 
 

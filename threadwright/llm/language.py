@@ -3,7 +3,9 @@
 Texts become L2-normalised TF-IDF vectors over hashed byte n-grams of the lower-cased text. Each
 language keeps several centroids (spherical k-means over a bounded, documented sample of labelled
 texts); a text takes the language of the centroid with the highest cosine and is *rejected* when
-even that one is too far away.
+even that one is too far away. A text of few distinct n-grams is far from every centroid by nature:
+below ``FREE_GRAMS`` of them none is rejected by distance, and from there the least cosine rises in
+proportion to their number, up to ``min_cosine`` at ``FULL_GRAMS``.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and rejected; so is
 everything when there is nothing to learn from. Nulls in ``lang`` are not learned from. Ties go to
@@ -27,6 +29,7 @@ from .common import staged, text_chunks, utf8
 
 UND = "und"
 GRAMS = (2, 3)
+FREE_GRAMS, FULL_GRAMS = 24, 300
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[[b for b in range(128) if not chr(b).isalpha()]] = 32
@@ -185,7 +188,9 @@ def identify_language(
                     names = np.where(letters, langs[best], UND)
                 else:
                     score, names = np.zeros(len(texts)), np.full(len(texts), UND, dtype=object)
-                rejected = ~letters | (score < model.min_cosine)
+                distinct = np.count_nonzero(grams, axis=1)
+                least = np.where(distinct < FREE_GRAMS, 0.0, model.min_cosine * np.minimum(distinct / FULL_GRAMS, 1.0))
+                rejected = ~letters | (score < least)
                 columns = [*(part.column(c) for c in kept), pa.array(list(names), pa.string()), pa.array(score.astype(np.float64)), pa.array(rejected)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])
 
