@@ -24,10 +24,11 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates."""
+    """Keep the document with the smallest id of each group of near duplicates, and rows without an id."""
     groups = jaccard.jaccard_groups(docs)
     first = groups.filter("doc_id = component_id").select("doc_id")
-    return docs.join(first.hint("shuffle_hash"), "doc_id", "left_semi").select(*COLUMNS)
+    kept = docs.join(first.hint("shuffle_hash"), "doc_id", "left_semi").select(*COLUMNS)
+    return kept.unionByName(docs.filter("doc_id IS NULL").select(*COLUMNS))
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,6 +73,14 @@ def test_stages(spark):
     assert max(spans.values()) <= 4096
 
 
+def test_near_duplicates_keep_rows_without_id(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(None, "clean and alone in the table", "en", "s", 28), (None, text, "en", "s", 0), (1, text, "en", "s", 0), (2, text, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.without_near_duplicates(spark, docs, SF_DIR).collect()
+    assert Counter(tuple(r) for r in kept) == Counter(rows[:3])
+
+
 def test_run_is_the_stages(spark):
     once = corpus_pipeline.run(spark, SF_DIR)
     assert once.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and once.count() > 100
