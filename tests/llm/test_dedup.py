@@ -53,6 +53,15 @@ def test_long_strings_equal_brute_force(docs, pairs):
     assert all(len(r.kept) == r.n_bytes - r.n_removed for r in out.collect())
 
 
+def test_long_strings_end_with_their_document(spark):
+    rng = random.Random(11)
+    p, q = ("".join(rng.choices("abcdefghij", k=60)) for _ in range(2))
+    texts = [p + q] * 4 + [q[:30] + "".join(rng.choices("klmnopqrst", k=80)) + p for _ in range(24)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    want = brute.long_strings(list(enumerate(texts)))
+    assert dict(by_id(suffixes.remove_repeated_bytes(docs), "n_bytes", "n_removed", "n_spans", "kept_sha256")) == want
+
+
 def test_near_copies_equal_brute_force(docs, pairs):
     found = by_id(jaccard.jaccard_groups(docs), "n_shingles", "component_id")
     want = brute.near_copies(pairs)
