@@ -83,3 +83,58 @@ SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_rem
     sha256(unhex(CASE WHEN n > 0 THEN coalesce(t, '') ELSE x END)) AS kept_sha256
 FROM d LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+FILL_IN_MIDDLE = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+        sha256('42:' || doc_id) AS h
+    FROM documents
+),
+k AS (
+    SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3,
+        ('0x' || h[25:32])::BIGINT AS h4
+    FROM d
+),
+c AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+            WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM k
+),
+p AS (
+    SELECT *, array_to_string(u[:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix
+    FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form,
+    CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM p
+"""
+
+_FOLDED = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+BENCHMARK_PASSAGES = f"""
+WITH b AS (SELECT item_id, {_FOLDED} AS w FROM benchmark),
+g AS (
+    SELECT DISTINCT item_id, len(g) AS size, array_to_string(g, ' ') AS g FROM (
+        SELECT item_id, w[i:i + 9] AS g FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM b WHERE len(w) > 0)
+    )
+),
+d AS (SELECT doc_id, {_FOLDED} AS w FROM documents),
+at AS (
+    SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS g
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d JOIN (SELECT DISTINCT size FROM g) ON len(w) >= size)
+),
+hit AS (SELECT doc_id, i, size, item_id FROM at JOIN g USING (size, g)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, i + unnest(range(0, size)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, list_sort(list_distinct(list(item_id::VARCHAR))) AS items FROM hit GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+    sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -7,7 +7,22 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import discriminant, embeddings, html, jaccard, language, mixing, oracles, packing, substrings, suffixes, supervision
+from . import (
+    decontamination,
+    discriminant,
+    embeddings,
+    html,
+    jaccard,
+    language,
+    middle,
+    mixing,
+    oracles,
+    packing,
+    substrings,
+    suffixes,
+    supervision,
+    whitening,
+)
 from .common import crc_mod, staged, table
 from .targets import DOMAIN, MIX_EPOCHS, MIX_LEVELS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, vocabulary
 
@@ -134,8 +149,38 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeated_bytes(docs, columns=["doc_id"])
 
 
+@registered
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = middle.fill_in_middle(docs, columns=["doc_id"])
+    output, form = F.col("output"), F.col("form")
+    digests = [F.sha2(output, 256).alias("output_sha256"), F.sha2(middle.restored(output, form), 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@registered
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per vector and component."""
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    parts = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "part")
+    spread = rows.select("vec_id", "n", "deviation", "identity_error", parts)
+    component = (F.col("at") + 1).alias("component")
+    return spread.select("vec_id", component, "n", "deviation", "part.whitened", "part.explained", "identity_error")
+
+
+@registered
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_benchmark_passages(docs, table(spark, sf_dir, "benchmark"), columns=["doc_id"])
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    n_items = F.size("items").cast("long").alias("n_items")
+    return found.select("doc_id", "n_words", "n_hit", n_items, digest, (F.col("n_hit") > 0).alias("contaminated"))
+
+
 LLM_SQL["op1_embedding_near_duplicates"] = lambda: oracles.NEAR_VECTORS
 LLM_SQL["op3_substring_dedup"] = lambda: oracles.REPEATED_PASSAGES
 LLM_SQL["op8_jaccard_join"] = lambda: oracles.JACCARD_GROUPS
 LLM_SQL["op10_suffix_dedup"] = lambda: oracles.REPEATED_BYTES
+LLM_SQL["op11_fill_in_middle"] = lambda: oracles.FILL_IN_MIDDLE
+LLM_SQL["op13_benchmark_decontamination"] = lambda: oracles.BENCHMARK_PASSAGES
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
