@@ -33,7 +33,7 @@ from .common import staged, text_chunks, utf8
 
 LIMIT = 4 << 20
 MADE = ["n_words", "n_hit", "items", "word_runs", "spans"]
-_RUNS = "array<struct<start: bigint, length: bigint>>"
+_RUNS = T.ArrayType(T.StructType().add("start", "long").add("length", "long"))
 _WINDOWS_A_BATCH = 4096
 
 #: Lower-cases A-Z; whatever is neither letter, digit nor beyond ASCII becomes a space.
@@ -132,7 +132,7 @@ def original_spans(text: np.ndarray, folded: bytes, starts: np.ndarray, ends: np
 def _pass(df: DataFrame, text_col: str, kept: list[str], rows, earlier: bool) -> DataFrame:
     token = uuid.uuid4().hex
     schema = T.StructType([df.schema[c] for c in kept]).add("n_words", "long").add("n_hit", "long")
-    schema = schema.add("items", "array<string>").add("word_runs", _RUNS).add("spans", _RUNS)
+    schema = schema.add("items", T.ArrayType(T.StringType())).add("word_runs", _RUNS).add("spans", _RUNS)
     runs_type = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
     types = [pa.int64(), pa.int64(), pa.list_(pa.string()), runs_type, runs_type]
 

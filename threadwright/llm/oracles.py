@@ -127,11 +127,11 @@ g AS (
     )
 ),
 d AS (SELECT doc_id, {_FOLDED} AS w FROM documents),
-at AS (
+runs AS (
     SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS g
     FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d JOIN (SELECT DISTINCT size FROM g) ON len(w) >= size)
 ),
-hit AS (SELECT doc_id, i, size, item_id FROM at JOIN g USING (size, g)),
+hit AS (SELECT doc_id, i, size, item_id FROM runs JOIN g USING (size, g)),
 words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, i + unnest(range(0, size)) AS p FROM hit) GROUP BY doc_id),
 items AS (SELECT doc_id, list_sort(list_distinct(list(item_id::VARCHAR))) AS items FROM hit GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
