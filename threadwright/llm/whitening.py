@@ -18,6 +18,7 @@ occur; null ids are kept. ``deviation`` is null where it does not fit a long. Ex
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
@@ -143,6 +144,7 @@ def whiten(
     means = F.array(*[F.lit(s / n) for s in sums])  # whole numbers divide with one rounding
     centred = F.zip_with("__x", means, lambda a, m: a.cast("double") - m)
     blocks = block_matrix(rows, "row", centred, n, dims, block_rows)
+    blocks.persist(StorageLevel.MEMORY_ONLY)  # read three times; blocks that do not fit are made again
     splits = partitions(df)
     scatter = product(blocks.transpose(), blocks, splits).toLocalMatrix().toArray()
     values, vectors, explained = components(scatter, n, most)
@@ -155,6 +157,7 @@ def whiten(
     found = callMLlibFunc("getIndexedRows", indexed._java_matrix_wrapper._java_model)  # a DataFrame of (index, vector)
     found = MLUtils.convertVectorColumnsToML(found, "vector")
     projected = staged(found.select(F.col("index").alias("row"), vector_to_array("vector").alias("whitened")), "whitened-vectors")
+    blocks._java_matrix_wrapper._java_model.blocks().unpersist(False)
     error = identity_error(projected, "whitened", len(values))
     apart = rows.select(F.col(id_col), "row", deviation(F.col("__x"), n, sums, lo, hi).alias("deviation"))
     shares = F.array(*[F.lit(float(e)) for e in explained])
