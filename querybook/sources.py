@@ -21,17 +21,22 @@ from .tables import BRAND, Book
 RAW = ", ".join(source.RAW_COLUMNS)
 
 
+def one_file(df: DataFrame) -> DataFrame:
+    """Exports come as one file; only this writing side of the reader queries is a single task."""
+    return df.coalesce(1)
+
+
 @query("A1", lambda: compose(f"SELECT {RAW} FROM raw"))
 def read_messages_csv(b: Book) -> DataFrame:
     path = b.path("messages_csv")
-    sinks.write_table(b.raw, path, "csv")
+    sinks.write_table(one_file(b.raw), path, "csv")
     return source.read_messages(b.spark, path)
 
 
 @query("A2", lambda: compose("SELECT CAST(tweet_id AS VARCHAR) AS tweet_id, intent, labeling_notes FROM golden"))
 def read_label_sheet(b: Book) -> DataFrame:
     path = b.path("label_sheet")
-    sinks.write_table(b.golden_sheet.select("tweet_id", "intent", "labeling_notes"), path, "csv")
+    sinks.write_table(one_file(b.golden_sheet.select("tweet_id", "intent", "labeling_notes")), path, "csv")
     return label_source.read_labels(b.spark, path, ["tweet_id", "intent", "labeling_notes"])
 
 
@@ -43,20 +48,25 @@ def read_label_sheet(b: Book) -> DataFrame:
 )
 def read_corpus_csv(b: Book) -> DataFrame:
     path = b.path("corpus_csv")
-    sinks.write_table(b.corpus.select(*source.CORPUS_SCHEMA.names), path, "csv")
+    sinks.write_table(one_file(b.corpus.select(*source.CORPUS_SCHEMA.names)), path, "csv")
     return source.read_corpus(b.spark, path)
 
 
 @query("A4", lambda: compose("SELECT tweet_id, intent, confidence, note AS reason FROM silver"))
 def read_json_records(b: Book) -> DataFrame:
-    """Each file holds one JSON array; ids are grouped by thousand so an array stays small."""
+    """One array in one file, as an export comes."""
     path = b.path("proposals_json")
     record = F.to_json(F.struct("tweet_id", "intent", "confidence", F.col("note").alias("reason")))
-    arrays = b.silver.groupBy(F.floor(F.col("tweet_id") / 1000).alias("part")).agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]")).alias("value")
+    ends = b.silver.select(F.min("tweet_id").alias("first"), F.max("tweet_id").alias("last"))
+    lines = b.silver.join(F.broadcast(ends)).orderBy("tweet_id").select(
+        F.concat(
+            F.when(F.col("tweet_id") == F.col("first"), "[").otherwise(","),
+            record,
+            F.when(F.col("tweet_id") == F.col("last"), "]").otherwise(""),
+        )
     )
-    arrays.write.partitionBy("part").text(path)
-    return label_source.read_json_records(b.spark, path, label_source.PROPOSAL_SCHEMA).drop("part")
+    one_file(lines).write.text(path)
+    return label_source.read_json_records(b.spark, path, label_source.PROPOSAL_SCHEMA)
 
 
 @query("A5", lambda: compose("SELECT root, size, n_support, n_customer, brand, n_distinct_brands FROM st"))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from .records import read_flat_json, read_quoted_csv
+
 PROPOSAL_SCHEMA = StructType(
     [
         StructField("tweet_id", LongType()),
@@ -29,19 +31,17 @@ JUDGE_SCHEMA = StructType(
 def read_labels(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Label sheet CSV: all strings, a blank stays an empty string ("not decided")."""
     schema = StructType([StructField(c, StringType()) for c in columns])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .csv(path)
-        .na.fill("")
-    )
-
-
-def read_json_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Array(s) of flat JSON objects; one array per file, any number of files."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    return read_quoted_csv(spark, path, schema).na.fill("")
+
+
+def read_json_records(spark: SparkSession, path: str, schema: StructType, whole_files: bool = False) -> DataFrame:
+    """Array(s) of flat JSON objects, a file's byte ranges read by many tasks.
+
+    ``whole_files`` reads each file in one task instead, and takes nested objects as well.
+    """
+    if whole_files:
+        return spark.read.schema(schema).option("multiLine", True).json(path)
+    return read_flat_json(spark, path, schema)
 
 
 def add_blank_columns(df: DataFrame, *names: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from .records import read_quoted_csv
+
 RAW_COLUMNS = [
     "tweet_id",
     "author_id",
@@ -29,25 +31,16 @@ CORPUS_SCHEMA = StructType(
 )
 
 
-def _csv(spark: SparkSession, schema: StructType, multi_line: bool):
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
-
-
 def read_messages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Raw message CSV: every column a string, only the empty string is null.
 
-    Quoted line breaks need ``multi_line``, which reads each file in one task: deliver large
-    inputs as many files, or as Parquet through :func:`read_message_table`.
+    Files are read in byte ranges by many tasks, also with line breaks inside quotes
+    (:mod:`threadwright.sources.records`). Without any, ``multi_line=False`` saves that module's first step.
     """
-    return _csv(spark, RAW_SCHEMA, multi_line).option("nullValue", "").option("emptyValue", "").csv(path)
+    if multi_line:
+        return read_quoted_csv(spark, path, RAW_SCHEMA, nullValue="", emptyValue="")
+    reader = spark.read.schema(RAW_SCHEMA).options(header=True, quote='"', escape='"', nullValue="", emptyValue="")
+    return reader.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def read_message_table(spark: SparkSession, path: str) -> DataFrame:
@@ -57,7 +50,7 @@ def read_message_table(spark: SparkSession, path: str) -> DataFrame:
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """Typed scan of a stored request/reply corpus with 64-bit ids."""
-    return _csv(spark, CORPUS_SCHEMA, True).option("nullValue", "").csv(path)
+    return read_quoted_csv(spark, path, CORPUS_SCHEMA, nullValue="")
 
 
 def parse_created_at(created_at: Column) -> Column:
