@@ -99,19 +99,26 @@ def low_quartile_behaviors(b: Book) -> DataFrame:
 @query(
     "D29",
     lambda: compose(
-        "SELECT dimension, n, round(e, 6) AS exact_rate, round(d, 6) AS mean_abs_diff, round(r, 6) AS pearson_r, "
-        "round(r * sqrt((n - 2) / (1 - r * r)), 4) AS t FROM ("
+        "SELECT * FROM (WITH rated AS ("
         + " UNION ALL ".join(
             f"SELECT '{d}' AS dimension, count(*) AS n, avg(CAST(human_{d} = {d} AS INT)) AS e, avg(abs(human_{d} - {d})) AS d, "
             f"CASE WHEN count(DISTINCT human_{d}) > 1 AND count(DISTINCT {d}) > 1 THEN corr(human_{d}, {d}) END AS r FROM scored"
             for d in V.JUDGE_DIMENSIONS
         )
-        + ")"
+        # Student's t with a whole number of degrees of freedom has a closed form, a finite sum
+        + "), stat AS (SELECT *, n - 2 AS v, r * sqrt((n - 2) / (1 - r * r)) AS t, atan(r / sqrt(1 - r * r)) AS angle FROM rated), "
+        "term AS (SELECT dimension, v, angle, unnest(range(0, v // 2)) AS j FROM stat WHERE r IS NOT NULL), "
+        "grown AS (SELECT *, sum(CASE WHEN j = 0 THEN 0 WHEN v % 2 = 0 THEN ln((2 * j - 1) / (2 * j)) ELSE ln(2 * j / (2 * j + 1)) END) "
+        "OVER (PARTITION BY dimension ORDER BY j) AS factor FROM term), "
+        "series AS (SELECT dimension, sum(exp(factor + (2 * j + v % 2) * ln(cos(angle)))) AS total FROM grown GROUP BY dimension) "
+        "SELECT dimension, n, round(e, 6) AS exact_rate, round(d, 6) AS mean_abs_diff, round(r, 6) AS pearson_r, round(t, 4) AS t, "
+        "round(CASE WHEN v % 2 = 0 THEN 1 - abs(sin(angle)) * total ELSE 1 - 2 / pi() * (abs(angle) + abs(sin(angle)) * total) END, 6) AS p_value "
+        "FROM stat LEFT JOIN series USING (dimension))"
     ),
 )
 def rater_agreement(b: Book) -> DataFrame:
     table = judge.agreement(b.scored, PAIRS)
-    return table.withColumns({c: F.round(c, 6) for c in ("exact_rate", "mean_abs_diff", "pearson_r")}).withColumn(
+    return table.withColumns({c: F.round(c, 6) for c in ("exact_rate", "mean_abs_diff", "pearson_r", "p_value")}).withColumn(
         "t", F.round("t", 4)
     )
 

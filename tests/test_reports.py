@@ -208,3 +208,31 @@ def test_calibration(spark):
     df = spark.createDataFrame([(0.2, False), (0.3, True), (0.9, True), (0.95, False)], "confidence double, correct boolean")
     got = [tuple(r) for r in classifier.calibration(df, [0.0, 0.25, 0.99]).collect()]
     assert got == [(0.0, 4, 1.0, 0.5), (0.25, 3, 0.75, 2 / 3), (0.99, 0, 0.0, None)]
+
+
+@pytest.mark.parametrize(
+    "df,t,p",
+    # published two-sided critical values of Student's t, and the closed forms of one and two degrees of freedom
+    [
+        (1, 12.7062047364, 0.05), (2, 4.3026527297, 0.05), (5, 2.5705818366, 0.05), (10, 2.2281388520, 0.05), (30, 2.0422724563, 0.05),
+        (120, 1.9799304051, 0.05), (1, 63.6567411629, 0.01), (10, 3.1692726726, 0.01), (60, 2.6602830289, 0.01), (10, 4.5868938587, 0.001),
+        (1, 1.0, 0.5), (2, 2.0, 1 - 2 / 6**0.5), (7, 0.0, 1.0), (10**9, 1.9599639845, 0.05), (10**9, 0.6744897502, 0.5), (10**6, 3.2905267315, 0.001),
+    ],
+)
+def test_correlation_p_value(spark, df, t, p):
+    from threadwright.functions.special import correlation_p_value
+
+    r = t / (df + t * t) ** 0.5
+    got = spark.range(1).select(correlation_p_value(F.lit(r), F.lit(df + 2))).first()[0]
+    assert got == pytest.approx(p, abs=1e-6)
+
+
+def test_correlation_p_value_at_the_edges(spark):
+    from threadwright.functions.special import correlation_p_value
+
+    rows = [(0.3, 2, 1.0), (1.0, 5, 0.0), (-1.0, 3, 0.0), (None, 9, None), (0.5, 1, None), (0.0, 10, 1.0)]
+    df = spark.createDataFrame(rows, "r double, n long, want double")
+    assert all(row.got == row.want for row in df.withColumn("got", correlation_p_value(F.col("r"), F.col("n"))).collect())
+    halves = spark.createDataFrame([(0.6, 8), (-0.6, 8)], "r double, n long")
+    a, b = (row[0] for row in halves.select(correlation_p_value(F.col("r"), F.col("n"))).collect())
+    assert a == b == pytest.approx(1 - 0.6 * (1 + 0.64 / 2 + 0.64**2 * 3 / 8), abs=1e-12)  # closed form of 6 degrees

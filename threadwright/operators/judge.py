@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.special import correlation_p_value
 from ..functions.vocab import JUDGE_DIMENSIONS
 from .distribution import exact_rank
 
@@ -77,7 +78,8 @@ def agreement(scored: DataFrame, pairs: Sequence[tuple[str, str, str]]) -> DataF
     """Exact rate, mean absolute difference and Pearson r per (dimension, human, machine) triple.
 
     r is null below two rows or without variance; ``t`` is its test statistic with n - 2
-    degrees of freedom. Rows where either score is missing must be filtered before.
+    degrees of freedom and ``p_value`` the two-sided probability of it. Rows where either score is missing
+    must be filtered before.
     """
     aggregates = [F.count(F.lit(1)).alias("n")]
     for i, (_, human, machine) in enumerate(pairs):
@@ -95,7 +97,8 @@ def agreement(scored: DataFrame, pairs: Sequence[tuple[str, str, str]]) -> DataF
     long = row.selectExpr("n", f"stack({len(pairs)}, {parts}) AS (dimension, exact_rate, mean_abs_diff, pearson_r)")
     r = F.col("pearson_r")
     t = F.when((F.abs(r) < 1) & (F.col("n") > 2), r * F.sqrt((F.col("n") - 2) / (1 - r * r)))
-    return long.select("dimension", "n", "exact_rate", "mean_abs_diff", "pearson_r", t.alias("t"))
+    p_value = correlation_p_value(r, F.col("n")).alias("p_value")
+    return long.select("dimension", "n", "exact_rate", "mean_abs_diff", "pearson_r", t.alias("t"), p_value)
 
 
 def largest_disagreements(
