@@ -59,6 +59,35 @@ def thread_roots(b: Book) -> DataFrame:
     return threads.thread_roots(b.messages)
 
 
+CHAIN = 10_000
+
+
+@query(
+    "C3",
+    lambda: (
+        "SELECT event_id AS tweet_id, max(CASE WHEN opens THEN event_id END) OVER (ORDER BY event_id) AS root, "
+        f"opens AND event_id % {CHAIN} <> 0 AS dangling FROM (SELECT event_id, event_id % {CHAIN} = 0 OR "
+        "event_id - 1 NOT IN (SELECT event_id FROM events) AS opens FROM events)"
+    ),
+)
+def chained_event_roots(b: Book) -> DataFrame:
+    """Deep threads: every event answers the one before it, in chains of 10,000."""
+    id_ = F.col("event_id")
+    parent = F.when(id_ % CHAIN != 0, id_ - 1)
+    return threads.thread_roots(b.table("events").select(id_.alias("tweet_id"), parent.alias("parent_id")))
+
+
+@query("C3", lambda: "SELECT event_id AS tweet_id, (SELECT min(event_id) FROM events) AS root, FALSE AS dangling FROM events")
+def star_event_roots(b: Book) -> DataFrame:
+    """One row that all others answer."""
+    events = b.table("events").select("event_id")
+    first = events.agg(F.min("event_id").alias("first"))
+    linked = events.join(F.broadcast(first)).select(
+        F.col("event_id").alias("tweet_id"), F.when(F.col("event_id") != F.col("first"), F.col("first")).alias("parent_id")
+    )
+    return threads.thread_roots(linked)
+
+
 @query(
     "C3",
     """

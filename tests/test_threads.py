@@ -59,6 +59,36 @@ def test_cycle_leaves_other_threads_alone(spark):
     assert all(found[i] == (100, False) for i in range(100, 140))
 
 
+def test_pointers_are_looked_up_without_an_exchange(spark):
+    active = links(spark, [(i, i - 1) for i in range(1, 50)]).withColumnRenamed("parent_id", "ptr")
+    pointers = spark.range(50).selectExpr("id AS ptr", "greatest(id - 1, 0) AS next", "id = 0 AS settled")
+    table = threads.store_pointers(pointers, active)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = threads.jump(active, table)._jdf.queryExecution().sparkPlan().toString()
+        done = threads.jump(active, table)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and done.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in done
+    assert table.count() == 49  # nobody points to the last one
+
+
+def test_pointers_shrink_from_round_to_round(spark, monkeypatch):
+    sizes, store = [], threads.store_pointers
+
+    def counted(pointers, active):
+        table = store(pointers, active)
+        sizes.append(table.count())
+        return table
+
+    monkeypatch.setattr(threads, "store_pointers", counted)
+    pairs = [(i, i - 1 if i else None) for i in range(200)] + [(1000 + i, 500) for i in range(300)] + [(500, None)]
+    assert set(roots_of(links(spark, pairs)).values()) == {0, 500}
+    # rows with a descendant 1, 2, 4, ... steps below: the star leaves after the first round
+    assert sizes == [200, *(200 - 2**k for k in range(1, 8))]
+
+
 @pytest.mark.parametrize("hot_rows", [1_000_000, 5])
 def test_random_forest_equals_walk(spark, hot_rows):
     rng = random.Random(7)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import drop_path, new_path, stage, staged_scope, track
+from ..sources.staging import discard, drop_path, new_path, stage, stage_bucketed, staged_scope, track
 from .distribution import HOT_ROWS, hot_keys, lookup_join
 
 
@@ -50,6 +50,22 @@ def dangling_parents(messages: DataFrame) -> DataFrame:
     return messages.filter(F.col("parent_id").isNotNull()).join(ids, "parent_id", "left_anti")
 
 
+def jump(active: DataFrame, pointers: DataFrame, hot: tuple = ()) -> DataFrame:
+    """(tweet_id, ptr, done) after every active row took over the pointer of the row it points to."""
+    met = lookup_join(active.select("tweet_id", "ptr"), pointers, "ptr", how="inner", hot=hot)
+    return met.select("tweet_id", F.col("next").alias("ptr"), F.col("settled").alias("done"))
+
+
+def store_pointers(pointers: DataFrame, active: DataFrame) -> DataFrame:
+    """The rows of ``pointers`` that an active row points to, bucketed by their id.
+
+    The join of the next round then needs no exchange of this side.
+    """
+    buckets = int(pointers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = pointers.join(active.select("ptr").distinct(), "ptr", "left_semi")
+    return stage_bucketed(asked.select("ptr", "next", "settled").repartition(buckets, "ptr"), "pointers", "ptr", buckets)
+
+
 def thread_roots(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(tweet_id, root, dangling) for every row by pointer doubling.
 
@@ -57,36 +73,33 @@ def thread_roots(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     all other threads are not touched by it. As long as a row with a root is unfinished, some row
     finishes in every round, so a round that finishes none ends the loop.
 
-    Each round joins only the unfinished rows with the current pointers of all replies and writes
-    the outcome, so a round's cost shrinks as rows reach their root and at most about
-    log2(depth) + 1 rounds run. Only the two id columns are ever shuffled.
+    After round k an active row points to its ancestor 2^k steps up. Each round joins only the unfinished rows with
+    only the pointers they ask for. A row asked for that is not a root itself was asked for in the round before (the ancestor
+    half-way between points to it), so the next round's pointers are a part of this round's: both sides shrink,
+    and nothing finished is read again. Pointers are stored bucketed by id and looked up without being
+    shuffled. About log2(depth) + 1 rounds run. Only the two id columns are ever shuffled.
     """
     spark = messages.sparkSession
-    links = stage(messages.select("tweet_id", "parent_id"), "links")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    links = messages.select("tweet_id", "parent_id").repartition(buckets, "tweet_id")
+    links = stage_bucketed(links, "links", "tweet_id", buckets)
     resolved = stage(resolve_parents(links, tuple(hot_keys(links, "parent_id", hot_rows))), "parents")
 
-    active = resolved.filter(F.col("parent") != F.col("tweet_id")).select(
-        "tweet_id", F.col("parent").alias("ptr"), F.lit(False).alias("done")
-    )
+    is_root = F.col("parent") == F.col("tweet_id")
+    active = resolved.filter(~is_root).select("tweet_id", F.col("parent").alias("ptr"))
+    pointers = resolved.select(F.col("tweet_id").alias("ptr"), F.col("parent").alias("next"), is_root.alias("settled"))
     finished: list[DataFrame] = []
-    previous = None
+    previous = table = None
     remaining = active.count()
     before = -1
     while remaining not in (0, before):
         before = remaining
-        pointers = active
-        for part in finished:
-            pointers = pointers.unionByName(part)
-        target = pointers.select(
-            F.col("tweet_id").alias("ptr"), F.col("ptr").alias("next"), F.col("done").alias("next_done")
-        )
+        asked = store_pointers(pointers, active)
+        if table is not None:
+            discard(table)
+        table = asked
         hot = hot_keys(active, "ptr", hot_rows) if remaining >= hot_rows else []
-        # no match: the pointer is a root already; a finished match: its pointer is a root
-        jumped = lookup_join(active.select("tweet_id", "ptr"), target, "ptr", hot=hot).select(
-            "tweet_id",
-            F.coalesce("next", "ptr").alias("ptr"),
-            F.coalesce("next_done", F.lit(True)).alias("done"),
-        )
+        jumped = jump(active, table, tuple(hot))
         path = new_path(spark, "jump")
         jumped.write.partitionBy("done").parquet(path)
         if previous:
@@ -94,12 +107,14 @@ def thread_roots(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         previous = path
         written = track(spark.read.schema(jumped.schema).parquet(path), path)
         finished.append(written.filter("done"))
-        active = written.filter("NOT done")
+        active = written.filter("NOT done").select("tweet_id", "ptr")
+        moved = written.select(F.col("tweet_id").alias("ptr"), F.col("ptr").alias("next"), F.col("done").alias("settled"))
+        pointers = table.filter("settled").unionByName(moved)
         remaining = active.count()
+    if table is not None:
+        discard(table)
     # a dangling row is its own root, so the flag needs no join
-    found = resolved.filter(F.col("parent") == F.col("tweet_id")).select(
-        "tweet_id", F.col("tweet_id").alias("root"), "dangling"
-    )
+    found = resolved.filter(is_root).select("tweet_id", F.col("tweet_id").alias("root"), "dangling")
     for part in finished:
         found = found.unionByName(part.select("tweet_id", F.col("ptr").alias("root"), F.lit(False).alias("dangling")))
     cyclic = active.select("tweet_id", F.col("tweet_id").alias("root"), F.lit(True).alias("dangling"))
