@@ -236,3 +236,41 @@ def language_classifier(b: Book) -> DataFrame:
     model = classifier.train_classifier(docs, "message", "intent", min_df=5, max_iter=20)
     return classifier.predict(docs, model).select("doc_id", "intent", "predicted_intent", "confidence")
 
+
+
+def held_out_facts(predicted: DataFrame) -> DataFrame:
+    """Per true label: held-out rows, those with a known label and a probability, and whether nine in ten are right."""
+    known = predicted.select(F.col("intent").alias("predicted_intent")).distinct().withColumn("known", F.lit(True))
+    right = F.col("predicted_intent") == F.col("intent")
+    return predicted.join(known, "predicted_intent", "left").groupBy("intent").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("known") & F.col("confidence").between(0, 1)).alias("n_scored"),
+        (F.count_if(right) >= 0.9 * F.count(F.lit(1))).alias("well_predicted"),
+    )
+
+
+@query(
+    "J1, J3",
+    "SELECT lang AS intent, count(*) AS n_rows, count(*) AS n_scored, TRUE AS well_predicted FROM documents WHERE doc_id % 4 = 2 GROUP BY lang",
+)
+def held_out_languages(b: Book) -> DataFrame:
+    """Languages of a quarter of the documents by a model that did not see them."""
+    docs = b.table("documents").select("doc_id", F.col("text").alias("message"), F.col("lang").alias("intent"))
+    model = classifier.train_classifier(docs.filter("doc_id % 4 <> 2"), "message", "intent", min_df=5, max_iter=100)
+    return held_out_facts(classifier.predict(docs.filter("doc_id % 4 = 2"), model))
+
+
+@query(
+    "A9, J1, J3",
+    lambda: compose(
+        "SELECT intent, count(*) AS n_rows, count(*) AS n_scored, TRUE AS well_predicted FROM silver "
+        "WHERE intent <> 'UNCLEAR' AND tweet_id // 16 % 4 = 2 GROUP BY intent"
+    ),
+)
+def held_out_intents(b: Book) -> DataFrame:
+    """Intents of a quarter of the opening messages by a stored model that did not see them."""
+    labelled = b.openings.withColumnRenamed("text", "message").join(classifier.drop_unclear(b.silver), "tweet_id")
+    rows = labelled.select("tweet_id", "message", "intent")
+    path = b.path("held_out_model")
+    classifier.save_model(classifier.train_classifier(rows.filter("tweet_id div 16 % 4 <> 2"), "message", "intent", max_iter=100), path)
+    return held_out_facts(classifier.predict(rows.filter("tweet_id div 16 % 4 = 2"), classifier.load_model(path)))

@@ -198,10 +198,15 @@ def test_classifier_trains_predicts_and_survives_saving(spark, tmp_path):
     assert weights == {"power": 0.75, "net": 1.5}
 
 
-def test_vocabulary_limit_is_enforced(spark):
-    df = spark.createDataFrame([("alpha beta", "x"), ("alpha beta", "y")], "message string, intent string")
-    with pytest.raises(ValueError, match="max_vocabulary"):
-        classifier.train_classifier(df, "message", "intent", max_vocabulary=2)
+def test_large_vocabularies_are_hashed(spark, tmp_path):
+    rows = [(f"battery drains fast {i} {i + 1}", "power") for i in range(20)] + [(f"wifi will not connect {i} {i + 1}", "net") for i in range(20)]
+    df = spark.createDataFrame(rows, "message string, intent string")
+    model = classifier.train_classifier(df, "message", "intent", max_iter=50, max_vocabulary=2, hash_slots=256)
+    assert model.stages[1].getNumFeatures() == 256
+    classifier.save_model(model, str(tmp_path / "m"))
+    got = classifier.predict(df, classifier.load_model(str(tmp_path / "m"))).collect()
+    assert all(r.predicted_intent == r.intent for r in got)
+    assert classifier.vocabulary_size(spark.createDataFrame([(["a", "b", "a"],), (["a"],)], "terms array<string>"), 2) == 1
 
 
 def test_calibration(spark):

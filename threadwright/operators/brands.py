@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import flatten_lines, strip, truncated
 from ..sources.messages import role_label
+from .quantiles import exact_quantile
 
 
 def _percent(condition: Column) -> Column:
@@ -38,7 +39,6 @@ def brand_metrics(rows: DataFrame, stats: DataFrame) -> DataFrame:
             F.sum("n_customer").alias("customer_tweets_in_threads"),
             F.sum("size").alias("total_tweets_in_threads"),
             F.count_if(F.col("n_customer") > 0).alias("resolution_pairs"),
-            F.median("size").alias("median_len"),
             F.avg("size").alias("mean_len"),
             _percent(size >= 2).alias("pct_2plus"),
             _percent(size >= 3).alias("pct_3plus"),
@@ -48,8 +48,10 @@ def brand_metrics(rows: DataFrame, stats: DataFrame) -> DataFrame:
             _percent(F.col("n_distinct_brands") > 1).alias("multi_brand_thread_pct"),
         )
     )
+    medians = exact_quantile(stats.filter("brand IS NOT NULL"), "size", 0.5, ["brand"], "median_len")
     return (
         accounts.join(threads, "brand", "left")
+        .join(medians, "brand", "left")
         .na.fill(0)
         .select(
             "brand",
@@ -97,7 +99,8 @@ def handle_signal(rows: DataFrame, brands: list[str] | None = None) -> DataFrame
     """Share of customer messages in a brand's threads that open with its @handle.
 
     Customer rows are first reduced to counts per (thread, leading token). A token is matched with
-    the accounts it opens with once, by its prefixes, so tokens never meet accounts they do not name.
+    the accounts it opens with once, by its prefixes of the lengths that handles have, so tokens never meet
+    accounts they do not name.
     """
     pairs = brand_threads(rows)
     if brands is not None:
@@ -108,10 +111,11 @@ def handle_signal(rows: DataFrame, brands: list[str] | None = None) -> DataFrame
     totals = pairs.join(customers.groupBy("root").agg(F.sum("n").alias("n")), "root").groupBy("brand").agg(F.sum("n").alias("n_customer"))
 
     handles = pairs.select("brand").distinct().withColumn("prefix", F.concat(F.lit("@"), F.lower("brand")))
-    longest = handles.agg(F.coalesce(F.max(F.length("prefix")), F.lit(1))).first()[0]
-    tokens = customers.filter("token <> ''").select("token").distinct()
-    lengths = F.sequence(F.lit(1), F.least(F.length("token"), F.lit(longest)))
-    prefixes = tokens.withColumn("length", F.explode(lengths)).withColumn("prefix", F.expr("substring(token, 1, length)"))
+    # only prefixes as long as some handle can name an account
+    lengths = handles.agg(F.collect_set(F.length("prefix")).alias("lengths")).scalar()
+    tokens = customers.filter("token <> ''").select("token").distinct().withColumn("lengths", lengths)
+    fitting = F.filter("lengths", lambda size: size <= F.length("token"))
+    prefixes = tokens.select("token", F.explode(fitting).alias("length")).withColumn("prefix", F.expr("substring(token, 1, length)"))
     named = prefixes.join(handles, "prefix").select("token", "brand")
     opened = customers.join(named, "token").join(pairs, ["root", "brand"]).groupBy("brand").agg(F.sum("n").alias("n_handle"))
     return (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.special import correlation_p_value
 from ..functions.vocab import JUDGE_DIMENSIONS
 from .distribution import exact_rank
+from .quantiles import exact_quantile
 
 SCORES = [*JUDGE_DIMENSIONS, "overall"]
 
@@ -38,7 +39,7 @@ def weakest_dimension(scored: DataFrame, dimensions: Sequence[str] = tuple(JUDGE
 
 def low_quartile(scored: DataFrame, column: str = "overall") -> DataFrame:
     """Rows at or below the exact 25th percentile; ties stay, so it may exceed a quarter."""
-    cut = scored.agg(F.percentile(column, F.lit(0.25)).alias("cut")).scalar()
+    cut = exact_quantile(scored, column, 0.25, name="cut").scalar()
     return scored.filter(F.col(column) <= cut)
 
 

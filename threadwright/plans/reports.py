@@ -12,6 +12,7 @@ from ..functions.rules import classify_reply, issue_tags
 from ..functions.text import clean_text, strip
 from ..functions.vocab import CANNED_FRAGMENT, KEYWORD_STOP_WORDS, REPLY_CLASSES
 from ..operators import brands, metrics, profile, sampling
+from ..operators.quantiles import exact_quantile
 from ..operators.threads import Threads, thread_stats
 from ..sources.messages import has_many_children, parse_created_at, typed_messages
 from ..sources.staging import stage
@@ -102,7 +103,7 @@ def thread_sample_stats(rows: DataFrame) -> DataFrame:
     return per_thread.agg(
         F.count(F.lit(1)).alias("n_threads_sampled"),
         F.avg("size").alias("mean_thread_len"),
-        F.median("size").alias("median_thread_len"),
+        F.first(exact_quantile(per_thread, "size", 0.5).scalar()).alias("median_thread_len"),
         pct(size == 2).alias("pct_exactly_2_turns"),
         pct(size >= 3).alias("pct_3plus_turns"),
         pct(size >= 4).alias("pct_4plus_turns"),
