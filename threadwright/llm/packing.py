@@ -18,6 +18,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 
 from .common import CHUNK_BYTES, Words, partitions, staged, text_chunks, utf8
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 2_000_000  # about 30 bytes each
 _SEPARATOR, _SEPARATOR_ID = "<|startoftext|>", 49406
 _TAIL = np.zeros(256, dtype=bool)
 _TAIL[list(b".,;:!?|)")] = True
@@ -41,43 +42,61 @@ class WordEncoder:
     The vocabulary's rules never join characters across white space, nor a letter with the
     punctuation after it, and they lower-case; so a text's ids are those of its words in order,
     and a trailing run of plain punctuation may be encoded apart. Words that hold the separator
-    themselves are encoded alone.
+    themselves are encoded alone. The cache is a few flat arrays, looked up by binary search for all words of a
+    chunk at once; it tells words apart by 64-bit hashes, as the deduplicating operators do.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[int, int] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = np.zeros(0, np.uint64)  # sorted hashes of words, and the place of each among the words
+        self.place = np.zeros(0, np.int64)
         self.ids = np.zeros(1 << 20, np.uint16)
         self.starts = np.zeros(1 << 16, np.int64)
         self.n_ids = self.n_words = 0
 
-    def _learn(self, words: list[str], hashes: list[int]) -> None:
-        if self.n_words + len(words) > CACHE_WORDS:
-            self.known.clear()
-            self.n_ids = self.n_words = 0
-        parts: list[np.ndarray] = []
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and how many each has; none may hold the separator."""
+        ids = np.array(self.tokenizer.encode_batch_fast([_SEPARATOR.join(words)], add_special_tokens=False)[0].ids, np.uint16)
+        between = ids == _SEPARATOR_ID
+        return ids[~between], np.diff(np.flatnonzero(between), prepend=-1, append=len(ids)) - 1
+
+    def _learn(self, words: list[str], hashes: np.ndarray) -> None:
+        """Add words by their hashes, which are sorted and new."""
+        alone = {k for k, w in enumerate(words) if _SEPARATOR in w}
+        found: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
         for i in range(0, len(words), 2000):
             group = words[i : i + 2000]
-            alone = [k for k, w in enumerate(group) if _SEPARATOR in w]
-            joined = _SEPARATOR.join("" if k in alone else w for k, w in enumerate(group)) if alone else _SEPARATOR.join(group)
-            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint16)
-            split = np.split(ids, np.flatnonzero(ids == _SEPARATOR_ID))
-            split[1:] = [part[1:] for part in split[1:]]
-            for k in alone:
-                split[k] = np.array(self.tokenizer.encode(group[k], add_special_tokens=False).ids, np.uint16)
-            parts += split
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-        end = self.n_ids + int(lengths.sum())
+            special = [k for k in range(len(group)) if i + k in alone] if alone else []
+            ids, lengths = self._encoded(["" if i + k in alone else w for k, w in enumerate(group)] if special else group)
+            for k in reversed(special):
+                own = np.array(self.tokenizer.encode(group[k], add_special_tokens=False).ids, np.uint16)
+                ids, lengths[k] = np.insert(ids, int(lengths[:k].sum()), own), len(own)
+            found.append(ids)
+            counts.append(lengths)
+        lengths = np.concatenate(counts)
+        end, n = self.n_ids + int(lengths.sum()), self.n_words + len(words)
         if end > len(self.ids):
             self.ids = np.resize(self.ids, max(end, 2 * len(self.ids)))
-        if self.n_words + len(words) + 1 > len(self.starts):
-            self.starts = np.resize(self.starts, max(self.n_words + len(words) + 1, 2 * len(self.starts)))
-        self.ids[self.n_ids : end] = np.concatenate(parts)
-        self.starts[self.n_words : self.n_words + len(words) + 1] = self.n_ids + np.concatenate([[0], np.cumsum(lengths)])
-        self.known.update(zip(hashes, range(self.n_words, self.n_words + len(words)), strict=True))
-        self.n_ids, self.n_words = end, self.n_words + len(words)
+        if n + 1 > len(self.starts):
+            self.starts = np.resize(self.starts, max(n + 1, 2 * len(self.starts)))
+        self.ids[self.n_ids : end] = np.concatenate(found)
+        self.starts[self.n_words : n + 1] = self.n_ids + np.concatenate([[0], np.cumsum(lengths)])
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.place = np.insert(self.place, at, np.arange(self.n_words, n))
+        self.n_ids, self.n_words = end, n
+
+    def _unknown(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.arange(len(hashes))
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.flatnonzero(self.known[at] != hashes)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the offsets of the texts."""
@@ -98,17 +117,15 @@ class WordEncoder:
         words.starts, words.ends = np.where(second, core[at], words.starts[at]), np.where(cut[at] & ~second, core[at], words.ends[at])
         hashes = words.hashes(data)
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        fresh = [i for i, h in enumerate(keys) if h not in self.known]
+        fresh = self._unknown(distinct)
         if self.n_words + len(fresh) > CACHE_WORDS:  # the cache starts anew and must hold all of this chunk
-            self.known.clear()
-            self.n_ids = self.n_words = 0
-            fresh = list(range(len(keys)))
-        if fresh:
+            self._forget()
+            fresh = np.arange(len(distinct))
+        if len(fresh):
             body = data.tobytes()
             spans = zip(words.starts[first[fresh]].tolist(), words.ends[first[fresh]].tolist(), strict=True)
-            self._learn([body[s:e].decode() for s, e in spans], [keys[i] for i in fresh])
-        index = np.fromiter((self.known[h] for h in keys), np.int64, len(keys))[inverse]
+            self._learn([body[s:e].decode() for s, e in spans], distinct[fresh])
+        index = self.place[np.searchsorted(self.known, distinct)][inverse]
         begin, lengths = self.starts[index], self.starts[index + 1] - self.starts[index]
         total = np.concatenate([[0], np.cumsum(lengths)])
         take = np.arange(total[-1]) + np.repeat(begin - total[:-1], lengths)
@@ -145,15 +162,19 @@ def tokenized_pieces(
         for batch in text_chunks(batches, text_col, CHUNK_BYTES):
             flat, offsets = encoder.encode(batch.column(text_col))
             rows, piece, start, length, crc, lists = [], [], [], [], [], []
-            for row in range(batch.num_rows):
-                ids = np.append(flat[offsets[row] : offsets[row + 1]], end_id).astype("<u4")
-                for k, at in enumerate(range(0, len(ids), capacity)):
-                    part = ids[at : at + capacity]
+            ended = offsets + np.arange(len(offsets))  # with one end id a document
+            ids = np.full(ended[-1], end_id, "<u4")
+            inner = np.ones(ended[-1], dtype=bool)
+            inner[ended[1:] - 1] = False
+            ids[inner] = flat
+            for row, (first, end) in enumerate(pairwise(ended.tolist())):
+                for k, at in enumerate(range(0, end - first, capacity)):
+                    part = ids[first + at : min(first + at + capacity, end)]
                     rows.append(row)
                     piece.append(k)
                     start.append(at)
                     length.append(len(part))
-                    crc.append(zlib.crc32(part.tobytes()))
+                    crc.append(zlib.crc32(part))
                     if with_ids:
                         lists.append(part)
             columns = [
