@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -331,3 +332,30 @@ def test_packed_pieces(docs, texts, capacity):
         assert all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:], strict=False))
     assert len(sequences) == len(plain_best_fit([r.length for r in got], capacity))
     assert packing.pack(pieces.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text,want", [("½", False), ("²³", False), ("①", False), ("Ⅷ", False), ("7 ½ a", True), ("_", False), ("ß", True), ("中", True), (None, False), ("", False)])
+def test_letters_are_letter_categories(text, want):
+    assert language.has_letter(text) == want
+
+
+def test_rows_without_an_id_are_not_held_out(spark):
+    df = spark.createDataFrame([(None,), (1,), (2,), (3,), (4,)], "doc_id long")
+    assert [r[0] for r in df.filter("doc_id IS NULL").select(queries.held_out(4, 2)).collect()] == [False]
+
+
+def test_nearest_centroid_equals_a_plain_comparison(spark, docs):
+    """Labels and scores against a plain n-gram TF-IDF cosine over the fitted centroids."""
+    model = language.fit_language_model(docs)
+    got = language.identify_language(docs.select("doc_id", "text"), model).collect()
+    for r in got:
+        if not language.has_letter(r.text):
+            assert r.lang_pred == language.UND and r.score == 0.0
+            continue
+        x = language._grams(pa.array([r.text]), len(model.idf))[0].astype(float) * model.idf
+        norm = np.sqrt((x * x).sum())
+        cosines = [float(sum(a * b for a, b in zip((x / norm).tolist(), c.tolist(), strict=True) if a)) if norm else 0.0 for c in model.centroids]
+        best = max(cosines)
+        assert r.score == pytest.approx(min(max(best, 0.0), 1.0), abs=1e-4)
+        near = {lang for lang, c in zip(model.langs, cosines, strict=True) if c >= best - 1e-4}
+        assert r.lang_pred in near

@@ -30,11 +30,16 @@ from .common import staged, text_chunks, utf8
 UND = "und"
 GRAMS = (2, 3)
 FREE_GRAMS, FULL_GRAMS = 24, 300
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")  # letters, and numbers that are not digits
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[[b for b in range(128) if not chr(b).isalpha()]] = 32
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a character is in one of Unicode's letter categories (fractions and Roman numerals are not)."""
+    return any(m[0].isalpha() for m in _MAYBE_LETTER.finditer(text or ""))
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     """``centroids`` holds unit vectors of the languages in ``langs`` (one entry per centroid)."""
@@ -180,7 +185,7 @@ def identify_language(
         for batch in text_chunks(batches, text_col):
             for part, grams in _blocks(batch, text_col, dims):
                 texts = part.column(text_col).to_pylist()
-                letters = np.array([bool(t) and _LETTER.search(t) is not None for t in texts], dtype=bool)
+                letters = np.array([has_letter(t) for t in texts], dtype=bool)
                 if len(langs):
                     cosine = _unit(grams * model.idf) @ model.centroids.T
                     best = np.argmax(cosine, axis=1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -121,10 +121,15 @@ LLM_SQL["op6_source_mixing"] = lambda: (
 )
 
 
+def held_out(mod: int, remainder: int) -> Column:
+    """Whether the id's checksum leaves the remainder; a null id has none, so its row is not held out."""
+    return F.coalesce(crc_mod("doc_id", mod) == remainder, F.lit(False))
+
+
 @registered
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = staged(discriminant.text_features(docs), "features").withColumn("held_out", crc_mod("doc_id", 5) == 0)
+    rows = staged(discriminant.text_features(docs), "features").withColumn("held_out", held_out(5, 0))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     model = discriminant.fit_discriminant(rows.filter(~F.col("held_out")).join(labels, "doc_id"))
     return discriminant.score_quality(rows, model)
@@ -138,7 +143,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    docs = docs.withColumn("held_out", crc_mod("doc_id", 4) == 2)
+    docs = docs.withColumn("held_out", held_out(4, 2))
     model = language.fit_language_model(docs.filter(~F.col("held_out")))
     return language.identify_language(docs.drop("lang"), model, columns=["doc_id", "held_out"])
 
