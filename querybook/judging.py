@@ -158,7 +158,12 @@ def representative_rows(b: Book) -> DataFrame:
 
 @query("F5", lambda: compose("SELECT tweet_id, overall FROM scored ORDER BY overall, tweet_id"))
 def lowest_scored_rows(b: Book) -> DataFrame:
-    return b.scored.select("tweet_id", "overall").orderBy("overall", "tweet_id")
+    return judge.lowest_scored(b.scored.select("tweet_id", "overall"))
+
+
+@query("F5", lambda: compose("SELECT tweet_id, overall FROM scored ORDER BY overall, tweet_id LIMIT 20"))
+def twenty_lowest_scored_rows(b: Book) -> DataFrame:
+    return judge.lowest_scored(b.scored, n=20).select("tweet_id", "overall")
 
 
 @query(

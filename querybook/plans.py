@@ -13,8 +13,9 @@ from .metrics import class_sql, summary_sql
 from .oracle import compose, listed, mapped, ranked, strip, tfidf, weak
 from .registry import query
 from .retrieval import CORPUS_DOCS, DRAFT, EVIDENCE, HANDLING, decision_sql
+from .sources import stored_report
 from .tables import Book
-from .threads import BRAND_COUNTS, PERCENTS, rounded, sql_rounded
+from .threads import BRAND_COUNTS, EXAMPLES, PERCENTS, SIGNAL, TOP, TRANSCRIPTS, rounded, sql_rounded
 
 
 def incoming(b: Book) -> DataFrame:
@@ -142,21 +143,18 @@ def _intent(prediction: str, system: str, cls: str) -> str:
     )
 
 
-@query(
-    "K3, D24",
-    lambda: compose(
-        " UNION ALL ".join(
-            [
-                _intent("predicted_intent", "system", "cls"),
-                _intent("majority", "majority", "cls2"),
-                _binary("predicted_handling", "system"),
-                _binary("always", "always_escalate"),
-                "SELECT 'response_behavior', 'system', 'accuracy', round(avg(CAST(behavior = golden_behavior AS INT)), 6) FROM pm",
-            ]
-        ),
-        GOLD,
-    ),
+SUMMARY = " UNION ALL ".join(
+    [
+        _intent("predicted_intent", "system", "cls"),
+        _intent("majority", "majority", "cls2"),
+        _binary("predicted_handling", "system"),
+        _binary("always", "always_escalate"),
+        "SELECT 'response_behavior', 'system', 'accuracy', round(avg(CAST(behavior = golden_behavior AS INT)), 6) FROM pm",
+    ]
 )
+
+
+@query("K3, D24", lambda: compose(SUMMARY, GOLD))
 def evaluation_summary(b: Book) -> DataFrame:
     from threadwright.sources.staging import stage
 
@@ -164,6 +162,92 @@ def evaluation_summary(b: Book) -> DataFrame:
     return evaluation.evaluation_summary(predictions).withColumn("value", F.round("value", 6))
 
 
+PM = {
+    "labs": f"SELECT unnest([{listed(V.INTENT_LABELS)}]) AS label",
+    "pm": f"SELECT *, '{V.INTENTS[6]}' AS majority, 'ESCALATE' AS always, predicted_response_behavior AS behavior FROM pred",
+    "cls": class_sql("golden_intent", "predicted_intent", "labs", "pm"),
+    "cls2": class_sql("golden_intent", "majority", "labs", "pm"),
+}
+
+
+@query("A7, K3", lambda: compose(SUMMARY, PM))
+def report_sink_summary(b: Book) -> DataFrame:
+    summary = stored_report(b).select(F.inline("summary"))
+    return summary.select("part", "system", "metric", F.round("value", 6).alias("value"))
+
+
+@query(
+    "A7, D21",
+    lambda: compose("SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM cls", PM),
+)
+def report_sink_classes(b: Book) -> DataFrame:
+    classes = stored_report(b).select(F.inline("per_class"))
+    return rounded(classes.select("label", "precision", "recall", "f1", "support"), "precision", "recall", "f1")
+
+
+def cells_sql(kind: str, truth: str, prediction: str, labels: str) -> str:
+    grid_sql = f"SELECT a.label AS truth, b.label AS prediction FROM {labels} a, {labels} b"
+    return (
+        f"SELECT '{kind}' AS kind, g.truth, g.prediction, count(p.tweet_id) AS n FROM ({grid_sql}) g "
+        f"LEFT JOIN pred p ON p.{truth} = g.truth AND p.{prediction} = g.prediction GROUP BY ALL"
+    )
+
+
+@query(
+    "A7, D20",
+    lambda: compose(
+        cells_sql("intent", "golden_intent", "predicted_intent", "labs")
+        + " UNION ALL "
+        + cells_sql("handling", "golden_handling", "predicted_handling", "hands"),
+        {**PM, "hands": f"SELECT unnest([{listed(V.HANDLINGS)}]) AS label"},
+    ),
+)
+def report_sink_cells(b: Book) -> DataFrame:
+    """Both confusion matrices of the stored report."""
+    report = stored_report(b)
+    parts = [
+        report.select(F.inline(f"{kind}_confusion")).select(F.lit(kind).alias("kind"), "truth", "prediction", "n")
+        for kind in ("intent", "handling")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "A7, E6",
+    lambda: compose(
+        "SELECT tweet_id, golden_intent, predicted_intent, golden_handling, predicted_handling FROM pred "
+        "WHERE NOT (intent_correct AND handling_correct) ORDER BY tweet_id LIMIT 10"
+    ),
+)
+def report_sink_failures(b: Book) -> DataFrame:
+    failures = stored_report(b).select(F.inline("failure_examples"))
+    return failures.select("tweet_id", "golden_intent", "predicted_intent", "golden_handling", "predicted_handling")
+
+
+LEADING = "brand IN (SELECT brand FROM bm ORDER BY resolution_pairs DESC, brand LIMIT 7)"
+FIRST_EXAMPLES = f"SELECT brand, root, size FROM ({EXAMPLES.replace('k <= 2', 'k <= 1')}) WHERE {LEADING}"
+
+
+@query("K6, F2", lambda: compose(TOP))
+def brand_report_top(b: Book) -> DataFrame:
+    return rounded(reports.brand_report(b.threads).top, "pct_3plus", "dangling_pct")
+
+
+@query("K6, H9", lambda: compose(FIRST_EXAMPLES))
+def brand_report_examples(b: Book) -> DataFrame:
+    return reports.brand_report(b.threads).examples.select("brand", "root", "size")
+
+
+@query("K6, D12", lambda: compose(f"SELECT * FROM ({SIGNAL}) WHERE {LEADING}"))
+def brand_report_handles(b: Book) -> DataFrame:
+    return rounded(reports.brand_report(b.threads).handle_signal, "handle_pct")
+
+
+@query("K6, E5", lambda: compose(TRANSCRIPTS + f" WHERE t.root IN (SELECT root FROM ({FIRST_EXAMPLES}))"))
+def brand_report_lines(b: Book) -> DataFrame:
+    return reports.brand_report(b.threads).transcripts.select("root", "tweet_id", "line")
+
+
 @query("K6", lambda: compose(f"SELECT {sql_rounded(PERCENTS, BRAND_COUNTS)} FROM bm"))
 def brand_report(b: Book) -> DataFrame:
     return rounded(reports.brand_report(b.threads).metrics, *PERCENTS)

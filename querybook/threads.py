@@ -156,14 +156,14 @@ def thread_totals(b: Book) -> DataFrame:
     return brands.thread_totals(b.rows)
 
 
-@query(
-    "D12",
-    lambda: compose(
-        "SELECT p.brand, count(*) AS n_customer, count(*) FILTER (starts_with(lower(trim(t.text)), '@' || lower(p.brand))) AS n_handle, "
-        "round(100.0 * count(*) FILTER (starts_with(lower(trim(t.text)), '@' || lower(p.brand))) / count(*), 6) AS handle_pct "
-        "FROM (SELECT DISTINCT author_id AS brand, root FROM t WHERE is_support) p JOIN t ON t.root = p.root WHERE t.is_customer GROUP BY p.brand"
-    ),
+SIGNAL = (
+    "SELECT p.brand, count(*) AS n_customer, count(*) FILTER (starts_with(lower(trim(t.text)), '@' || lower(p.brand))) AS n_handle, "
+    "round(100.0 * count(*) FILTER (starts_with(lower(trim(t.text)), '@' || lower(p.brand))) / count(*), 6) AS handle_pct "
+    "FROM (SELECT DISTINCT author_id AS brand, root FROM t WHERE is_support) p JOIN t ON t.root = p.root WHERE t.is_customer GROUP BY p.brand"
 )
+
+
+@query("D12", lambda: compose(SIGNAL))
 def handle_signal(b: Book) -> DataFrame:
     return rounded(brands.handle_signal(b.rows), "handle_pct")
 
@@ -181,13 +181,13 @@ def brand_ranking(b: Book) -> DataFrame:
     return ordered.withColumn("place", place)
 
 
-@query(
-    "F2",
-    lambda: compose(
-        "SELECT brand, n_threads, resolution_pairs, round(pct_3plus, 6) AS pct_3plus, round(dangling_pct, 6) AS dangling_pct "
-        "FROM bm ORDER BY resolution_pairs DESC, brand LIMIT 7"
-    ),
+TOP = (
+    "SELECT brand, n_threads, resolution_pairs, round(pct_3plus, 6) AS pct_3plus, round(dangling_pct, 6) AS dangling_pct "
+    "FROM bm ORDER BY resolution_pairs DESC, brand LIMIT 7"
 )
+
+
+@query("F2", lambda: compose(TOP))
 def top_brands(b: Book) -> DataFrame:
     top = brands.top_brands(brands.brand_metrics(b.rows, b.stats), 7)
     return rounded(top, "pct_3plus", "dangling_pct")
@@ -206,13 +206,13 @@ def example_threads(b: Book) -> DataFrame:
     return brands.example_threads(b.rows, b.stats, 2).select("brand", "root", "size")
 
 
-@query(
-    "E5",
-    lambda: compose(
-        "SELECT t.root, t.tweet_id, '[' || CASE WHEN t.is_support THEN 'SUPPORT' ELSE 'customer' END || '] ' || t.author_id || ': ' || "
-        f"({cut(flat('t.text'), 200)}) AS line FROM t WHERE t.root IN (SELECT root FROM ({EXAMPLES}))"
-    ),
+TRANSCRIPTS = (
+    "SELECT t.root, t.tweet_id, '[' || CASE WHEN t.is_support THEN 'SUPPORT' ELSE 'customer' END || '] ' || t.author_id || ': ' || "
+    f"({cut(flat('t.text'), 200)}) AS line FROM t"
 )
+
+
+@query("E5", lambda: compose(TRANSCRIPTS + f" WHERE t.root IN (SELECT root FROM ({EXAMPLES}))"))
 def thread_transcripts(b: Book) -> DataFrame:
     chosen = brands.example_threads(b.rows, b.stats, 2)
     return brands.transcript(b.rows, chosen).select("root", "tweet_id", "line")

@@ -241,3 +241,9 @@ def test_correlation_p_value_at_the_edges(spark):
     halves = spark.createDataFrame([(0.6, 8), (-0.6, 8)], "r double, n long")
     a, b = (row[0] for row in halves.select(correlation_p_value(F.col("r"), F.col("n"))).collect())
     assert a == b == pytest.approx(1 - 0.6 * (1 + 0.64 / 2 + 0.64**2 * 3 / 8), abs=1e-12)  # closed form of 6 degrees
+
+
+def test_lowest_scored_rows(spark):
+    df = spark.createDataFrame([(3, 2.0), (1, 2.0), (2, 1.0), (4, None), (5, 9.0)], "tweet_id long, overall double")
+    assert [r.tweet_id for r in judge.lowest_scored(df).collect()] == [2, 1, 3, 5, 4]
+    assert [r.tweet_id for r in judge.lowest_scored(df, n=2).collect()] == [2, 1]

@@ -43,6 +43,12 @@ def low_quartile(scored: DataFrame, column: str = "overall") -> DataFrame:
     return scored.filter(F.col(column) <= cut)
 
 
+def lowest_scored(scored: DataFrame, column: str = "overall", n: int | None = None, id_col: str = "tweet_id") -> DataFrame:
+    """Rows from the lowest score up, ties by id and unscored rows last; the first ``n`` if given."""
+    ordered = scored.orderBy(F.col(column).asc_nulls_last(), id_col)
+    return ordered if n is None else ordered.limit(n)
+
+
 def low_quartile_distribution(scored: DataFrame, by: str = "predicted_response_behavior") -> DataFrame:
     return low_quartile(scored).groupBy(by).agg(F.count(F.lit(1)).alias("n"))
 
