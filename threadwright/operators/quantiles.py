@@ -23,7 +23,9 @@ def exact_quantile(df: DataFrame, column: str, q: float, by: Sequence[str] = (),
     comes back, null if there is no value.
     """
     keys = [f"__k{i}" for i in range(len(by))] or ["__k0"]
-    named = [F.col(c).alias(k) for c, k in zip(by, keys, strict=True)] if by else [F.lit(0).alias("__k0")]
+    named = [F.col(c).alias(k) for c, k in zip(by, keys, strict=True)] if by else []
+    if not by:  # one key for all rows that the optimizer does not fold, so that the joins stay joins by key
+        named = [F.pmod(F.xxhash64(F.col(column)), F.lit(1)).alias("__k0")]
     values = df.filter(F.col(column).isNotNull()).select(*named, F.col(column).cast("double").alias("v"))
     same = [f"a.{k} <=> b.{k}" for k in keys]
 
