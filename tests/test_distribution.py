@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from threadwright.operators import distribution
 from threadwright.operators.distribution import exact_rank, hash_rank, hot_keys, lookup_join, values_frame
 
 
@@ -31,6 +32,22 @@ def test_hash_rank_is_a_permutation_and_depends_on_the_seed(spark):
     assert sorted(first.values()) == list(range(1, 1001)) and first != second
 
 
+def test_exact_rank_in_two_levels(spark):
+    df = spark.range(2000).select("id", (F.col("id") % 2).alias("g"), (F.hash("id") % 500).alias("v"))
+    ranked = exact_rank(df, ["g"], [F.col("v"), F.col("id")], F.floor(F.col("v") / 10), "rank", F.floor(F.col("v") / 100))
+    both = ranked.withColumn("want", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")))
+    assert both.filter("rank <> want").count() == 0 and both.count() == 2000
+
+
+def test_hash_rank_with_small_buckets(spark, monkeypatch):
+    monkeypatch.setattr(distribution, "BUCKET_ROWS", 2)
+    monkeypatch.setattr(distribution, "COARSE_DIGITS", 2)
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("g"))
+    window = Window.partitionBy("g").orderBy(distribution.seeded_hash(7, F.col("id")), "id")
+    both = hash_rank(df, ["g"], 7, "id").withColumn("want", F.row_number().over(window))
+    assert both.filter("rank <> want").count() == 0 and both.count() == 3000
+
+
 def test_exact_rank_plan_never_groups_a_whole_key(spark):
     df = spark.range(100).withColumn("g", F.col("id") % 2)
     plan = hash_rank(df, ["g"], 1, "id")._jdf.queryExecution().executedPlan().toString()

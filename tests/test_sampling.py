@@ -3,9 +3,11 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from threadwright.operators import sampling
+from threadwright.operators.distribution import hash_cuts, seeded_hash
 from threadwright.operators.metrics import category_shares
 
 
@@ -84,3 +86,33 @@ def test_shares_show_zero_classes(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "x string")
     got = {r.label: (r.n, round(r.pct, 2)) for r in category_shares(df, "x", ["a", "b", "c"]).collect()}
     assert got == {"a": (2, 66.67), "b": (1, 33.33), "c": (0, 0.0)}
+
+
+def test_split_and_share_equal_row_numbers(spark):
+    df = spark.range(1000).select("id", F.concat(F.lit("l"), F.floor(F.sqrt(F.col("id") % 40))).alias("label"), F.lit("t").alias("text"))
+    order = Window.partitionBy("label").orderBy(seeded_hash(42, F.col("id")), "id")
+    plan = sampling.split_plan(df)
+    want = df.withColumn("k", F.row_number().over(order)).join(plan, "label")
+    part = F.when(F.expr("k <= n_train"), "train").when(F.expr("k <= n_train + n_validation"), "validation").otherwise("test")
+    want = {(r.id, r.s) for r in want.select("id", part.alias("s")).collect()}
+    assert {(r.id, r.split) for r in sampling.stratified_split(df, "label", "id").collect()} == want
+    share = sampling.stratified_share(df, ["label"], "id", 0.3, 42)
+    assert share.columns == ["label", "id", "text"]
+    sizes = {r.label: r.n for r in plan.collect()}
+    taken = Counter(r.label for r in share.collect())
+    assert taken == {label: min(n, max(1, round(n * 0.3))) for label, n in sizes.items()}
+
+
+def test_only_ids_are_ranked(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 3 AS label", "'t' || id AS text").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    wanted = spark.createDataFrame([(0, 5)], "label bigint, k bigint")
+    plan = hash_cuts(df, ["label"], 1, "id", wanted)._jdf.queryExecution().optimizedPlan().toString()
+    assert "label#" in plan and not any("text#" in line for line in plan.splitlines() if "Relation" not in line)
+
+
+def test_whole_rows_of_a_simple_sample(spark):
+    df = spark.range(50).select("id", (F.col("id") * 2).alias("v"))
+    got = [(r.id, r.v) for r in sampling.simple_sample(df, "id", 7, 3).collect()]
+    ids = [r.id for r in df.orderBy(seeded_hash(3, F.col("id")), "id").limit(7).collect()]
+    assert got == [(i, 2 * i) for i in ids]

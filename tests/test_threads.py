@@ -187,3 +187,24 @@ def test_roots_partition_the_messages(tables):
     assert rows.count() == tables.messages.count()
     assert rows.filter(F.col("root").isNull()).count() == 0
     assert tables.stats.agg(F.sum("size")).first()[0] == rows.count()
+
+
+def test_first_of_thread_never_sorts_or_buffers_texts(messages):
+    """No text in an aggregation buffer: every aggregate is a hash aggregate over numbers."""
+    rows = threads.build_threads(messages([(1, None, "a", "c", 5, "q"), (2, 1, "B", "s", 9, "r")])).rows
+    for frame in (context.first_customer_messages(rows), corpus.first_reply_after(rows), corpus.build_corpus(rows, "B")):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan and "ObjectHashAggregate" not in plan
+
+
+def test_packed_time_orders_as_times_and_ids(spark):
+    rows = [
+        (ts, i)
+        for ts in (None, "0001-01-01 00:00:00", "1969-12-31 23:59:59.999999", "2017-10-31 22:00:00", "9999-12-31 23:59:59")
+        for i in (-(2**63), -1, 0, 7, 2**63 - 1)
+    ]
+    df = spark.createDataFrame(rows, "s string, tweet_id bigint").select(F.col("s").cast("timestamp").alias("ts"), "tweet_id")
+    columns = F.unix_micros("ts"), "tweet_id"
+    by_key = [tuple(r) for r in df.orderBy(threads.packed_time()).select(*columns).collect()]
+    assert by_key == [tuple(r) for r in df.orderBy(*threads.time_order()).select(*columns).collect()]
+    assert df.select(threads.packed_time().alias("k")).filter("k IS NOT NULL").distinct().count() == len(rows)

@@ -8,21 +8,19 @@ from pyspark.sql import functions as F
 from ..functions.text import flatten_lines, truncated
 from ..functions.vocab import CONTEXT_MESSAGES, CONTEXT_WIDTH
 from ..sources.messages import role_label
-from .threads import time_key, time_order
+from .threads import packed_time, time_order
 
 
 def first_customer_messages(rows: DataFrame) -> DataFrame:
     """First customer message of each thread; unparsed times sort last.
 
-    An aggregate, so each task sends one candidate per thread.
+    A hash aggregate over numbers finds the id, so each task sends one candidate per thread;
+    the message is then looked up by its id, which must be unique within the thread.
     """
-    message = F.struct("tweet_id", "ts", "created_at", "text")
-    return (
-        rows.filter("is_customer")
-        .groupBy("root")
-        .agg(F.min_by(message, time_key()).alias("m"))
-        .select("root", "m.tweet_id", "m.ts", "m.created_at", "m.text")
-    )
+    customers = rows.filter("is_customer")
+    first = customers.groupBy("root").agg(F.min_by("tweet_id", packed_time()).alias("tweet_id"))
+    messages = customers.select("root", "tweet_id", "ts", "created_at", "text")
+    return first.join(messages, ["root", "tweet_id"]).select("root", "tweet_id", "ts", "created_at", "text")
 
 
 def thread_context(
@@ -54,27 +52,27 @@ def thread_context(
 
 def labeling_rows(rows: DataFrame, max_messages: int = CONTEXT_MESSAGES, width: int = CONTEXT_WIDTH) -> DataFrame:
     """One row per thread with a customer message, labels left blank."""
-    primary = F.struct("tweet_id", "created_at", "text")
     stats = (
         rows.groupBy("root")
         .agg(
-            F.min_by("tweet_id", time_key()).alias("thread_root_tweet_id"),
+            F.min_by("tweet_id", packed_time()).alias("thread_root_tweet_id"),
             F.count(F.lit(1)).alias("thread_size"),
             F.count_if("is_customer").alias("num_customer_messages"),
             F.count_if("is_support").alias("num_support_messages"),
-            F.min_by(primary, F.when(F.col("is_customer"), time_key())).alias("p"),
+            F.min_by("tweet_id", F.when(F.col("is_customer"), packed_time())).alias("tweet_id"),
         )
         .filter("num_customer_messages > 0")
     )
-    return stats.join(thread_context(rows, max_messages, width), "root").select(
+    primary = rows.filter("is_customer").select("root", "tweet_id", "created_at", "text")
+    return stats.join(thread_context(rows, max_messages, width), "root").join(primary, ["root", "tweet_id"]).select(
         "root",
-        "p.tweet_id",
+        "tweet_id",
         "thread_root_tweet_id",
         "thread_size",
         "num_customer_messages",
         "num_support_messages",
-        "p.created_at",
-        flatten_lines(F.coalesce("p.text", F.lit(""))).alias("customer_text"),
+        "created_at",
+        flatten_lines(F.coalesce("text", F.lit(""))).alias("customer_text"),
         "conversation_context",
         F.lit("").alias("intent"),
         F.lit("").alias("labeling_notes"),

@@ -11,7 +11,7 @@ from ..functions.rules import classify_reply, response_type
 from ..functions.text import flatten_lines
 from ..functions.vocab import UNCLEAR
 from .distribution import lookup_join
-from .threads import time_key
+from .threads import packed_time
 
 
 def first_reply_after(
@@ -20,30 +20,22 @@ def first_reply_after(
     """First support message strictly after the thread's first customer message.
 
     Without one (or without a usable time) it is the thread's first support message. Both passes
-    are aggregates; the support rows meet their thread's customer time by a lookup that broadcasts
-    the few threads with very many rows. ``openings`` (root, first_ts, ...) restricts the threads;
-    its other columns are carried along.
+    are hash aggregates over numbers; the support rows meet their thread's customer time by a lookup that broadcasts
+    the few threads with very many rows, and the reply's text is looked up by its id. ``openings`` (root, first_ts,
+    ...) restricts the threads; its other columns are joined to the replies found.
     """
     if openings is None:
-        openings = rows.filter("is_customer").groupBy("root").agg(F.min_by("ts", time_key()).alias("first_ts"))
+        openings = rows.filter("is_customer").groupBy("root").agg(F.min_by("ts", packed_time()).alias("first_ts"))
     carried = [c for c in openings.columns if c not in ("root", "first_ts")]
-    support = rows.filter("is_support").select("root", "ts", "tweet_id", "text")
-    if carried:
-        openings = openings.select("root", "first_ts", F.struct(*carried).alias("o"))
-    answered = lookup_join(support, openings, "root", "inner", hot_roots)
-    reply = F.struct("tweet_id", "ts", "text")
-    later = F.when(F.col("ts") > F.col("first_ts"), time_key())
+    support = rows.filter("is_support")
+    answered = lookup_join(support.select("root", "ts", "tweet_id"), openings.select("root", "first_ts"), "root", "inner", hot_roots)
+    later = F.when(F.col("ts") > F.col("first_ts"), packed_time())
     picked = answered.groupBy("root").agg(
-        F.coalesce(F.min_by(reply, later), F.min_by(reply, time_key())).alias("r"),
-        *([F.first("o").alias("o")] if carried else []),
-    )
-    return picked.select(
-        "root",
-        F.col("r.tweet_id").alias("reply_id"),
-        F.col("r.ts").alias("reply_ts"),
-        F.col("r.text").alias("support_text"),
-        *[F.col(f"o.{c}").alias(c) for c in carried],
+        F.coalesce(F.min_by("tweet_id", later), F.min_by("tweet_id", packed_time())).alias("reply_id")
     )
+    texts = support.select("root", F.col("tweet_id").alias("reply_id"), F.col("ts").alias("reply_ts"), F.col("text").alias("support_text"))
+    found = picked.join(texts, ["root", "reply_id"]).select("root", "reply_id", "reply_ts", "support_text")
+    return found.join(openings.select("root", *carried), "root") if carried else found
 
 
 def build_corpus(
@@ -54,26 +46,23 @@ def build_corpus(
 ) -> DataFrame:
     """One row per qualifying thread: first request, the reply to it, its type, optional intent.
 
-    One aggregate finds the qualifying threads and their request; only their support messages are
-    then looked at, and carry the request along, so nothing is joined back.
+    One hash aggregate finds the ids of each thread's first message, request and first support message. The brand
+    is that message's author, and the request is looked up by its id; only the support messages of the
+    threads that qualify are then looked at.
     """
-    request = F.struct("tweet_id", "ts", "text")
-    support_key = F.when(F.col("is_support") & F.col("author_id").isNotNull(), time_key())
+    support_key = F.when(F.col("is_support") & F.col("author_id").isNotNull(), packed_time())
+    request_key = F.when(F.col("is_customer"), packed_time())
+    firsts = rows.groupBy("root").agg(
+        F.min_by("tweet_id", support_key).alias("first_support"),
+        F.min_by("tweet_id", packed_time()).alias("thread_root_tweet_id"),
+        F.min_by("tweet_id", request_key).alias("tweet_id"),
+    )
+    own = rows.filter(F.col("is_support") & (F.col("author_id") == brand)).select("root", F.col("tweet_id").alias("first_support"))
+    requests = rows.filter("is_customer").select("root", "tweet_id", F.col("ts").alias("first_ts"), "text")
     openings = (
-        rows.groupBy("root")
-        .agg(
-            F.min_by("author_id", support_key).alias("brand"),
-            F.min_by("tweet_id", time_key()).alias("thread_root_tweet_id"),
-            F.min_by(request, F.when(F.col("is_customer"), time_key())).alias("q"),
-        )
-        .filter((F.col("brand") == brand) & F.col("q").isNotNull())
-        .select(
-            "root",
-            F.col("q.ts").alias("first_ts"),
-            F.col("q.tweet_id").alias("tweet_id"),
-            F.col("q.text").alias("text"),
-            "thread_root_tweet_id",
-        )
+        firsts.join(own, ["root", "first_support"], "left_semi")
+        .join(requests, ["root", "tweet_id"])
+        .select("root", "first_ts", "tweet_id", "text", "thread_root_tweet_id")
     )
     corpus = first_reply_after(rows, hot_roots, openings).select(
         "tweet_id",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1000
+BUCKET_ROWS = 65536
+COARSE_DIGITS, MAX_DIGITS = 3, 6
 
 
 def values_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
@@ -36,28 +39,39 @@ def exact_rank(
     order: Sequence[Column],
     bucket: Column,
     name: str = "rank",
+    coarse: Column | None = None,
 ) -> DataFrame:
     """1-based row number inside each ``within`` group that never gathers a whole group.
 
     ``bucket`` must be non-null and non-decreasing along ``order`` (a hash prefix, an hour, ...).
     Rows are ranked inside (group, bucket); the bucket sizes, not the rows, are summed along the
     group to get each bucket's offset. Ranking and counting share one shuffle. Group columns must
-    not be null (the offsets are joined on them), and a group should have few distinct buckets.
+    not be null (the offsets are joined on them). ``coarse``, non-null and non-decreasing along ``bucket``, splits a
+    group with many buckets: their sizes are then summed inside (group, coarse), and only the
+    sums of the coarse parts along the group.
     """
-    keys = [*within, "__bucket"]
+    parts = [] if coarse is None else ["__coarse"]
+    keys = [*within, *parts, "__bucket"]
     tagged = df.withColumn("__bucket", bucket)
-    earlier = Window.partitionBy(*within).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        tagged.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select(*keys, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
-    )
+    if coarse is not None:
+        tagged = tagged.withColumn("__coarse", coarse)
+
+    def before(size: str, along: str, *groups: str) -> Column:
+        earlier = Window.partitionBy(*groups).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(size).over(earlier), F.lit(0))
+
+    sizes = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = sizes.select(*keys, before("__n", "__bucket", *within, *parts).alias("__offset"))
+    if coarse is not None:
+        whole = sizes.groupBy(*within, "__coarse").agg(F.sum("__n").alias("__n"))
+        whole = whole.select(*within, "__coarse", before("__n", "__coarse", *within).alias("__start"))
+        offsets = offsets.join(whole, [*within, "__coarse"]).select(*keys, (F.col("__offset") + F.col("__start")).alias("__offset"))
     local = Window.partitionBy(*keys).orderBy(*order)
     return (
         tagged.withColumn("__local", F.row_number().over(local))
         .join(offsets, keys)
         .withColumn(name, F.col("__local") + F.col("__offset"))
-        .drop("__local", "__offset", "__bucket")
+        .drop("__local", "__offset", "__bucket", "__coarse")
     )
 
 
@@ -67,11 +81,35 @@ def seeded_hash(seed: int, *ids: Column) -> Column:
 
 
 def hash_rank(df: DataFrame, within: Sequence[str], seed: int, id_col: str, name: str = "rank") -> DataFrame:
-    """Random order inside each group, exact for groups of any size (4096 hash buckets)."""
+    """Random order inside each group, exact for groups of any size.
+
+    Groups are cut by as many digits of the hash as the number of rows asks for (at most about
+    ``BUCKET_ROWS`` rows a bucket), and many buckets once more by the first of these digits. The rows are counted first.
+    """
     ordered = df.withColumn("__hash", seeded_hash(seed, F.col(id_col)))
-    return exact_rank(
-        ordered, within, [F.col("__hash"), F.col(id_col)], F.substring("__hash", 1, 3), name
-    ).drop("__hash")
+    buckets = max(2, -(-df.count() // BUCKET_ROWS))
+    digits = min(math.ceil(math.log(buckets, 16)), MAX_DIGITS)
+    coarse = F.substring("__hash", 1, COARSE_DIGITS) if digits > COARSE_DIGITS else None
+    order = [F.col("__hash"), F.col(id_col)]
+    return exact_rank(ordered, within, order, F.substring("__hash", 1, digits), name, coarse).drop("__hash")
+
+
+def hash_key(seed: int, id_col: str) -> Column:
+    """What :func:`hash_rank` orders by, as one comparable struct."""
+    return F.struct(seeded_hash(seed, F.col(id_col)).alias("hash"), F.col(id_col).alias("id"))
+
+
+def hash_cuts(df: DataFrame, within: Sequence[str], seed: int, id_col: str, ranks: DataFrame) -> DataFrame:
+    """``ranks`` (the group columns and wanted ranks) with each rank replaced by the :func:`hash_key` found there.
+
+    Null stands for a rank that no row has. Only ids are ranked; a row is then told to lie before
+    or after a rank by its own key, so the rows themselves need not be moved. Ids must be unique.
+    """
+    wanted = [c for c in ranks.columns if c not in within]
+    ranked = hash_rank(df.select(*within, id_col), within, seed, id_col, "__rank").join(ranks, list(within))
+    at = [F.max(F.when(F.col("__rank") == F.col(c), hash_key(seed, id_col))).alias(c) for c in wanted]
+    hit = ranked.filter(F.array_contains(F.array(*[F.col(c).cast("long") for c in wanted]), F.col("__rank").cast("long")))
+    return hit.groupBy(*within).agg(*at)
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, limit: int = MAX_HOT_KEYS) -> list:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.special import correlation_p_value
@@ -58,15 +58,20 @@ def representative_rows(
 ) -> DataFrame:
     """Three lowest, four through the middle and three highest rows by (score, id), at most ``cap``.
 
-    Positions come from :func:`exact_rank` over (score, id quantile) buckets, so no task sorts
-    the whole table and a score shared by many rows is still split.
+    Positions come from :func:`exact_rank` over (score, id quantile) buckets inside score quantiles, so no
+    task sorts or sums the whole table and a score shared by many rows is still split. Only ids and scores are
+    ranked; the at most ``cap`` ids found are then looked up. Ids must be unique.
     """
-    bounds = scored.agg(
-        F.percentile_approx(id_col, F.array(*[F.lit(i / id_buckets) for i in range(1, id_buckets)]), 10000).alias("b")
-    ).scalar()
-    tagged = scored.withColumn("__b", bounds)
-    part = F.size(F.filter("__b", lambda b: b < F.col(id_col)))
-    ranked = exact_rank(tagged, [], [F.col(score), F.col(id_col)], F.struct(F.col(score), part.alias("p")), "position")
+    def cuts(column: str) -> Column:
+        at = F.array(*[F.lit(i / id_buckets) for i in range(1, id_buckets)])
+        return scored.agg(F.percentile_approx(column, at, 10000).alias("b")).scalar()
+
+    def part(column: str, bounds: str) -> Column:
+        return F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col(column))), F.lit(-1))
+
+    tagged = scored.select(id_col, score, cuts(id_col).alias("__b"), cuts(score).alias("__s"))
+    bucket = F.struct(F.col(score), part(id_col, "__b").alias("p"))
+    ranked = exact_rank(tagged, [], [F.col(score), F.col(id_col)], bucket, "position", part(score, "__s"))
     total = scored.agg(F.count(F.lit(1)).alias("n")).scalar()
     ranked = ranked.withColumn("position", F.col("position") - 1).withColumn("__n", total)
     n = F.col("__n")
@@ -78,7 +83,9 @@ def representative_rows(
         middle = middle | (F.col("position") == target)
     group = F.when(F.col("position") < 3, 1).when(middle, 2).when(F.col("position") >= n - 3, 3)
     chosen = ranked.withColumn("__group", group).filter("__group IS NOT NULL")
-    return chosen.orderBy("__group", "position").limit(cap).drop("__b", "__n", "__group")
+    chosen = chosen.orderBy("__group", "position").limit(cap).select(id_col, "position", "__group")
+    found = scored.join(F.broadcast(chosen), id_col).orderBy("__group", "position")
+    return found.select(*scored.columns, "position")
 
 
 def agreement(scored: DataFrame, pairs: Sequence[tuple[str, str, str]]) -> DataFrame:

@@ -1,7 +1,9 @@
 """Reproducible samples: order by a seeded hash, take exact shares.
 
 Only the ids are ordered. Fixed-size samples use a top-n (each task keeps n candidates);
-samples that grow with a group use :func:`hash_rank`, which splits groups of any size.
+samples that grow with a group rank the ids by :func:`hash_rank`, which splits groups of any size, and take
+the rows up to the key found at the wanted rank. The tables of these keys have one row per group; they are stored, so
+that the planner knows their size when it joins the rows with them. Ids must be unique.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import size_bucket
 from ..functions.vocab import TRAINING_FRACTION
 from ..sources.staging import stage
-from .distribution import hash_rank, seeded_hash
+from .distribution import hash_cuts, hash_key, seeded_hash
 from .threads import qualifying_threads, rows_of_threads
 
 
@@ -55,8 +57,8 @@ def stratified_share(
     """From each stratum ``max(1, round-half-even(fraction * n))`` rows, never more than it has."""
     take = F.least(F.greatest(F.bround(F.col("__n") * fraction, 0).cast("long"), F.lit(1)), F.col("__n"))
     quota = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("__n")).select(*strata, take.alias("__take"))
-    ranked = hash_rank(df, strata, seed, id_col, "__rank")
-    return ranked.join(quota, strata).filter("__rank <= __take").drop("__rank", "__take")
+    cuts = stage(hash_cuts(df, strata, seed, id_col, quota), "cuts")
+    return df.join(cuts, strata).filter(hash_key(seed, id_col) <= F.col("__take")).drop("__take")
 
 
 def bucketed_pick(stats: DataFrame, n: int = 27, seed: int = 43) -> DataFrame:
@@ -118,15 +120,15 @@ def split_plan(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 def stratified_split(df: DataFrame, label_col: str, id_col: str, seed: int = 42) -> DataFrame:
     """Adds ``split`` (train / validation / test), stratified 70/15/15 by label."""
-    plan = split_plan(df, label_col).withColumnRenamed("label", label_col)
-    ranked = hash_rank(df, [label_col], seed, id_col, "__rank")
-    joined = ranked.join(plan.select(label_col, "n_train", "n_validation"), label_col)
-    split = (
-        F.when(F.col("__rank") <= F.col("n_train"), "train")
-        .when(F.col("__rank") <= F.col("n_train") + F.col("n_validation"), "validation")
-        .otherwise("test")
+    ends = split_plan(df, label_col).select(
+        F.col("label").alias(label_col), F.col("n_train").alias("__train"), (F.col("n_train") + F.col("n_validation")).alias("__val")
     )
-    return joined.withColumn("split", split).drop("__rank", "n_train", "n_validation")
+    # a class may have no training or validation rows, or no rows at these ranks at all
+    cuts = stage(hash_cuts(df, [label_col], seed, id_col, ends), "cuts")
+    key = hash_key(seed, id_col)
+    split = F.when(key <= F.col("__train"), "train").when(key <= F.col("__val"), "validation").otherwise("test")
+    joined = df.filter(F.col(label_col).isNotNull()).join(cuts, label_col, "left")
+    return joined.withColumn("split", split).drop("__train", "__val")
 
 
 def coverage_sample(df: DataFrame, dimensions: list[str], id_col: str, size: int = 30, seed: int = 8080) -> DataFrame:
@@ -149,12 +151,15 @@ def coverage_sample(df: DataFrame, dimensions: list[str], id_col: str, size: int
     rest = tagged.join(cover, "__draw", "left_anti").withColumn("label", label)
     strata = rest.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     quota = _largest_remainder(strata, "n", F.lit(room), "__take").select("label", "__take")
-    filled = hash_rank(rest, ["label"], seed, id_col, "__rank").join(quota, "label").filter("__rank <= __take")
+    # no stratum gives more than ``size`` rows, so each task keeps that many candidates of it
+    place = F.row_number().over(Window.partitionBy("label").orderBy("__draw", id_col))
+    first = rest.withColumn("__rank", place).filter(F.col("__rank") <= size)
+    filled = first.join(quota, "label").filter("__rank <= __take")
     picked = tagged.join(cover, "__draw", "left_semi").unionByName(filled.select(tagged.columns))
     return picked.orderBy("__draw").drop("__draw")
 
 
 def simple_sample(df: DataFrame, id_col: str, n: int, seed: int = 0) -> DataFrame:
-    """``n`` whole rows in hash order."""
-    return df.orderBy(seeded_hash(seed, F.col(id_col)), id_col).limit(n)
-
+    """``n`` whole rows in hash order; only their ids are sorted. Ids must be unique."""
+    ids = stage(sample_ids(df, id_col, n, seed), "sample-ids")
+    return df.join(ids, id_col, "left_semi").orderBy(seeded_hash(seed, F.col(id_col)), id_col)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from ..sources.staging import discard, drop_path, new_path, stage, stage_bucketed, staged_scope, track
 from .distribution import HOT_ROWS, hot_keys, lookup_join
 
+NO_TIME = 4 * 10**18  # microseconds, later than any timestamp
+
 
 @dataclass(frozen=True)
 class Threads:
@@ -24,9 +27,13 @@ def time_order() -> list[Column]:
     return [F.col("ts").asc_nulls_last(), F.col("tweet_id").asc()]
 
 
-def time_key() -> Column:
-    """The same order as :func:`time_order` as one comparable struct."""
-    return F.struct(F.col("ts").isNull().alias("no_ts"), F.col("ts").alias("ts"), F.col("tweet_id").alias("id"))
+def packed_time() -> Column:
+    """The order of :func:`time_order` as one number: microseconds above the 64 bits of the id, null times beyond the year 9999.
+
+    A struct in an aggregation buffer makes Spark sort the rows; numbers are combined in a hash table.
+    """
+    micros = F.coalesce(F.unix_micros("ts"), F.lit(NO_TIME)).cast("decimal(19,0)")
+    return (micros * F.lit(Decimal(1 << 64)) + F.col("tweet_id").cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def resolve_parents(messages: DataFrame, hot: tuple = ()) -> DataFrame:
@@ -142,7 +149,7 @@ def thread_stats(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count_if("is_support").alias("n_support"),
         F.count_if("is_customer").alias("n_customer"),
-        F.min(F.when(F.col("is_support") & F.col("author_id").isNotNull(), time_key())).alias("first_support"),
+        F.min(F.when(F.col("is_support") & F.col("author_id").isNotNull(), packed_time())).alias("first_support"),
     )
     return per_author.groupBy("root").agg(
         F.sum("n").alias("size"),
