@@ -115,6 +115,51 @@ def test_marks_around_the_path_of_the_host():
     assert html.Page(f"<div>{BODY}</div><div id=comments>no</div>").main_text("div") == BODY.strip()
 
 
+STORY = "The quick river ran past the old mill and nobody saw it go there at all. " * 3
+REMARK = "I do not agree with this at all my friend, it is rather wrong. "
+POSTS = {
+    "id": "<div class=content><p>{story}</p></div><div id=comments class=comments><p>{remarks}</p></div>",
+    "list": "<div class=content><p>{story}</p></div><div class=user-comments-list><p>{remarks}</p></div>",
+    "inside": "<article><p>{story}</p><div class=comments><p>{remarks}</p></div></article>",
+    "cookies": "<div class=cookie-notice><p>{remarks}</p></div><div class=content><p>{story}</p></div>",
+    "responses": "<div class=content><p>{story}</p></div><div class=responses><p>{remarks}</p></div>",
+    "newsletter": "<main><p>{story}</p><div class=newsletter-signup-box><p>{remarks}</p></div></main>",
+    "articles": "<div class=post><p>{story}</p></div><div class=comments-area><article class=comment><p>{remarks}</p></article></div>",
+    "signed": "<div class=post><p>{story}</p></div><div class=talk><h4>Talk</h4>{posts}</div>",
+    "lines": "<article><p>{story}</p><section class=talk>{dated}</section></article>",
+}
+
+
+@pytest.mark.parametrize("form", POSTS)
+def test_comments_and_notices_stay_out_at_any_length(spark, form):
+    """1, 4 and 16 times the article's length, alone and by consensus of the host."""
+    pages = []
+    for times in (1, 4, 16):
+        remarks = REMARK * (4 * times)
+        posts = f"<div class=entry><b class=user-name>Bo</b><time>1 May</time><p>{REMARK}</p></div>" * (4 * times)
+        dated = f"<div class=e><p>Ann, 2024-01-03</p><p>{REMARK}</p></div>" * (4 * times)
+        body = POSTS[form].format(story=STORY, remarks=remarks, posts=posts, dated=dated)
+        pages.append((times, "http://h.example.org/", f"<html><body>{body}</body></html>"))
+        assert html.Page(pages[-1][2]).main_text(None) == STORY.strip()
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.text for r in html.extract_main_text(df).collect()} == {STORY.strip()}
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class=no-comments><article><p>{s}</p></article></div><p>Skip</p>",
+        "<div class='comments-open post'><p>{s}</p></div>",
+        "<div class=comments><p>{s}</p></div>",
+        "<p>Intro</p>" + "<div class=card><h3>Title</h3><time>1 May</time><b class=author>x</b><p>{s}</p></div>" * 3,
+        "<article><section class=s><p>{s}</p></section><section class=s><p>{s}</p></section></article>",
+    ],
+)
+def test_layouts_with_comments_and_teasers_stay(page):
+    markup = page.format(s=STORY)
+    assert html.Page(f"<html><body>{markup}</body></html>").main_text(None).count("quick river") == markup.count("quick river")
+
+
 def test_all_pages_of_the_table(spark):
     """The articles of the given pages, read by a plain pattern."""
     import html as entities

@@ -6,7 +6,10 @@ article or main around it, or else as long as more text outside of links, or the
 comes in; text outside any container belongs to a root container with the empty path. It votes for
 the generalised tag-class paths found so. A class or id that sounds like page furniture only marks
 its element: the mark does not count on a page where elements of that name hold most of the text
-outside of links or one of its main articles, nor around the winning container. Votes are summed per host and path in Spark, with map-side combining, so a
+outside of links or one of its main articles, nor around the winning container. Names of comments, notices
+and advertisements are held to more: however long what they hold is, they count unless it holds the page's main element or title
+and no article lies outside of it. Posts of readers are also told by structure: blocks of one
+class beside each other after other text, each with an author and a date and without a heading. Votes are summed per host and path in Spark, with map-side combining, so a
 host with a third of all pages is only a few sums per task. Each page is then read again with
 its host's winning path; a page without that path falls back on its own best container.
 
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -46,13 +50,27 @@ ENDS_P = {
     "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul",
 }
 _FURNITURE = (
-    r"(?:ads?|adverts?|advertisements?|adsense|sponsor(?:ed)?|promo(?:tions?)?|banners?|side-?bars?|comments?|replies|disqus|"
+    r"(?:ads?|adverts?|advertisements?|adsense|sponsor(?:ed)?|promo(?:tions?)?|banners?|side-?bars?|comments?|replies|responses|"
+    r"respond|feedback|disqus|"
     r"cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?|newsletters?|subscribe|subscription|signup|share|sharing|social|"
     r"related|recommended|breadcrumbs?|menus?|nav(?:bar|igation)?|footers?|mastheads?|toolbars?|widgets?|pagination|pager|"
     r"login|search|copyright|site-?header|page-?header|topbar|skip-?link)"
 )
 FURNITURE = re.compile(rf"(?:^|[-_ ]){_FURNITURE}(?:$|[-_ 0-9])")
 WORDS = re.compile(rf"{_FURNITURE}(?:[-_ #]+{_FURNITURE})*[-_ #]*")
+_APART = (
+    r"(?:ads?|adverts?|advertisements?|adsense|sponsor(?:ed)?|comments?|replies|responses|respond|feedback|disqus|cookies?|consent|gdpr|"
+    r"notices?|newsletters?|subscribe|subscription|signup|related|recommended)"
+)
+APART = re.compile(rf"(?:^|[-_ ]){_APART}(?:$|[-_ #])")
+LAYOUT = re.compile(r"(?:^|[-_ ])(?:no|not|has|have|with|without|open|closed|enabled|disabled|layout|single|hide|show|is)(?:$|[-_ #])")
+AUTHOR = re.compile(r"(?:^|[-_ ])(?:author|by|byline|user|username|nick|nickname|avatar|commenter|member|poster)(?:$|[-_ #])")
+DATE = re.compile(r"(?:^|[-_ ])(?:date|datetime|time|timestamp|posted|published|ago)(?:$|[-_ #])")
+DATED_LINE = re.compile(
+    r"\b(?:\d{4}-\d\d-\d\d|\d{1,2}[./]\d{1,2}[./](?:\d\d){1,2}|\d+ (?:minute|hour|day|week|month|year)s? ago|"
+    r"(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]* \d{1,2},? \d{4}|\d{1,2} (?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]* \d{4})\b",
+    re.IGNORECASE,
+)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar"}
 NEARLY = 0.95  # share of an ancestor's text that need not be climbed for
 MOST = 0.5  # share of a page's text that no name alone can hide
@@ -60,9 +78,20 @@ PLAIN_MOST = 0.75  # the same for names of nothing but furniture words, like "co
 FADE = 0.4  # share of a paragraph's score that goes one container further up
 FAVOURED = {"article": 1.5, "main": 1.4}
 HEADINGS, PLAIN = {"h1": 1, "h2": 2}, 3
+SIGNED_BY, SIGNED_AT, TITLED = 1, 2, 4
+SIGNATURE = 80  # characters of a line that names an author and a date
+LEFT_OVER = 60  # characters beside the posts of a discussion, like its title
 VOTES = 3
 
 
+@lru_cache(maxsize=1 << 16)
+def described(classes: str, own_id: str) -> tuple[str, str, tuple[str, ...], int]:
+    """Generalised classes and id of an element, those that sound like furniture, whether they sign a post."""
+    names, own = [re.sub(r"\d+", "#", c) for c in sorted(classes.split())], re.sub(r"\d+", "#", own_id)
+    signs = sum(flag for flag, words in ((SIGNED_BY, AUTHOR), (SIGNED_AT, DATE)) if any(words.search(c) for c in (*names, own)))
+    return "".join(f".{c}" for c in names), own, tuple(c for c in (*names, own) if FURNITURE.search(c)), signs
+
+
 class Page(HTMLParser):
     """One pass over a page: blocks of text with the open containers, each container with its path."""
 
@@ -73,6 +102,7 @@ class Page(HTMLParser):
         self.parents: list[int] = [-1]
         self.marks: list[tuple[int, frozenset[str]]] = []  # elements named like furniture: the mark around, the names
         self.around: list[int] = [-1]  # innermost mark at each container
+        self.signs: list[int] = [0]  # whether an author and a date stand in each container
         self.pieces: list[tuple[int, list[list], int]] = []  # container, [mark, data, characters of link text], level of heading
         self.steps: list[str] = []
         self.text: list[list] = []
@@ -81,6 +111,7 @@ class Page(HTMLParser):
         self.feed(html)
         self.close()
         self.flush()
+        self.drop_discussions()
         self.own = self.counted()
         self.counts = self.spread(self.own)
         self.blocks = self.read(self.counts)  # container, text, characters of link text, level of heading
@@ -91,9 +122,57 @@ class Page(HTMLParser):
     def flush(self) -> None:
         if any(not data.isspace() for _, data, _ in self.text):
             level = next((HEADINGS[tag] for tag, *_ in self.stack if tag in HEADINGS), PLAIN)
-            self.pieces.append((self.container(), self.text, level))
+            at = self.container()
+            self.pieces.append((at, self.text, level))
+            if sum(len(data) for _, data, _ in self.text) <= 2 * SIGNATURE:
+                line = " ".join("".join([data for _, data, _ in self.text]).split())
+                if len(line) <= SIGNATURE and any(c.isalpha() for c in DATED_LINE.sub("", line)) and DATED_LINE.search(line):
+                    self.signs[at] |= SIGNED_BY | SIGNED_AT
         self.text = []
 
+    def drop_discussions(self) -> None:
+        """Leave out posts of readers: blocks of one class beside each other, each with an author and a date.
+
+        They follow other text and hold no heading of the first three levels, as teasers of articles do. What holds them and little else goes with them.
+        """
+        signs = self.signs[:]
+        for at in range(len(self.paths) - 1, 0, -1):
+            signs[self.parents[at]] |= signs[at]
+        groups: dict[tuple[int, str], list[int]] = defaultdict(list)
+        for at, both in enumerate(signs):
+            if both == SIGNED_BY | SIGNED_AT and self.parents[at] >= 0 and "." in self.paths[at].rsplit("/", 1)[-1]:
+                groups[self.parents[at], self.paths[at]].append(at)
+        if all(len(some) < 2 for some in groups.values()):
+            return
+        amounts, titled, firsts = [0] * len(self.paths), [False] * len(self.paths), [len(self.pieces)] * len(self.paths)
+        start = len(self.pieces)  # first text that is not a link and not marked
+        for k, (at, pieces, level) in enumerate(self.pieces):
+            worth = sum(max(len(" ".join(data.split())) - 2 * linked, 0) for _, data, linked in pieces)
+            amounts[at] += worth
+            titled[at] |= level < PLAIN
+            firsts[at] = min(firsts[at], k)
+            if worth and pieces[0][0] < 0:
+                start = min(start, k)
+        for at in range(len(self.paths) - 1, 0, -1):
+            amounts[self.parents[at]] += amounts[at]
+            titled[self.parents[at]] |= titled[at]
+            firsts[self.parents[at]] = min(firsts[self.parents[at]], firsts[at])
+        posts: set[int] = set()
+        for (parent, _), some in groups.items():
+            if len(some) < 2 or firsts[some[0]] <= start:
+                continue
+            posts.update(some)
+            size = sum(amounts[at] for at in some)
+            while parent > 0 and not titled[parent] and self.kind(parent) not in ("html", "body", "article", "main"):
+                if amounts[parent] - size > LEFT_OVER or firsts[parent] <= start:
+                    break
+                posts.add(parent)
+                parent, size = self.parents[parent], amounts[parent]
+        within = self.inside(posts)
+        left = [piece for piece in self.pieces if not within[piece[0]]]
+        if any(mark < 0 and not data.isspace() for _, pieces, _ in left for mark, data, _ in pieces):
+            self.pieces = left
+
     def read(self, counts: list[bool]) -> list[tuple[int, str, int, int]]:
         """Blocks of the pieces whose mark does not count; the last entry is for no mark."""
         out = []
@@ -122,6 +201,19 @@ class Page(HTMLParser):
                 clear |= mark < 0 and within[at] and worth > 0
                 for name in names[mark] if mark >= 0 else ():
                     by_name[within[at]][name] += worth
+        holding = {name for at in articles if self.kind(at) == "main" and self.around[at] >= 0 for name in names[self.around[at]]}
+        title = False
+        for _, pieces, level in self.pieces:
+            if level == HEADINGS["h1"]:
+                title |= pieces[0][0] < 0
+                holding.update(names[pieces[0][0]] if pieces[0][0] >= 0 else ())
+
+        def may_hold_all(name: str) -> bool:
+            """However long they are, comments and notices are none of the text; a layout that has them may hold it."""
+            if not APART.search(name):
+                return True
+            return not clear and (bool(LAYOUT.search(name)) or (name in holding and not title))
+
         lifted = set()
         for name in by_name[0].keys() | by_name[1].keys():
             inside, outside = by_name[1][name], by_name[0][name]
@@ -136,6 +228,7 @@ class Page(HTMLParser):
         for i in articles:
             if self.around[i] >= 0 and 0 < largest <= 2 * amounts[i]:
                 lifted |= names[self.around[i]]
+        lifted = {name for name in lifted if may_hold_all(name)}
         own = [mine.isdisjoint(lifted) for _, mine in self.marks]
         counts = self.spread(own)
         if all(counts[mark] for _, pieces, _ in self.pieces for mark, data, _ in pieces if not data.isspace()):
@@ -165,7 +258,7 @@ class Page(HTMLParser):
         if tag not in INLINE:
             self.flush()
         names = {k: (v or "").lower() for k, v in attrs}
-        classes = names.get("class", "").split()
+        classes, own_id, sounds, signs = described(names.get("class", ""), names.get("id", ""))
         inside = any(name in ("article", "main") for name, *_ in self.stack)
         furniture = (
             tag in DROPPED
@@ -176,7 +269,7 @@ class Page(HTMLParser):
         )
         named = ()
         if not furniture and not self.hidden and tag not in ("html", "body", "article", "main"):
-            named = [re.sub(r"\d+", "#", c) for c in [*classes, names.get("id", "")] if FURNITURE.search(c)]
+            named = sounds
         self.hidden += furniture
         self.links += tag == "a"
         number = mark = -1
@@ -185,14 +278,18 @@ class Page(HTMLParser):
             self.marks.append((self.mark, frozenset(named)))
             self.mark = mark
         if tag in CONTAINERS and not self.hidden:
-            step = tag + "".join("." + re.sub(r"\d+", "#", c) for c in sorted(classes))
-            if named and FURNITURE.search(names.get("id") or ""):
-                step += "#" + re.sub(r"\d+", "#", names["id"])
+            step = tag + classes
+            if own_id in named:
+                step += "#" + own_id
             parent = self.container()
             number = len(self.paths)
             self.paths.append((self.paths[parent] + "/" if parent else "") + step)
             self.parents.append(parent)
             self.around.append(self.mark)
+            self.signs.append(0)
+        signs |= SIGNED_AT * (tag == "time") | TITLED * (tag in ("h1", "h2", "h3"))
+        if signs and not self.hidden:
+            self.signs[number if number >= 0 else self.container()] |= signs
         self.stack.append((tag, furniture, number, mark))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
