@@ -1,18 +1,20 @@
 """Near-duplicate vectors by int8 tile products with rigorous error bounds.
 
-Equal vectors are collapsed to one with a count. The distinct ones are dealt by hash into tiles of
-a bounded number of rows, and every pair of tiles is one small task. Inside it vectors are
-quantised to int8 with a scale each; the tile product of the int8 values (small whole numbers, so
-single precision holds them exactly) with the norms of the quantisation errors bounds every cosine from above. Only pairs
-that might reach the threshold are computed in double precision. A task returns link counts and a
-spanning forest of its links, never the pairs, so a dense group costs rows, not pairs.
+Equal vectors are collapsed to one with a count. The distinct ones are quantised to int8 with a scale each and dealt
+by hash into tiles of a bounded number of rows; every pair of tiles is one small task. Inside it the
+tile product of the int8 values (small whole numbers, so single precision holds them exactly) with the norms of the
+quantisation errors bounds every cosine from above. Only int8 values, scales and norms travel to these tasks, which
+name the vectors that have a pair that might reach the threshold. Just those are then sent in double precision, once
+per pair of tiles in which they have such a pair, and their pairs are computed exactly. A task returns link counts
+and a spanning forest of its links, never the pairs, so a dense group costs rows, not pairs.
 
 All pairs of tiles are compared, which is what an exact answer for arbitrary vectors asks for: work
 grows with the square of the number of distinct vectors, in independent tasks of constant size.
 
-Defined results: a vector that is null, empty, zero, or has null or non-finite components links with
-nothing, nor do vectors of different lengths. Ids should be unique; rows that repeat an id with the same vector count once.
-A null id is dropped. Ties (cosine exactly at the threshold) link.
+Defined results: one row comes back per row. A vector that is null, empty, zero, or has null or non-finite components
+links with nothing, nor do vectors of different lengths. Ids should be unique; rows that repeat an id with the same
+vector count as one link but are listed as often. A row without an id links with nothing, has no component and is
+kept. Ties (cosine exactly at the threshold) link.
 """
 
 from __future__ import annotations
@@ -38,26 +40,47 @@ def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return q, scale, np.linalg.norm(back, axis=1), np.linalg.norm(unit - back, axis=1)
 
 
+def unit_rows(values: np.ndarray) -> np.ndarray:
+    """Rows of length one; scaled first, so that squares neither overflow nor vanish."""
+    x = values / np.abs(values).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 class Tile:
-    def __init__(self, ids: bytes, copies: bytes, values: bytes):
-        self.ids, self.copies = np.frombuffer(ids, np.int64), np.frombuffer(copies, np.int64)
-        x = np.frombuffer(values, np.float64).reshape(len(self.ids), -1)
-        x = x / np.abs(x).max(axis=1, keepdims=True)
-        self.unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-        self.q, self.scale, self.norm, self.error = quantise(self.unit)
+    """Quantised rows: ids, int8 values, scales, norms of the quantised vectors and of the errors."""
 
+    def __init__(self, ids: bytes, q: bytes, bounds: bytes):
+        self.ids = np.frombuffer(ids, np.int64)
+        self.q = np.frombuffer(q, np.int8).reshape(len(self.ids), -1)
+        self.scale, self.norm, self.error = np.frombuffer(bounds, np.float64).reshape(3, -1)
 
-def block_links(a: Tile, b: Tile, i: int, j: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows and columns of a block that may have links, and which of their pairs are links."""
-    r, c = slice(i, i + BLOCK), slice(j, j + BLOCK)
+
+def possible_rows(a: Tile, b: Tile, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of either tile with a pair (of two different rows) whose cosine may reach the threshold."""
     kind = np.float32 if a.q.shape[1] * 127**2 < 1 << 24 else np.float64  # whole numbers stay exact
-    whole = a.q[r].astype(kind) @ b.q[c].astype(kind).T
-    near = whole * (a.scale[r, None] * b.scale[None, c]).astype(kind)
-    bound = threshold - SLACK - a.norm[r, None] * b.error[None, c] - a.error[r, None]
-    possible = near >= bound.astype(np.float32) - np.float32(1e-6)
-    rows, cols = np.flatnonzero(possible.any(axis=1)), np.flatnonzero(possible.any(axis=0))
-    exact = a.unit[i + rows] @ b.unit[j + cols].T
-    return i + rows, j + cols, (exact >= threshold) & possible[np.ix_(rows, cols)]
+    of_a, of_b = np.zeros(len(a.ids), bool), np.zeros(len(b.ids), bool)
+    for i in range(0, len(a.ids), BLOCK):
+        r = slice(i, i + BLOCK)
+        left = a.q[r].astype(kind)
+        for j in range(i if same else 0, len(b.ids), BLOCK):
+            c = slice(j, j + BLOCK)
+            near = (left @ b.q[c].astype(kind).T) * (a.scale[r, None] * b.scale[None, c]).astype(kind)
+            bound = threshold - SLACK - a.norm[r, None] * b.error[None, c] - a.error[r, None]
+            possible = near >= bound.astype(np.float32) - np.float32(1e-6)
+            if same and i == j:
+                np.fill_diagonal(possible, False)
+            of_a[r] |= possible.any(axis=1)
+            of_b[c] |= possible.any(axis=0)
+    if same:
+        of_a = of_b = of_a | of_b
+    return np.flatnonzero(of_a), np.flatnonzero(of_b)
+
+
+class Exact:
+    """Rows in double precision: ids, numbers of copies and vectors of length one."""
+
+    def __init__(self, ids: np.ndarray, copies: np.ndarray, values: np.ndarray):
+        self.ids, self.copies, self.unit = ids, copies, unit_rows(values.reshape(len(ids), -1))
 
 
 def _labels(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +96,7 @@ def _labels(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         of_row = fresh
 
 
-def tile_links(a: Tile, b: Tile, same: bool, threshold: float) -> pa.Table:
+def tile_links(a: Exact, b: Exact, same: bool, threshold: float) -> pa.Table:
     """Per vector with links between the two tiles: their number (with copies) and a root."""
     n = len(a.ids)
     ids = a.ids if same else np.concatenate([a.ids, b.ids])
@@ -82,7 +105,8 @@ def tile_links(a: Tile, b: Tile, same: bool, threshold: float) -> pa.Table:
     forest = Forest(len(ids))
     for i in range(0, n, BLOCK):
         for j in range(i if same else 0, len(b.ids), BLOCK):
-            rows, cols, link = block_links(a, b, i, j, threshold)
+            link = a.unit[i : i + BLOCK] @ b.unit[j : j + BLOCK].T >= threshold
+            rows, cols = (start + np.arange(size) for start, size in zip((i, j), link.shape, strict=True))
             if same and i == j:
                 link &= rows[:, None] != cols[None, :]
             if not link.any():
@@ -104,39 +128,58 @@ def tile_links(a: Tile, b: Tile, same: bool, threshold: float) -> pa.Table:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9) -> DataFrame:
-    """``id_col``, ``n_links``, ``component_id`` and ``kept`` for every id."""
+    """``id_col``, ``n_links``, ``component_id`` and ``kept`` for every row."""
     v = F.col("v")
-    rows = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    fine = v.isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0)
+    fine = F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0)
     keyed = staged(
         rows.withColumn("ok", F.coalesce(fine, F.lit(False))).select("id", "v", "ok", F.xxhash64("v").alias("h"), F.xxhash64(F.reverse("v"), F.lit(1)).alias("g")),
         "vectors",
     )
-    members = keyed.filter("ok").select("id", "h", "g").distinct()
-    copies = members.groupBy("h", "g").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    members = keyed.filter("ok").select("id", "h", "g")
+    copies = members.distinct().groupBy("h", "g").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     first = keyed.filter("ok").join(copies, ["h", "g"]).filter("id = rep").select("rep", "copies", "v").dropDuplicates(["rep"])
-    distinct = staged(first, "distinct-vectors")
+    distinct = staged(first.withColumn("size", F.size("v").cast("long")), "distinct-vectors")
     tiles = max(1, -(-distinct.count() // TILE_ROWS))
 
     def pack(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         values = group.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        parts = [group.column(c).to_numpy().astype(np.int64).tobytes() for c in ("rep", "copies")]
-        return pa.table({"size": [key[0].as_py()], "t": [key[1].as_py()], "ids": [parts[0]], "copies": [parts[1]], "v": [values.tobytes()]})
+        q, *bounds = quantise(unit_rows(values.reshape(group.num_rows, -1)))
+        ids = group.column("rep").to_numpy().astype(np.int64)
+        return pa.table({"size": [key[0].as_py()], "t": [key[1].as_py()], "ids": [ids.tobytes()], "q": [q.tobytes()], "bounds": [np.stack(bounds).tobytes()]})
 
-    dealt = distinct.withColumn("size", F.size("v").cast("long")).withColumn("t", F.pmod(F.xxhash64("rep"), F.lit(tiles)))
-    packed = staged(dealt.groupBy("size", "t").applyInArrow(pack, "size long, t long, ids binary, copies binary, v binary"), "tiles")
+    dealt = distinct.withColumn("t", F.pmod(F.xxhash64("rep"), F.lit(tiles)))
+    packed = staged(dealt.groupBy("size", "t").applyInArrow(pack, "size long, t long, ids binary, q binary, bounds binary"), "tiles")
     other = packed.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
-    pairs = other.select("size", F.least("t", "o").alias("a"), F.greatest("t", "o").alias("b"), "t", "ids", "copies", "v")
+    pairs = other.select("size", F.least("t", "o").alias("a"), F.greatest("t", "o").alias("b"), "t", "ids", "q", "bounds")
+
+    def search(group: pa.Table) -> pa.Table:
+        group = group.sort_by("t")
+        sides = [Tile(*(group.column(c)[k].as_py() for c in ("ids", "q", "bounds"))) for k in range(group.num_rows)]
+        a, b = group.column("a")[0].as_py(), group.column("b")[0].as_py()
+        found = []
+        if len(sides) == 2 or a == b:  # else the other tile holds no vector of this length
+            of_a, of_b = possible_rows(sides[0], sides[-1], a == b, threshold)
+            found = [sides[0].ids[of_a]] if a == b else [sides[0].ids[of_a], sides[1].ids[of_b]]
+        reps = np.concatenate([*found, np.zeros(0, np.int64)])
+        second = np.repeat([False, True][: len(found)], [len(x) for x in found])
+        return pa.table({"rep": reps, "a": np.full(len(reps), a), "b": np.full(len(reps), b), "second": pa.array(second, pa.bool_())})
+
+    near = staged(pairs.groupBy("size", "a", "b").applyInArrow(search, "rep long, a long, b long, second boolean"), "possible")
 
     def compare(group: pa.Table) -> pa.Table:
-        sides = [Tile(*(group.column(c)[k].as_py() for c in ("ids", "copies", "v"))) for k in range(group.num_rows)]
+        group = group.sort_by("rep")
         same = group.column("a")[0].as_py() == group.column("b")[0].as_py()
-        if len(sides) == 1 and not same:  # the other tile holds no vector of this length
-            return pa.table({"id": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
+        second = group.column("second").to_numpy(zero_copy_only=False).astype(bool)
+        sides = []
+        for part in [group] if same else [group.filter(pa.array(~second)), group.filter(pa.array(second))]:
+            values = part.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            sides.append(Exact(*(part.column(c).to_numpy().astype(np.int64) for c in ("rep", "copies")), values))
         return tile_links(sides[0], sides[-1], same, threshold)
 
-    found = staged(pairs.groupBy("size", "a", "b").applyInArrow(compare, "id long, links long, root long"), "tile-links")
+    exact = near.join(distinct, "rep").select("size", "a", "b", "second", "rep", "copies", "v")
+    found = staged(exact.groupBy("size", "a", "b").applyInArrow(compare, "id long, links long, root long"), "tile-links")
     group = components(found, "id", "root").withColumnRenamed("id", "rep")
     links = found.groupBy("id").agg(F.sum("links").alias("links")).withColumnRenamed("id", "rep")
     known = copies.join(links, "rep", "left").join(group, "rep", "left")
@@ -145,6 +188,6 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "rep").alias("component_id"),
     )
-    alone = keyed.filter("not ok").select("id").distinct().select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    alone = keyed.filter("not ok").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     out = linked.unionByName(alone)
-    return out.select(F.col("id").alias(id_col), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
