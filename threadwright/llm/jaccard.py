@@ -15,7 +15,8 @@ A block that many documents share is cut into parts; in the second pass every pa
 compared, as a task of bounded size.
 
 Defined results: a null or blank text has no set and links with nothing; fewer words than an n-gram
-make one token of the whole. Ties (exactly at the threshold) link. Rows with a null id are dropped.
+make one token of the whole. Ties (exactly at the threshold) link. A row without an id links with nothing: it comes
+back with the size of its set and no component.
 Repeated rows of one id are one document, listed as often. Two tokens are equal if
 their 64-bit hashes are, two sets if 128-bit fingerprints are.
 """
@@ -292,4 +293,6 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = classes.select("f", "g", "n", F.coalesce("component", "rep").alias("component_id"))
     known = prints.filter("n > 0").join(classes, ["f", "g", "n"]).select("doc", "n", "component_id")
     blank = prints.filter("n = 0").select("doc", "n", F.col("doc").alias("component_id"))
-    return known.unionByName(blank).select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    unnamed = docs.filter(F.col(id_col).isNull()).select(F.lit(None).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    unnamed = set_rows(unnamed, size, percent, np.zeros(0, np.uint64)).select("doc", "n", F.col("doc").alias("component_id"))
+    return known.unionByName(blank).unionByName(unnamed).select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
