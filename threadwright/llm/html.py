@@ -72,6 +72,7 @@ DATED_LINE = re.compile(
     re.IGNORECASE,
 )
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar"}
+CLOSES = {tag: SELF_CLOSING.get(tag, set()) | ({"p"} if tag in ENDS_P else set()) for tag in {*SELF_CLOSING, *ENDS_P}}
 NEARLY = 0.95  # share of an ancestor's text that need not be climbed for
 MOST = 0.5  # share of a page's text that no name alone can hide
 PLAIN_MOST = 0.75  # the same for names of nothing but furniture words, like "comments"
@@ -119,7 +120,13 @@ class Page(HTMLParser):
     def container(self) -> int:
         return next((number for _, _, number, _ in reversed(self.stack) if number >= 0), 0)
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Lines are not counted."""
+        return j
+
     def flush(self) -> None:
+        if not self.text:
+            return
         if any(not data.isspace() for _, data, _ in self.text):
             level = next((HEADINGS[tag] for tag, *_ in self.stack if tag in HEADINGS), PLAIN)
             at = self.container()
@@ -247,29 +254,25 @@ class Page(HTMLParser):
             if tag in ("br", "hr"):
                 self.add(" ", 0)
             return
-        closes = SELF_CLOSING.get(tag, set()) | ({"p"} if tag in ENDS_P else set())
-        for depth in range(len(self.stack) - 1, -1, -1):
-            name = self.stack[depth][0]
-            if name in closes:
-                self.pop_to(depth)
-                break
-            if name not in INLINE and name != "p":
-                break
+        closes = CLOSES.get(tag)
+        if closes:
+            for depth in range(len(self.stack) - 1, -1, -1):
+                name = self.stack[depth][0]
+                if name in closes:
+                    self.pop_to(depth)
+                    break
+                if name not in INLINE and name != "p":
+                    break
         if tag not in INLINE:
             self.flush()
-        names = {k: (v or "").lower() for k, v in attrs}
-        classes, own_id, sounds, signs = described(names.get("class", ""), names.get("id", ""))
-        inside = any(name in ("article", "main") for name, *_ in self.stack)
-        furniture = (
-            tag in DROPPED
-            or (tag == "header" and not inside)
-            or names.get("role") in ROLES
-            or "hidden" in names
-            or names.get("aria-hidden") == "true"
-        )
-        named = ()
-        if not furniture and not self.hidden and tag not in ("html", "body", "article", "main"):
-            named = sounds
+        furniture = tag in DROPPED or (tag == "header" and not any(name in ("article", "main") for name, *_ in self.stack))
+        classes, own_id, named, signs = "", "", (), 0
+        if attrs and not furniture and not self.hidden:
+            names = {k: (v or "").lower() for k, v in attrs}
+            furniture = names.get("role") in ROLES or "hidden" in names or names.get("aria-hidden") == "true"
+            classes, own_id, sounds, signs = described(names.get("class", ""), names.get("id", ""))
+            if not furniture and tag not in ("html", "body", "article", "main"):
+                named = sounds
         self.hidden += furniture
         self.links += tag == "a"
         number = mark = -1
@@ -298,6 +301,16 @@ class Page(HTMLParser):
             self.pop_to(len(self.stack) - 1)
 
     def pop_to(self, depth: int) -> None:
+        if depth == len(self.stack) - 1:  # the usual case
+            tag, furniture, _, mark = self.stack[-1]
+            if tag not in INLINE:
+                self.flush()
+            self.hidden -= furniture
+            self.links -= tag == "a"
+            if mark >= 0:
+                self.mark = self.marks[mark][0]
+            self.stack.pop()
+            return
         if any(tag not in INLINE for tag, *_ in self.stack[depth:]):
             self.flush()
         for tag, furniture, _, _ in self.stack[depth:]:
