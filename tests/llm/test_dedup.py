@@ -37,6 +37,44 @@ def test_passages_equal_brute_force(docs, pairs):
     assert sum(got[1] for _, got in found) > 1000
 
 
+def test_passages_do_not_depend_on_hashes(docs, pairs, monkeypatch):
+    """All windows share one hash: the automata and the words themselves still find the right ones."""
+    monkeypatch.setattr(substrings, "window_hashes", lambda words, at, size, seed=0: np.zeros(len(at), np.uint64))
+    found = by_id(substrings.remove_repeated_passages(docs, columns=["doc_id"]), "n_words", "n_removed", "kept_sha256")
+    want = brute.passages(pairs)
+    assert len(found) == len(pairs) and all(want[i] == got for i, got in found)
+
+
+def test_automaton_rejects_what_only_shares_a_place(spark):
+    """A stretch dealt to a block that does not hold it loses nothing and names its hash."""
+    block, other = (b" ".join(b"%s%d" % (w, i) for i in range(20)) for w in (b"a", b"b"))
+    rows = [(5, 1, 0, -1, block), (5, 2, 0, 7, block[3:]), (5, 3, 0, 0, other), (5, 1, 9, 0, block)]
+    parts = spark.createDataFrame(rows, "place long, doc long, body long, at long, text binary").coalesce(1)
+    got = substrings.located(parts, 13).collect()
+    assert [(r.doc, r.body, r.begin, r.end) for r in got if r.key is None] == [(2, 0, 7, 26)]
+    assert len([r for r in got if r.key is not None]) == 16
+
+
+def test_passages_of_rows_that_share_an_id(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices(["a", "b", "c"], k=400)) + f" {i} " + " ".join(f"w{j}" for j in range(i, i + 600)) for i in range(6)]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[0]), (2, texts[1]), (2, texts[2]), (2, texts[1] + " " + texts[0]), (3, texts[0]), (3, texts[3])]
+    rows += [(4, "x " * 3000), (5, "x " * 2000), (5, None)]
+    first = {}
+    for doc, text in rows:
+        w = brute.words(text)
+        for k in range(len(w) - 12):
+            first[tuple(w[k : k + 13])] = min(doc, first.get(tuple(w[k : k + 13]), doc))
+    want = []
+    for doc, text in rows:
+        w = brute.words(text)
+        cut = {k + j for k in range(len(w) - 12) if first[tuple(w[k : k + 13])] < doc for j in range(13)}
+        want.append((doc, len(w), len(cut)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.n_words, r.n_removed) for r in substrings.remove_repeated_passages(docs).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_passages_rewrite_only_texts_that_lose_words(docs):
     cut = substrings.remove_repeated_passages(docs.withColumnRenamed("lang", "n_removed").withColumnRenamed("source", "passages"))
     assert cut.columns == ["doc_id", "text", "passages", "n_chars", "n_words", "n_removed", "kept_sha256"]

@@ -1,24 +1,29 @@
 """Substring deduplication: recurring passages found by Aho-Corasick automata.
 
-A window of words recurs if it starts in several documents. Three passes over the texts:
+A window of words recurs if it starts in several documents. Hashes propose, the automata decide:
 
 1. *Anchors.* Of every window the smallest hash of its short word runs is its anchor; equal windows
    have equal anchors. One row per anchor and document tells which anchors recur at all.
-2. *Passages.* Only windows with a recurring anchor are hashed and counted; those that start in a
-   smaller document are confirmed and sent back to the documents that hold them.
-3. *Automata.* The documents are dealt out in shards of bounded bytes. Each shard compiles its
-   confirmed passages into one automaton over words, streams all its documents through it and
-   marks every occurrence of a passage whose first document is smaller.
-
-Counting is combined before each shuffle and a key's rows are only ever joined with one row of that
-key, which adaptive execution can split, so a passage in a third of all documents is no hot spot.
-Windows are told apart by 64-bit hashes: among n windows about n * n / 2**65 false pairs are expected
-(none up to billions of words). Everything is judged on the input.
+2. *Passages.* Only windows with a recurring anchor are hashed. For each hash that recurs the
+   smallest document is its holder, and the block of ``BLOCK`` words of that document in which it starts
+   is its place. Every holder writes the words of its chosen blocks; every other document writes the
+   stretches of its text whose windows have one place.
+3. *Automata.* Stretches meet blocks by place, one block a place. A shard of bounded bytes compiles the
+   windows of its blocks, over exact words, into one automaton and streams its stretches through it. A window is
+   cut where the automaton finds it in a block of a smaller document, and nowhere else.
+4. *Collisions.* Windows that share a hash but are not in the block come out of the automaton unmatched.
+   Their hashes (none, as a rule) are settled over all documents that hold them by the words themselves.
+
+So the result does not depend on hashes: equal windows always share one, and different ones are told
+apart by their words. Counting is combined before each shuffle, and a key's rows are only ever joined with
+one row of that key, which adaptive execution can split, so a passage in a third of all documents
+is no hot spot. Everything is judged on the input.
 
 Defined results: a null text has no words; a document shorter than a window loses nothing. Rows
 with a null id are left as they are and do not count as earlier documents. Repeated rows share an
-id, so they do not dedup each other but are both cut by smaller documents. Columns of the input
-are passed through; one named like an added column is replaced.
+id, so they do not dedup each other but are both cut by smaller documents; rows of one id with several
+texts are told apart by a 64-bit hash of the text. Columns of the input are passed through; one named
+like an added column is replaced.
 """
 
 from __future__ import annotations
@@ -28,14 +33,17 @@ import hashlib
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, recurring, release, row_sums, sliding, staged, text_chunks, utf8, window_hashes
+from .common import Words, mix, recurring, release, row_sums, sliding, staged, text_chunks, utf8, window_hashes
 
 WINDOW = 13
 GRAM = 5
+BLOCK = 256  # windows that one block of a document holds
+SHARD_BYTES = 1 << 18  # block text that one automaton is compiled from
 
 
 def window_anchors(hashes: np.ndarray, at: np.ndarray, window: int, gram: int) -> np.ndarray:
@@ -85,10 +93,31 @@ def member(row: np.ndarray, key: np.ndarray, of_row: np.ndarray, of_key: np.ndar
     return out
 
 
+def lookup(row: np.ndarray, key: np.ndarray, of_row: np.ndarray, of_key: np.ndarray) -> np.ndarray:
+    """Index in (of_row, of_key) of each (row, key) pair, or -1; ``row`` and ``of_row`` rise."""
+    out = np.full(len(row), -1, np.int64)
+    order = np.lexsort((of_key, of_row))
+    of_row, of_key = of_row[order], of_key[order]
+    rows = np.unique(of_row)
+    begin, end = np.searchsorted(row, rows), np.searchsorted(row, rows, side="right")
+    first, last = np.searchsorted(of_row, rows), np.searchsorted(of_row, rows, side="right")
+    for a, b, c, d in zip(begin, end, first, last, strict=True):
+        slot = np.minimum(c + np.searchsorted(of_key[c:d], key[a:b]), d - 1)
+        out[a:b] = np.where(of_key[slot] == key[a:b], order[slot], -1)
+    return out
+
+
+def window_places(words: Words, at: np.ndarray, bodies: np.ndarray) -> np.ndarray:
+    """A number for the text and the block of ``BLOCK`` words in which each window starts."""
+    row = words.row[at]
+    block = (at - words.first[row]) // BLOCK
+    return mix(mix(bodies[row].view(np.uint64)) + block.astype(np.uint64)).view(np.int64)
+
+
 def confirmed_passages(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """For each ``doc`` of ``texts(doc, text)``, its windows that start in a smaller document.
+    """For each ``doc`` of ``texts(doc, body, text)``, its windows whose hash recurs.
 
-    ``passages`` is a list of (``key``, ``first``): the window's hash and its first document.
+    ``ours`` lists (``key``, ``place``) of windows that no smaller document holds, ``theirs`` those that one does.
     """
 
     def anchor_rows(batches):
@@ -97,10 +126,10 @@ def confirmed_passages(texts: DataFrame, window: int = WINDOW, gram: int = GRAM)
             at = words.windows(window)
             yield occurrences(batch, words.row[at], window_anchors(words.hashes(), at, window, gram))
 
-    anchors = staged(texts.mapInArrow(anchor_rows, "key long, doc long"), "anchors")
+    anchors = staged(texts.select("doc", "text").mapInArrow(anchor_rows, "key long, doc long"), "anchors")
     firsts = staged(recurring(anchors, "key", "doc"), "recurring-anchors")
     release(spark=texts.sparkSession)
-    shared = staged(anchors.join(firsts, "key").groupBy("doc").agg(F.collect_list("key").alias("anchors")), "shared-anchors")
+    shared = staged(anchors.join(firsts, "key").groupBy("doc").agg(F.collect_set("key").alias("anchors")), "shared-anchors")
     release(anchors, firsts)
 
     def window_rows(batches):
@@ -109,94 +138,207 @@ def confirmed_passages(texts: DataFrame, window: int = WINDOW, gram: int = GRAM)
             hashes, at = words.hashes(), words.windows(window)
             best = window_anchors(hashes, at, window, gram).view(np.int64)
             at = at[member(words.row[at], best, *listed(batch.column("anchors")))]
-            yield occurrences(batch, words.row[at], window_hashes(hashes, at, window))
+            key, row = window_hashes(hashes, at, window).view(np.int64), words.row[at]
+            order = np.lexsort((key, row))  # stable: the first place of a repeated window comes first
+            fresh = np.ones(len(order), dtype=bool)
+            fresh[1:] = (row[order][1:] != row[order][:-1]) | (key[order][1:] != key[order][:-1])
+            once = order[fresh]
+            place = window_places(words, at[once], batch.column("body").to_numpy())
+            doc = batch.column("doc").to_numpy()
+            yield pa.RecordBatch.from_pydict({"key": key[once], "doc": pa.array(doc[row[once]], pa.int64()), "place": place})
 
     candidates = texts.join(shared.hint("shuffle_hash"), "doc")
-    windows = staged(candidates.mapInArrow(window_rows, "key long, doc long"), "windows")
+    windows = staged(candidates.mapInArrow(window_rows, "key long, doc long, place long"), "windows")
     release(shared)
-    firsts = staged(recurring(windows, "key", "doc"), "recurring-windows")
+    holders = windows.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.min_by("place", "doc").alias("chosen"))
+    firsts = staged(holders.filter("first < last").select("key", "first", "chosen"), "recurring-windows")
     release(spark=texts.sparkSession)
-    found = windows.join(firsts, "key").filter("doc > first")
-    passages = staged(found.groupBy("doc").agg(F.collect_list(F.struct("key", "first")).alias("passages")), "passages")
+    entry = F.struct("key", F.col("chosen").alias("place"))
+    found = windows.join(firsts, "key").filter("doc > first or place = chosen")
+    ours, theirs = (F.collect_set(F.when(side, entry)) for side in (F.col("doc") == F.col("first"), F.col("doc") > F.col("first")))
+    passages = staged(found.groupBy("doc").agg(ours.alias("ours"), theirs.alias("theirs")), "passages")
     release(windows, firsts)
     return passages
 
 
-def located(batch: pa.RecordBatch, words: Words, window: int) -> np.ndarray:
-    """Words covered by an occurrence of a passage with a smaller first document.
+def passage_parts(texts: DataFrame, passages: DataFrame, window: int) -> DataFrame:
+    """Blocks (``at`` is -1) and stretches of the documents, by place, as the bytes of their words."""
 
-    The shard's passages are cut into tiles of half a window; every window of a passage holds a
-    whole tile. The tiles become one automaton over word numbers, all documents are streamed through
-    it, and around each tile found the windows are compared word by word with the passage.
+    def part_rows(batches):
+        for batch in text_chunks(batches, "text"):
+            words = Words(*utf8(batch.column("text")))
+            docs, bodies = batch.column("doc").to_numpy(), batch.column("body").to_numpy()
+            windows = words.windows(window)
+            keys = window_hashes(words.hashes(), windows, window).view(np.int64)
+            out = {name: [] for name in ("place", "row", "at", "begin", "end")}
+            for name in ("ours", "theirs"):
+                of_row, of_key = listed(batch.column(name), "key")
+                if not len(of_row) or not len(windows):
+                    continue
+                of_place = listed(batch.column(name), "place")[1]
+                slot = lookup(words.row[windows], keys, of_row, of_key)
+                hit = slot >= 0
+                at, place = windows[hit], of_place[slot[hit]]
+                if name == "ours":  # a block reaches over all its windows, whatever lies between them
+                    mine = window_places(words, at, bodies) == place
+                    at, place = at[mine], place[mine]
+                    fresh = np.ones(len(at), dtype=bool)
+                    fresh[1:] = (place[1:] != place[:-1]) | (words.row[at][1:] != words.row[at][:-1])
+                else:
+                    fresh = np.ones(len(at), dtype=bool)
+                    fresh[1:] = (place[1:] != place[:-1]) | (words.row[at][1:] != words.row[at][:-1]) | (at[1:] != at[:-1] + 1)
+                    run = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
+                    fresh |= (np.arange(len(at)) - run) % BLOCK == 0
+                if not len(at):
+                    continue
+                head = np.flatnonzero(fresh)
+                tail = np.append(head[1:], len(at)) - 1
+                row = words.row[at[head]]
+                out["place"].append(place[head])
+                out["row"].append(row)
+                out["at"].append(np.full(len(head), -1) if name == "ours" else at[head] - words.first[row])
+                out["begin"].append(words.starts[at[head]])
+                out["end"].append(words.ends[at[tail] + window - 1])
+            if not out["row"]:
+                continue
+            place, row, at, begin, end = (np.concatenate(v) for v in out.values())
+            body = words.data.tobytes()
+            text = [body[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+            yield pa.RecordBatch.from_pydict(
+                {"place": place, "doc": docs[row], "body": bodies[row], "at": at, "text": pa.array(text, pa.binary())}
+            )
+
+    rows = texts.join(passages.hint("shuffle_hash"), "doc")
+    return staged(rows.mapInArrow(part_rows, "place long, doc long, body long, at long, text binary"), "passage-parts")
+
+
+def word_column(words: Words) -> pa.Array:
+    """The words themselves, as one binary column."""
+    lengths = words.ends - words.starts
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    letters = words.data[np.arange(offsets[-1]) + np.repeat(words.starts - offsets[:-1], lengths)]
+    return pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+
+
+def lettered(numbers: np.ndarray) -> str:
+    """One character per number from -1 on, leaving out the surrogates."""
+    codes = numbers + 2
+    return (codes + 0x800 * (codes >= 0xD800)).astype("<u4").tobytes().decode("utf-32-le")
+
+
+def automaton_matches(stretches: Words, blocks: Words, of_block: np.ndarray, window: int) -> np.ndarray:
+    """For each word of the stretches the smallest document whose blocks hold the window that starts there, or -1.
+
+    ``of_block`` is the document of every block.
     """
-    covered = np.zeros(len(words), dtype=bool)
-    of_row, keys = listed(batch.column("__passages"), "key")
-    if not len(keys):
-        return covered
-    firsts = listed(batch.column("__passages"), "first")[1]
-    keys, where = np.unique(keys, return_index=True)
-    hashes = words.hashes()
-    at = words.windows(window)
-    own = window_hashes(hashes, at, window).view(np.int64)
-    slot = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-    hit = np.flatnonzero(keys[slot] == own)
-    slots, source = np.unique(slot[hit], return_index=True)  # each confirmed window once
-    label = np.full(len(words) + 1, np.iinfo(np.int64).max)
-    label[at[hit[source]]] = firsts[where][slots]
-    starts = np.sort(at[hit[source]])
-    fresh = np.ones(len(starts), dtype=bool)
-    fresh[1:] = starts[1:] != starts[:-1] + 1
-    begin = starts[fresh]
-    end = starts[np.append(np.flatnonzero(fresh)[1:], len(starts)) - 1] + window
-    numbers = np.unique(hashes, return_inverse=True)[1]
-    listing = numbers.tolist()
-    tile = (window + 1) // 2
-    places: list[list[int]] = []
-    known: dict[tuple[int, ...], int] = {}
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for a, b in zip(begin.tolist(), end.tolist(), strict=True):
-        for t in range(a, b - tile + 1, tile):
-            phrase = tuple(listing[t : t + tile])
-            number = known.setdefault(phrase, len(places))
-            if number == len(places):
-                places.append([])
-                automaton.add_word(phrase, number)
-            places[number].append(t)
+    encoded = word_column(blocks).dictionary_encode()
+    body = lettered(encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64))
+    known = pc.index_in(word_column(stretches), value_set=encoded.dictionary).fill_null(-1)
+    stream = lettered(known.to_numpy(zero_copy_only=False).astype(np.int64))
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    least: dict[str, int] = {}
+    for block in np.argsort(of_block, kind="stable").tolist():  # the smallest document names a window
+        doc = int(of_block[block])
+        for start in range(int(blocks.first[block]), int(blocks.first[block + 1]) - window + 1):
+            least.setdefault(body[start : start + window], doc)
+    values = np.fromiter(least.values(), np.int64, len(least))
+    for number, phrase in enumerate(least):
+        automaton.add_word(phrase, number)
+    out = np.full(len(stretches), -1, np.int64)
+    if not least:
+        return out
     automaton.make_automaton()
     ends: list[int] = []
     found: list[int] = []
-    for row in range(batch.num_rows):
-        a, b = int(words.first[row]), int(words.first[row + 1])
-        if b - a >= window:
-            for e, number in automaton.iter(tuple(listing[a:b])):
-                ends.append(a + e)
-                found.append(number)
-    counts = np.fromiter(map(len, places), np.int64, len(places))
-    flat = np.fromiter((t for p in places for t in p), np.int64, int(counts.sum()))
-    number = np.asarray(found, np.int64)
-    repeat = counts[number]
-    offset = np.arange(int(repeat.sum())) - np.repeat(np.cumsum(repeat) - repeat, repeat)
-    there = flat[np.repeat((np.cumsum(counts) - counts)[number], repeat) + offset]
-    here = np.repeat(np.asarray(ends, np.int64) - tile + 1, repeat)
-    # how many words agree on either side of the tile, as far as a window reaches
-    last, reach = len(words) - 1, window - tile
-    left, right = np.zeros(len(here), np.int64), np.zeros(len(here), np.int64)
-    for step in range(1, reach + 1):
-        both = (here >= step) & (there >= step)
-        left += (left == step - 1) & both & (numbers[here - step * both] == numbers[there - step * both])
-        on = tile + step - 1
-        both = (here + on <= last) & (there + on <= last)
-        right += (right == step - 1) & both & (numbers[np.minimum(here + on, last)] == numbers[np.minimum(there + on, last)])
-    docs = np.array([-1 if d is None else d for d in batch.column("__doc").to_pylist()], np.int64)
-    room = words.first[1:][words.row] - np.arange(len(words))
+    for a, b in zip(stretches.first[:-1].tolist(), stretches.first[1:].tolist(), strict=True):
+        for end, number in automaton.iter(stream[a:b]):
+            ends.append(a + end)
+            found.append(number)
+    out[np.asarray(ends, np.int64) - window + 1] = values[np.asarray(found, np.int64)]
+    return out
+
+
+def located(parts: DataFrame, window: int) -> DataFrame:
+    """Words ``begin`` to ``end`` of documents that an automaton finds in smaller ones; and hashes it left unmatched (``key``)."""
+
+    def match_rows(batches):
+        for batch in text_chunks(batches, "block", SHARD_BYTES):
+            place, held = batch.column("place").to_numpy(), batch.column("block")
+            sizes = np.diff(utf8(held)[1])
+            fresh = np.ones(batch.num_rows, dtype=bool)  # rows come sorted by place; several texts of a place all stay
+            of_block = batch.column("first").to_numpy()
+            fresh[1:] = (place[1:] != place[:-1]) | (of_block[1:] != of_block[:-1]) | (sizes[1:] != sizes[:-1])
+            alike = np.flatnonzero(~fresh)
+            if len(alike):
+                fresh[alike] = ~pc.equal(held.take(pa.array(alike)), held.take(pa.array(alike - 1))).to_numpy(zero_copy_only=False)
+            blocks = Words(*utf8(held.filter(pa.array(fresh))))
+            words = Words(*utf8(batch.column("text")))
+            first = automaton_matches(words, blocks, of_block[fresh], window)
+            doc, body, start = (batch.column(c).to_numpy() for c in ("doc", "body", "at"))
+            windows = words.windows(window)
+            good = (first[windows] != -1) & (first[windows] < doc[words.row[windows]])
+            at, row = windows[good], words.row[windows[good]]
+            head = np.ones(len(at), dtype=bool)
+            head[1:] = (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1])
+            tail = np.append(np.flatnonzero(head)[1:], len(at)) - 1 if len(at) else np.zeros(0, np.int64)
+            row, begin, end = row[head], at[head], at[tail] + window
+            shift = start[row] - words.first[row]
+            bad = np.unique(window_hashes(words.hashes(), windows[~good], window).view(np.int64))
+            pad = [None] * len(bad)
+            fields = {"doc": doc[row], "body": body[row], "begin": begin + shift, "end": end + shift}
+            columns = {name: pa.concat_arrays([pa.array(v, pa.int64()), pa.array(pad, pa.int64())]) for name, v in fields.items()}
+            yield pa.RecordBatch.from_pydict({**columns, "key": pa.array([None] * len(row) + bad.tolist(), pa.int64())})
+
+    blocks = parts.filter("at < 0").select("place", F.col("doc").alias("first"), F.col("text").alias("block"))
+    blocks = blocks.repartition("place").dropDuplicates(["place", "first", "block"])
+    met = parts.filter("at >= 0").join(blocks.hint("merge"), "place")
+    return staged(met.mapInArrow(match_rows, "doc long, body long, begin long, end long, key long"), "passage-matches")
+
+
+def settled(texts: DataFrame, passages: DataFrame, keys: DataFrame, window: int) -> DataFrame:
+    """Words of windows with one of ``keys`` that start in a smaller document, told by the words themselves."""
+
+    def phrase_rows(batches):
+        for batch in text_chunks(batches, "text"):
+            words = Words(*utf8(batch.column("text")))
+            at = words.windows(window)
+            own = window_hashes(words.hashes(), at, window).view(np.int64)
+            at = at[member(words.row[at], own, *listed(batch.column("keys")))]
+            body, starts, ends = words.data.tobytes(), words.starts.tolist(), words.ends.tolist()
+            phrase = [b" ".join([body[starts[i] : ends[i]] for i in range(a, a + window)]) for a in at.tolist()]
+            row = words.row[at]
+            doc, bodies = batch.column("doc").to_numpy()[row], batch.column("body").to_numpy()[row]
+            yield pa.RecordBatch.from_pydict({"phrase": pa.array(phrase, pa.binary()), "doc": doc, "body": bodies, "begin": at - words.first[row]})
+
+    held = passages.select("doc", F.explode(F.concat("ours.key", "theirs.key")).alias("key")).join(keys, "key", "left_semi")
+    rows = texts.join(held.groupBy("doc").agg(F.collect_set("key").alias("keys")).hint("shuffle_hash"), "doc")
+    phrases = staged(rows.mapInArrow(phrase_rows, "phrase binary, doc long, body long, begin long"), "unmatched-phrases")
+    found = phrases.join(recurring(phrases, "phrase", "doc"), "phrase").filter("doc > first")
+    return found.select("doc", "body", "begin", (F.col("begin") + window).alias("end"))
+
+
+def repeated_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """For each (``doc``, ``body``) that loses words, the list ``spans`` of (``begin``, ``end``)."""
+    passages = confirmed_passages(texts, window, gram)
+    parts = passage_parts(texts, passages, window)
+    release(spark=texts.sparkSession)
+    matches = located(parts, window)
+    release(parts)
+    spans, keys = matches.filter("key is null").drop("key"), matches.select("key").filter("key is not null").distinct()
+    if not keys.isEmpty():
+        spans = spans.unionByName(settled(texts, passages, keys, window))
+    out = staged(spans.groupBy("doc", "body").agg(F.collect_set(F.struct("begin", "end")).alias("spans")), "repeated-spans")
+    release(passages, matches)
+    return out
+
+
+def marked_words(spans: pa.Array, words: Words) -> np.ndarray:
+    """Words that lie in one of their row's spans."""
+    row, begin = listed(spans, "begin")
+    end = listed(spans, "end")[1]
     change = np.zeros(len(words) + 1, np.int64)
-    for back in range(reach + 1):
-        whole = np.flatnonzero((left >= back) & (right >= reach - back))
-        start, like = here[whole] - back, there[whole] - back
-        fine = (room[start] >= window) & (label[like] < docs[words.row[start]])
-        start = np.unique(start[fine])
-        change[start] += 1
-        change[start + window] -= 1
+    np.add.at(change, words.first[row] + begin, 1)
+    np.add.at(change, words.first[row] + end, -1)
     return np.cumsum(change[:-1]) > 0
 
 
@@ -215,8 +357,9 @@ def remove_repeated_passages(
     they are.
     """
     kept = [c for c in (docs.columns if columns is None else columns) if c not in ("n_words", "n_removed", "kept_sha256")]
-    texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    passages = confirmed_passages(texts, window, gram)
+    texts = docs.filter(F.col(id_col).isNotNull())
+    texts = texts.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("body"), F.col(text_col).alias("text"))
+    spans = repeated_spans(texts, window, gram)
     schema = T.StructType([docs.schema[c] for c in kept])
     schema = schema.add("n_words", "long").add("n_removed", "long").add("kept_sha256", "string")
 
@@ -225,7 +368,7 @@ def remove_repeated_passages(
             column = batch.column(text_col)
             data, offsets = utf8(column)
             texts = column.to_pylist() if text_col in kept else None
-            shared = np.flatnonzero(batch.column("__passages").is_valid())
+            shared = np.flatnonzero(batch.column("__spans").is_valid())
             n_words, removed, digests = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64), [""] * batch.num_rows
             alone = np.ones(batch.num_rows, dtype=bool)
             alone[shared] = False
@@ -236,7 +379,7 @@ def remove_repeated_passages(
             if len(shared):
                 some = batch.take(pa.array(shared))
                 words = Words(*utf8(some.column(text_col)))
-                covered = located(some, words, window)
+                covered = marked_words(some.column("__spans"), words)
                 n_words[shared], removed[shared] = words.counts, row_sums(covered, words.first)
                 body = words.data.tobytes()
                 starts, ends, stay = words.starts.tolist(), words.ends.tolist(), ~covered
@@ -250,6 +393,7 @@ def remove_repeated_passages(
             out += [pa.array(n_words), pa.array(removed), pa.array(digests, pa.string())]
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    rows = docs.select(*dict.fromkeys([*kept, text_col]), F.col(id_col).cast("long").alias("__doc"))
-    known = passages.select(F.col("doc").alias("__doc"), F.col("passages").alias("__passages"))
-    return rows.join(known.hint("shuffle_hash"), "__doc", "left").mapInArrow(cut, schema)
+    added = [F.col(id_col).cast("long").alias("__doc"), F.xxhash64(text_col).alias("__body")]
+    rows = docs.select(*dict.fromkeys([*kept, text_col]), *added)
+    known = spans.select(*[F.col(c).alias(f"__{c}") for c in spans.columns])
+    return rows.join(known.hint("shuffle_hash"), ["__doc", "__body"], "left").mapInArrow(cut, schema)
