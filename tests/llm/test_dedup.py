@@ -55,7 +55,8 @@ def test_automaton_rejects_what_only_shares_a_place(spark):
     assert len([r for r in got if r.key is not None]) == 16
 
 
-def test_passages_of_rows_that_share_an_id(spark):
+def test_passages_of_rows_that_share_an_id(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "CROWD", 2)
     rng = random.Random(3)
     texts = [" ".join(rng.choices(["a", "b", "c"], k=400)) + f" {i} " + " ".join(f"w{j}" for j in range(i, i + 600)) for i in range(6)]
     rows = [(1, texts[0]), (1, texts[1]), (1, texts[0]), (2, texts[1]), (2, texts[2]), (2, texts[1] + " " + texts[0]), (3, texts[0]), (3, texts[3])]

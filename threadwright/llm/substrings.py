@@ -8,7 +8,8 @@ A window of words recurs if it starts in several documents. Hashes propose, the
    smallest document is its holder, and the block of ``BLOCK`` words of that document in which it starts
    is its place. Every holder writes the words of its chosen blocks; every other document writes the
    stretches of its text whose windows have one place.
-3. *Automata.* Stretches meet blocks by place, one block a place. A shard of bounded bytes compiles the
+3. *Automata.* Stretches meet blocks by place, one block a place; those of a crowded place are dealt to as many
+   copies of its block as they need. A shard of bounded bytes compiles the
    windows of its blocks, over exact words, into one automaton and streams its stretches through it. A window is
    cut where the automaton finds it in a block of a smaller document, and nowhere else.
 4. *Collisions.* Windows that share a hash but are not in the block come out of the automaton unmatched.
@@ -43,6 +44,7 @@ from .common import Words, mix, recurring, release, row_sums, sliding, staged, t
 WINDOW = 13
 GRAM = 5
 BLOCK = 256  # windows that one block of a document holds
+CROWD = 256  # stretches of one place beyond which they are dealt to several copies of its block
 SHARD_BYTES = 1 << 18  # block text that one automaton is compiled from
 
 
@@ -289,9 +291,14 @@ def located(parts: DataFrame, window: int) -> DataFrame:
             columns = {name: pa.concat_arrays([pa.array(v, pa.int64()), pa.array(pad, pa.int64())]) for name, v in fields.items()}
             yield pa.RecordBatch.from_pydict({**columns, "key": pa.array([None] * len(row) + bad.tolist(), pa.int64())})
 
+    stretches = parts.filter("at >= 0")
+    crowded = stretches.groupBy("place").agg((F.count(F.lit(1)) / CROWD).cast("long").alias("shares")).filter("shares > 0")
+    shares = F.coalesce("shares", F.lit(0).cast("long"))
     blocks = parts.filter("at < 0").select("place", F.col("doc").alias("first"), F.col("text").alias("block"))
-    blocks = blocks.repartition("place").dropDuplicates(["place", "first", "block"])
-    met = parts.filter("at >= 0").join(blocks.hint("merge"), "place")
+    blocks = blocks.dropDuplicates(["place", "first", "block"]).join(crowded, "place", "left")
+    blocks = blocks.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), shares))).drop("shares")
+    dealt = stretches.join(crowded, "place", "left").withColumn("share", F.pmod(F.xxhash64("doc", "at"), shares + 1)).drop("shares")
+    met = dealt.join(blocks.hint("merge"), ["place", "share"])
     return staged(met.mapInArrow(match_rows, "doc long, body long, begin long, end long, key long"), "passage-matches")
 
 
