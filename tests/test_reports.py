@@ -247,3 +247,16 @@ def test_lowest_scored_rows(spark):
     df = spark.createDataFrame([(3, 2.0), (1, 2.0), (2, 1.0), (4, None), (5, 9.0)], "tweet_id long, overall double")
     assert [r.tweet_id for r in judge.lowest_scored(df).collect()] == [2, 1, 3, 5, 4]
     assert [r.tweet_id for r in judge.lowest_scored(df, n=2).collect()] == [2, 1]
+
+
+def test_balanced_weights_leave_rows_of_one_class_spread(spark):
+    rows = spark.createDataFrame([(i, "a" if i else "b") for i in range(400)], "id long, intent string").repartition(4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weighted = classifier.balanced_weights(rows, "intent").withColumn("part", F.spark_partition_id())
+        found = weighted.filter("intent = 'a'").groupBy("part").count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(found) == 4 and sum(r["count"] for r in found) == 399
+    assert {r["intent"]: r["weight"] for r in weighted.collect()} == {"a": 400 / (2 * 399), "b": 200.0}
