@@ -252,3 +252,30 @@ def test_heuristic_scores_round_half_to_even(spark, similarity, correct, scores)
     df = spark.createDataFrame([(similarity, correct)], "s double, c boolean")
     columns = heuristic_scores(F.col("s"), F.col("c"))
     assert tuple(df.select(*[c.alias(n) for n, c in columns.items()]).first()) == scores
+
+
+def test_patterns_agree_with_their_plain_regular_expressions(spark):
+    """Searched in parts, every pattern finds what the whole expression with spelled-out boundaries finds."""
+    from threadwright.functions import patterns
+
+    def whole(pattern):
+        edge = rf"(?:(?<={patterns.WORD})(?!{patterns.WORD})|(?<!{patterns.WORD})(?={patterns.WORD}))"
+        return pattern.replace(r"\b", edge).replace(r"\w", patterns.WORD).replace(r"\W", patterns.NON_WORD)
+
+    words = ["lag", "slag", "lags", "élag", "_lag", "lag️", "slow-fix", "can't", "cant", "cant_", "apple  id", "appleid", "log in"]
+    words += ["photo... gone", "vanished: my notes", "https://t.co", "glad to hear", "contact us at", "how much is it, the price", "a|b", "", None]
+    rules_of = [*V.ISSUE_TAGS.values(), *V.REPLY_PATTERNS.values(), *(r[1] for r in V.PRIORITY_RULES), V.SPECIFIC_BUG, V.PRE_PURCHASE, V.COMPLAINT]
+    rules_of += [r"\bissues?\b", r"x\b|\by", r"[a|b]c|\\\||(?:s|t)lag"]
+    df = spark.createDataFrame([(w,) for w in words + CUSTOMER_PHRASES + SUPPORT_PHRASES], "t string")
+    for row in df.select("t", *[F.array(matches(F.lower("t"), p), F.lower("t").rlike(whole(p))).alias(str(i)) for i, p in enumerate(rules_of)]).collect():
+        for i, p in enumerate(rules_of):
+            assert row[str(i)][0] == row[str(i)][1], (row.t, p)
+
+
+def test_plain_alternatives_and_boundaries_cost_no_search_at_every_position(spark):
+    from threadwright.functions import patterns
+
+    assert patterns.java_pattern(r"\blag\b").startswith("lag(?<!")
+    assert patterns.alternatives(r"a|(?:b|c)d|[|]|\|") == ["a", "(?:b|c)d", "[|]", r"\|"]
+    plan = spark.range(1).select(matches(F.col("id").cast("string"), "wifi|hotspot"))._jdf.queryExecution().analyzed().toString()
+    assert "RLIKE" not in plan.upper()
