@@ -279,3 +279,12 @@ def test_plain_alternatives_and_boundaries_cost_no_search_at_every_position(spar
     assert patterns.alternatives(r"a|(?:b|c)d|[|]|\|") == ["a", "(?:b|c)d", "[|]", r"\|"]
     plan = spark.range(1).select(matches(F.col("id").cast("string"), "wifi|hotspot"))._jdf.queryExecution().analyzed().toString()
     assert "RLIKE" not in plan.upper()
+
+
+def test_clean_text_keeps_and_drops_the_same_characters_by_ranges(spark):
+    """Every character up to U+3000 and some beyond, against the class that says which ones stay."""
+    codes = [c for c in [*range(1, 0x3000), 0xFE0F, 0xFFFD, 0x1F600, 0x10FFFF] if chr(c) != "@"]
+    df = spark.createDataFrame([(c, f"a{chr(c)}b") for c in codes], "c int, t string")
+    same = text.clean_text(F.col("t")) == F.regexp_replace(F.lower("t"), r"[^a-z0-9'\s]", " ")
+    assert df.filter(~same).count() == 0
+    assert "^" not in text._NOT_KEPT
