@@ -12,6 +12,7 @@ from threadwright.plans import evaluation
 from threadwright.sources import labels as label_source
 from threadwright.sources import messages as source
 from threadwright.sources import sinks
+from threadwright.sources.staging import stage
 
 from .oracle import compose, cut, flat, listed
 from .oracle import strip as sql_strip
@@ -57,15 +58,8 @@ def read_json_records(b: Book) -> DataFrame:
     """One array in one file, as an export comes."""
     path = b.path("proposals_json")
     record = F.to_json(F.struct("tweet_id", "intent", "confidence", F.col("note").alias("reason")))
-    ends = b.silver.select(F.min("tweet_id").alias("first"), F.max("tweet_id").alias("last"))
-    lines = b.silver.join(F.broadcast(ends)).orderBy("tweet_id").select(
-        F.concat(
-            F.when(F.col("tweet_id") == F.col("first"), "[").otherwise(","),
-            record,
-            F.when(F.col("tweet_id") == F.col("last"), "]").otherwise(""),
-        )
-    )
-    one_file(lines).write.text(path)
+    records = stage(b.silver.select(record.alias("value")), "proposals")
+    one_file(records).mapInArrow(sinks.array_lines, "value string").write.text(path)
     return label_source.read_json_records(b.spark, path, label_source.PROPOSAL_SCHEMA)
 
 

@@ -260,3 +260,18 @@ def test_balanced_weights_leave_rows_of_one_class_spread(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(found) == 4 and sum(r["count"] for r in found) == 399
     assert {r["intent"]: r["weight"] for r in weighted.collect()} == {"a": 400 / (2 * 399), "b": 200.0}
+
+
+def test_array_lines_need_no_sort_and_stay_one_array(spark, tmp_path):
+    import json
+
+    records = spark.range(0, 25_000, 1, 7).select(F.to_json(F.struct(F.col("id").alias("tweet_id"), F.lit("a } \" b").alias("intent"))).alias("value"))
+    path = str(tmp_path / "one")
+    lines = records.coalesce(1).mapInArrow(sinks.array_lines, "value string")
+    assert "Sort" not in lines._jdf.queryExecution().executedPlan().toString()
+    lines.write.text(path)
+    (part,) = (tmp_path / "one").glob("part-*")
+    assert sorted(r["tweet_id"] for r in json.loads(part.read_text())) == list(range(25_000))
+    got = label_source.read_json_records(spark, path, label_source.PROPOSAL_SCHEMA)
+    assert got.count() == 25_000 and got.filter("intent <> 'a } \" b'").count() == 0
+    assert records.filter("value IS NULL").coalesce(1).mapInArrow(sinks.array_lines, "value string").count() == 0

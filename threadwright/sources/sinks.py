@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,19 @@ def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(path)
 
 
+def array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of one JSON array from rows of one JSON text each, for a single task that only passes them on."""
+    started = False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        before = pa.array(["," if started else "[", *[","] * (batch.num_rows - 1)])
+        yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(before, batch.column(0).cast(pa.string()), "")], ["value"])
+        started = True
+    if started:
+        yield pa.RecordBatch.from_arrays([pa.array(["]"])], ["value"])
+
+
 def build_or_load(spark, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Reuse a complete stored table, otherwise build and store it first."""
     if not path_exists(spark, path.rstrip("/") + "/_SUCCESS"):
