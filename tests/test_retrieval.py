@@ -173,3 +173,39 @@ def test_pruned_search_of_many_texts_equals_brute_force(spark):
     plan = retrieval.search_plan(weights, index, 0.0, 5)
     dropped = plan.filter("NOT essential").select("term").distinct().collect()
     assert "update" in {r.term for r in dropped}
+
+
+def test_vocabulary_part_of_a_term_does_not_depend_on_its_place():
+    """A term that two blocks dealt to different parts would count twice, each time with too small a frequency."""
+    import pyarrow as pa
+
+    from threadwright.operators.postings import _dictionary_order
+
+    terms = ["ab", "abc", "wifi screen", "slow phone after", "update", "ä", "12345678", "refund music"]
+    parts = []
+    for shown in (terms, terms[::-1], terms[3:] + terms[:3]):
+        order, part = _dictionary_order(pa.array(shown, pa.large_string()), 5)
+        assert sorted(order.tolist()) == list(range(len(terms))) and (part[order][1:] >= part[order][:-1]).all()
+        parts.append(dict(zip(shown, part.tolist())))
+    assert parts[0] == parts[1] == parts[2]
+
+
+def test_index_moves_no_postings(spark, corpus):
+    """Only texts and the dictionaries of blocks are shuffled; weights are worked out where the counts lie."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = retrieval.tfidf_postings(corpus[0], "doc_id", "text", STOPS)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_rows_of_one_id_are_one_text(spark):
+    """Repeated ids: their words count together, and a row that comes twice is a copy in the index."""
+    rows = [(1, "battery wifi"), (1, "battery wifi"), (2, "battery slow"), (3, None), (4, "battery wifi")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.term): r.w for r in retrieval.tfidf_postings(df, "doc_id", "text", STOPS).collect()}
+    assert set(got) == {(1, "battery"), (1, "wifi"), (1, "battery wifi"), (2, "battery"), (4, "battery"), (4, "wifi"), (4, "battery wifi")}
+    index = retrieval.build_index(df, "doc_id", "text", stop_words=STOPS)
+    found = {r.term: r.df for r in index.statistics.vocabulary.collect()}
+    assert found == {"battery": 4, "wifi": 3, "battery wifi": 3}
