@@ -101,6 +101,66 @@ def test_long_strings_end_with_their_document(spark):
     assert dict(by_id(suffixes.remove_repeated_bytes(docs), "n_bytes", "n_removed", "n_spans", "kept_sha256")) == want
 
 
+@pytest.mark.parametrize("step", [1, 2**58])
+def test_long_strings_across_blocks(spark, monkeypatch, step):
+    """Blocks of a few rows, ids far apart, rows that share an id and rows without one."""
+    monkeypatch.setattr(suffixes, "BLOCK", 600)
+    rng = random.Random(4)
+    base = ["".join(rng.choices("abcdé", k=rng.choice([50, 70, 140]))) for _ in range(12)]
+    texts = [(rng.randint(-30, 30), "".join(rng.choice(base)[rng.randint(0, 9) :] for _ in range(rng.randint(0, 4)))) for _ in range(120)]
+    rows = [(i * step, t) for i, t in texts] + [(None, base[0] * 2), (5 * step, None), (7 * step, "a" * 3000), (9 * step, "a" * 2000)]
+    first = {}
+    for doc, text in rows:
+        raw = (text or "").encode()
+        for k in range(len(raw) - 49):
+            if doc is not None:
+                first[raw[k : k + 50]] = min(doc, first.get(raw[k : k + 50], doc))
+    want = []
+    for doc, text in rows:
+        raw = (text or "").encode()
+        hit = [k for k in range(len(raw) - 49) if doc is not None and first[raw[k : k + 50]] < doc]
+        want.append((doc, len(raw), len({k + j for k in hit for j in range(50)})))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.n_bytes, r.n_removed) for r in suffixes.remove_repeated_bytes(df).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_block_asks_once_for_a_common_string():
+    """A string that many documents share is asked for by the first and the last of them."""
+    text = " ".join(f"word{i}" for i in range(40)).encode()
+    p = suffixes.Pieces(np.frombuffer(text * 500, np.uint8), np.arange(501) * len(text), 50, 24)
+    deal = suffixes.Deal(0, 500, 1 << 20, 1)
+    asked = suffixes.questions(3, p.anchor, p.piece, np.arange(500, dtype=np.uint64)[p.piece_row], deal)
+    records, _ = suffixes.unpacked(asked.column("blob"), deal.question)
+    assert len(p.piece) > 5000 and len(records) == 2 * len(np.unique(p.piece)) and set(records["doc"].tolist()) == {0, 499}
+
+
+def test_strings_of_one_key_stay_apart(spark):
+    """Pieces that share their key and half of their hash are told apart; the first document learns that there are several."""
+    deal = suffixes.Deal(0, 9, 1, 1)
+    key, sub, doc = (np.array(x, np.uint64) for x in ([7] * 4 + [8], [1, 2, 1, 2, 3], [4, 5, 6, 2, 1]))
+    asked = [suffixes.questions(b, key[[i]], sub[[i]], doc[[i]], deal) for b, i in enumerate(range(5))]
+    rows = [(r["bucket"], r["block"], r["blob"]) for q in asked for r in q.to_pylist()]
+    table = suffixes.answered(spark.createDataFrame(rows, suffixes.QUESTIONS), deal, "test-answers")
+    got = {r.block: np.frombuffer(r.blob, deal.answer).tolist() for r in table.collect()}
+    assert got == {0: [(1, 4, 1)], 1: [(2, 2, 1)], 2: [(1, 4, 1)], 3: [(2, 2, 1)]}
+
+
+def test_index_is_walked_by_pieces(monkeypatch):
+    """A step of the index goes over a piece, not over a byte, and every byte of the copies is found."""
+    walked = []
+    pointers = RunIndex.pointers
+    monkeypatch.setattr(RunIndex, "pointers", lambda self, *a: (walked.append(pointers(self, *a)), walked[-1])[1])
+    text = "".join(random.Random(2).choices("abcdefgh", k=4000)).encode()
+    p = suffixes.Pieces(np.frombuffer(text * 2, np.uint8), np.array([0, 4000, 8000]), 50, 24)
+    deal = suffixes.Deal(0, 9, 1, 1)
+    answers = np.zeros(len(np.unique(p.piece)), deal.answer)
+    answers["sub"], answers["first"] = np.unique(p.piece), 3
+    covered = suffixes.marked(p, np.array([3, 5], np.uint64), answers, answers[:0])
+    assert not covered[:4000].any() and covered[4000:].all()
+    assert 0 < sum(len(at) for at, _ in walked) < 4000 / 8
+
+
 def test_near_copies_equal_brute_force(docs, pairs):
     found = by_id(jaccard.jaccard_groups(docs), "n_shingles", "component_id")
     want = brute.near_copies(pairs)
