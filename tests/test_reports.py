@@ -275,3 +275,37 @@ def test_array_lines_need_no_sort_and_stay_one_array(spark, tmp_path):
     got = label_source.read_json_records(spark, path, label_source.PROPOSAL_SCHEMA)
     assert got.count() == 25_000 and got.filter("intent <> 'a } \" b'").count() == 0
     assert records.filter("value IS NULL").coalesce(1).mapInArrow(sinks.array_lines, "value string").count() == 0
+
+
+def held(rows, spark):
+    return spark.createDataFrame(rows, "message string, intent string").repartition(3)
+
+
+def test_classifier_keeps_every_term(spark):
+    """More terms than the vocabulary once was cut at: none shares a feature, and all come with their coefficients."""
+    words = [f"term{i}" for i in range(1400)]
+    rows = [(" ".join(words[i % 70 :: 70]), "ab"[i % 2]) for i in range(140)] + [(None, "a"), ("lost", None), ("", "b")]
+    model = classifier.train_classifier(held(rows, spark), "message", "intent", max_iter=5)
+    terms = [t for r in model.terms.collect() for t in r.terms.split("\n")]
+    assert len(terms) == len(set(terms)) == 1400 + 70 * 19
+    assert all(len(r.weights) == 2 * len(r.idf) for r in model.terms.collect())
+
+
+def test_classifier_equals_the_library(spark, monkeypatch):
+    """Terms dealt out to several parts, rows in several slices: steps and probabilities are those of spark.ml."""
+    from threadwright.operators import logistic
+
+    monkeypatch.setattr(logistic, "TASK_BYTES", 200)
+    monkeypatch.setattr(logistic, "SLICE", 50)
+    monkeypatch.setattr(logistic, "TERMS", 7)
+    topics = {"power": "battery charge drains fast", "net": "wifi router connect slow", "bill": "invoice refund charge slow"}
+    rows = [(f"{' '.join(t.split()[i % 4 :])} {'please' * (i % 2)} day{i % 7} day{i % 5}", name) for name, t in topics.items() for i in range(12 + len(t) % 9)]
+    rows += [(rows[3][0], "bill"), (None, "net"), ("nothing known", "net"), ("battery", None)]
+    df = held(rows, spark)
+    # the same features by the library: so many slots that no two terms share one
+    slots = classifier.train_classifier(df, "message", "intent", min_df=1, max_iter=20, max_vocabulary=1, hash_slots=1 << 18)
+    ours = classifier.train_classifier(df, "message", "intent", min_df=1, max_iter=20)
+    assert ours.parts > 3
+    want, got = (sorted(map(tuple, classifier.predict(df, m).collect()), key=str) for m in (slots, ours))
+    assert [r[:3] for r in got] == [r[:3] for r in want] and len(got) == len(rows)
+    assert max(abs(a[3] - b[3]) for a, b in zip(got, want, strict=True)) < 1e-9
