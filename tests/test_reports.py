@@ -297,7 +297,7 @@ def test_classifier_equals_the_library(spark, monkeypatch):
 
     monkeypatch.setattr(logistic, "TASK_BYTES", 200)
     monkeypatch.setattr(logistic, "SLICE", 50)
-    monkeypatch.setattr(logistic, "TERMS", 7)
+    monkeypatch.setattr(logistic, "PIECE", 40)
     topics = {"power": "battery charge drains fast", "net": "wifi router connect slow", "bill": "invoice refund charge slow"}
     rows = [(f"{' '.join(t.split()[i % 4 :])} {'please' * (i % 2)} day{i % 7} day{i % 5}", name) for name, t in topics.items() for i in range(12 + len(t) % 9)]
     rows += [(rows[3][0], "bill"), (None, "net"), ("nothing known", "net"), ("battery", None)]
